@@ -1,0 +1 @@
+"""Empty on purpose: none of the jobs covered here reads or writes a stream."""
