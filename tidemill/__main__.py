@@ -37,7 +37,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     rank.add_argument("num_partitions", nargs="?", type=int)
     rank.add_argument("--weight", required=True, choices=["raw", "out_degree"])
     rank.add_argument("--iters", type=int, default=ITERATIONS)
-    rank.add_argument("--cache", action="store_true")
+    rank.add_argument("--cache", action=argparse.BooleanOptionalAction, default=True)
     rank.add_argument("--snapshot-dir")
 
     fit = jobs.add_parser("fit", help="fit a linear classifier to a feature table")

@@ -8,6 +8,32 @@ from pyspark.sql import functions as F
 from tidemill.functions.vectors import argmax, cross_entropy
 
 
+def evaluate(
+    scored: DataFrame,
+    batch_size: int,
+    *,
+    position: str = "pos",
+    scores: str = "scores",
+    label: str = "label",
+) -> DataFrame:
+    """``batch_mean_loss`` and ``accuracy`` in one pass and one row."""
+    return (
+        scored.groupBy(F.floor(F.col(position) / batch_size).alias("batch_idx"))
+        .agg(
+            F.avg(cross_entropy(F.col(scores), F.col(label))).alias("batch_loss"),
+            F.sum((argmax(F.col(scores)) == F.col(label)).cast("int")).alias("hits"),
+            F.count(F.lit(1)).alias("rows"),
+        )
+        .agg(
+            F.avg("batch_loss").alias("loss"),
+            F.count(F.lit(1)).alias("batches"),
+            F.sum("hits").alias("correct"),
+            F.sum("rows").alias("total"),
+        )
+        .withColumn("percent", F.col("correct") * 100.0 / F.col("total"))
+    )
+
+
 def predict(scored: DataFrame, scores: str = "scores") -> DataFrame:
     return scored.withColumn("predicted", argmax(F.col(scores)))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,15 +50,15 @@ def close_gaps(df: DataFrame, order_id: str = "order_id", position: str = "pos")
     partitions of the sort.
     """
     part = F.shiftright(F.col(order_id), _ROW_BITS)
-    starts, total = _starts(df.groupBy(part.alias("_part")).count(), "_part")
+    parts = _running_totals(df.groupBy(part.alias("_part")).count())
     row = F.col(order_id).bitwiseAND((1 << _ROW_BITS) - 1)
     placed = (
         df.withColumn("_part", part)
-        .join(F.broadcast(starts), "_part")
+        .join(F.broadcast(parts.table(df.sparkSession)), "_part")
         .withColumn(position, F.col("_start") + row)
         .drop("_part", "_start")
     )
-    return placed, total
+    return placed, parts.total
 
 
 def global_position(
@@ -79,6 +80,7 @@ def hash_position(
     tie: str,
     *,
     position: str = "pos",
+    first: int | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> tuple[DataFrame, int]:
     """Adds each row's position in the order of a hex digest, and counts the rows.
@@ -87,50 +89,61 @@ def hash_position(
     whose sizes are counted first (a narrow scan) and whose rows are numbered
     side by side: one exchange, nothing written. Where copies of one id make a
     bucket too big for a task, the general way above is taken instead.
+
+    ``first`` keeps only that many positions; buckets beyond them are left out
+    before the exchange. The count returned is always that of all rows.
     """
     keyed = df.withColumn("_digest", digest)
     bucket = F.substring("_digest", 1, HASH_DIGITS)
     sizes = keyed.groupBy(bucket.alias("_part")).count()
-    starts, total, largest = _starts_and_largest(sizes, "_part")
+    buckets = _running_totals(sizes)
+    total, largest = buckets.total, buckets.largest
+    wanted = F.lit(True) if first is None else F.col(position) < first
     if largest > max(hot_rows, 4 * total // 16**HASH_DIGITS):
         placed, _ = global_position(keyed, ["_digest", tie], position=position)
-        return placed.drop("_digest"), total
+        return placed.where(wanted).drop("_digest"), total
+    if first is not None:
+        # buckets are in digest order: those that start in time are a prefix
+        needed = [part for part, start in buckets.starts if start < first]
+        keyed = keyed.where(bucket <= needed[-1] if needed else F.lit(False))
     within = Window.partitionBy("_part").orderBy("_digest", tie)
     placed = (
         keyed.withColumn("_part", bucket)
         .withColumn("_row", F.row_number().over(within))
-        .join(F.broadcast(starts), "_part")
+        .join(F.broadcast(buckets.table(df.sparkSession)), "_part")
         .withColumn(position, F.col("_start") + F.col("_row") - 1)
+        .where(wanted)
         .drop("_part", "_row", "_start", "_digest")
     )
     return placed, total
 
 
-def _starts(sizes: DataFrame, part: str) -> tuple[DataFrame, int]:
-    starts, total, _ = _starts_and_largest(sizes, part)
-    return starts, total
+@dataclass
+class _Totals:
+    """Where each bucket starts, in bucket order; the callers bound their number."""
+
+    starts: list[tuple]
+    total: int
+    largest: int
+    key: T.StructField
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        schema = T.StructType([self.key, T.StructField("_start", T.LongType())])
+        if not self.starts:
+            return spark.createDataFrame([], schema)
+        keys, starts = zip(*self.starts, strict=True)
+        arrow = pa.table({self.key.name: pa.array(keys), "_start": pa.array(starts)})
+        return spark.createDataFrame(arrow)
 
 
-def _starts_and_largest(sizes: DataFrame, part: str) -> tuple[DataFrame, int, int]:
-    """Running totals of one row per bucket: the callers bound their number."""
+def _running_totals(sizes: DataFrame) -> _Totals:
     counted = sorted(tuple(row) for row in sizes.collect())
-    rows, total = [], 0
+    starts, total = [], 0
     for key, count in counted:
-        rows.append((key, total))
+        starts.append((key, total))
         total += count
     largest = max((count for _, count in counted), default=0)
-    schema = T.StructType([sizes.schema[part], T.StructField("_start", T.LongType())])
-    return _small_table(sizes.sparkSession, rows, schema), total, largest
-
-
-def _small_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
-    if not rows:
-        return spark.createDataFrame([], schema)
-    names = schema.fieldNames()
-    columns = {name: [row[i] for row in rows] for i, name in enumerate(names)}
-    return spark.createDataFrame(pa.table(columns)).select(
-        *(F.col(f.name).cast(f.dataType) for f in schema)
-    )
+    return _Totals(starts, total, largest, sizes.schema[0])
 
 
 def sort_csv(

@@ -184,7 +184,7 @@ def pagerank(
     iters: int = ITERATIONS,
     damping: float = DAMPING,
     num_partitions: int | None = None,
-    cache: bool = False,
+    cache: bool = True,
     cut_every: int = CUT_EVERY,
     snapshot_dir: str | None = None,
     missing: str = "null",
@@ -197,7 +197,8 @@ def pagerank(
     With ``snapshot_dir`` they are written there, along with the last ones, and
     a later call over the same edges goes on from the newest it finds.
     ``cache`` keeps the laid-out links for the run and writes the last ranks too,
-    so nothing stays cached afterwards.
+    so nothing stays cached afterwards; without it they are laid out anew after
+    every cut and the last iterations stay lazy.
     """
     spark = edges.sparkSession
     saved = None if snapshot_dir is None else f"{snapshot_dir}/{weight}-{damping}-{missing}"

@@ -16,6 +16,7 @@ def shard_assign(
     seed: int,
     *,
     epoch: int = 0,
+    rows_per_rank: int | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Deals the rows out to ``world`` ranks, adding ``rank`` and ``pos_in_rank``.
@@ -23,16 +24,22 @@ def shard_assign(
     Rows are shuffled by a keyed hash of their id, the order is wrapped around
     until its length is a multiple of ``world``, and slot i goes to rank
     i mod world, so all ranks get equally many rows. With ``world=1`` this is a
-    plain epoch shuffle.
+    plain epoch shuffle. A run that uses only ``rows_per_rank`` rows of each rank
+    says so here, and the rest are not moved at all.
     """
     digest = keyed_md5(seed, epoch, F.col(id_col))
-    placed, total = hash_position(df, digest, id_col, position="_pos", hot_rows=hot_rows)
+    first = None if rows_per_rank is None else rows_per_rank * world
+    placed, total = hash_position(
+        df, digest, id_col, position="_pos", first=first, hot_rows=hot_rows
+    )
     if total == 0:
         slots = placed.withColumn("_slot", F.col("_pos"))
     else:
         last = -(-total // world) * world - 1
         wrapped = F.sequence(F.col("_pos"), F.lit(last).cast("long"), F.lit(total).cast("long"))
         slots = placed.withColumn("_slot", F.explode(wrapped))
+        if first is not None:
+            slots = slots.where(F.col("_slot") < first)
     return (
         slots.withColumn("rank", (F.col("_slot") % world).cast("int"))
         .withColumn("pos_in_rank", F.floor(F.col("_slot") / world))

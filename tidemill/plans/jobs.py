@@ -7,9 +7,8 @@ from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tidemill.operators.evaluation import accuracy, batch_mean_loss
+from tidemill.operators.evaluation import evaluate
 from tidemill.operators.fitting import STOP_ITER, score, sgd_fit
 from tidemill.operators.ordering import global_position, sort_csv
 from tidemill.operators.ranking import ITERATIONS, pagerank
@@ -62,7 +61,7 @@ def rank_job(
     weight: str,
     iters: int = ITERATIONS,
     num_partitions: int | None = None,
-    cache: bool = False,
+    cache: bool = True,
     snapshot_dir: str | None = None,
     phases: PhaseLog | None = None,
 ) -> PhaseLog:
@@ -112,9 +111,10 @@ def fit_job(
     """
     spark = train.sparkSession
     batch_size = rank_batch_size(total_batch_size, nodes)
-    shards = minibatch(shard_assign(train, "id", nodes, seed), batch_size, stop_iter=stop_iter)
+    shards = shard_assign(train, "id", nodes, seed, rows_per_rank=batch_size * stop_iter)
+    batches = minibatch(shards, batch_size, stop_iter=stop_iter)
     state, log = sgd_fit(
-        shards,
+        batches,
         classes,
         dim,
         epochs=epochs,
@@ -129,5 +129,4 @@ def fit_job(
     weights = State.from_table(state, classes).weights
     placed, _ = global_position(test.select("id", "features", "label"), ["id"])
     scored = score(placed, weights, bias=True)
-    result = batch_mean_loss(scored, batch_size).crossJoin(accuracy(scored))  # one row each
-    return state, log, result.select("loss", "batches", *map(F.col, ("correct", "total", "percent")))
+    return state, log, evaluate(scored, batch_size)

@@ -131,7 +131,7 @@ def pagerank_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pagerank_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranks = pagerank(supply_graph(spark, sf_dir), weight="out_degree", iters=10, cache=True)
+    ranks = pagerank(supply_graph(spark, sf_dir), weight="out_degree", iters=10)
     return _rounded_ranks(ranks, 9)
 
 
@@ -150,7 +150,7 @@ def pagerank_teleport(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pagerank_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges = supply_graph(spark, sf_dir)
-    return _rounded_ranks(pagerank(edges, weight="raw", iters=3, num_partitions=3), 6)
+    return _rounded_ranks(pagerank(edges, weight="raw", iters=3, num_partitions=3, cache=False), 6)
 
 
 def pagerank_cached(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,8 +212,11 @@ def epoch_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _batches(spark: SparkSession, sf_dir: str, stop_iter: int | None = None) -> DataFrame:
-    shards = shard_assign(table(spark, sf_dir, "embeddings").select("vec_id"), "vec_id", WORLD, SEED)
-    batches = minibatch(shards, rank_batch_size(TOTAL_BATCH_SIZE, WORLD), stop_iter=stop_iter)
+    size = rank_batch_size(TOTAL_BATCH_SIZE, WORLD)
+    ids = table(spark, sf_dir, "embeddings").select("vec_id")
+    used = None if stop_iter is None else size * stop_iter
+    shards = shard_assign(ids, "vec_id", WORLD, SEED, rows_per_rank=used)
+    batches = minibatch(shards, size, stop_iter=stop_iter)
     return batches.select("vec_id", "rank", "batch_idx", "pos_in_batch")
 
 
