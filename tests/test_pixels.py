@@ -71,6 +71,18 @@ def test_whole_pipelines(df, images):
     assert np.allclose(run(df, P.eval_pixels(F.col("p"), SHAPE)), standard(images), atol=1e-12)
 
 
+def test_an_absent_image_stays_absent(spark):
+    df = spark.createDataFrame([(0, None), (1, [2.0] * 60)], "id long, p array<double>")
+    rows = df.select("id", P.flip(F.col("p"), SHAPE).alias("out")).orderBy("id").collect()
+    assert rows[0]["out"] is None and rows[1]["out"] == [2.0] * 60
+
+
+def test_an_image_of_another_size_is_an_error(spark):
+    df = spark.createDataFrame([(0, [2.0] * 59)], "id long, p array<double>")
+    with pytest.raises(Exception, match="60 values"):
+        df.select(P.flip(F.col("p"), SHAPE)).collect()
+
+
 def test_scores(spark):
     rows = [([1.0, 3.0, 3.0], 1), ([1000.0, 0.0, -1000.0], 1), ([0.0, 0.0, 0.0], 2)]
     df = spark.createDataFrame(rows, "z array<double>, y int").coalesce(1)

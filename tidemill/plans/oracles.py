@@ -23,6 +23,11 @@ SUPPLY = """
   UNION ALL
   SELECT 'S' || l_suppkey, 'P' || l_partkey FROM lineitem
 """
+ACTIVITY = """
+  SELECT 'U' || user_id AS source, event_type AS target FROM events
+  UNION ALL
+  SELECT event_type, 'U' || user_id FROM events
+"""
 PAGES = """
   SELECT url AS source, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS target FROM pages
 """
@@ -207,6 +212,7 @@ SELECT 2, source, {_round('rank', 6)} FROM r2""",
     "pagerank_partitioned": _RAW3,
     "pagerank_cached": _RAW3,
     "pagerank_restart": _RAW3,
+    "pagerank_skewed": _ranks(ACTIVITY, 3, 9, weight="out_degree"),
     "rank_csv_roundtrip": _ranks(f"{SUPPLY} UNION ALL {PAGES}", 2, 6),
     "csv_sort": """
 SELECT event_id::VARCHAR AS event_id, event_type, ts::VARCHAR AS ts,
@@ -231,6 +237,7 @@ SELECT 1, vec_id, pos FROM ({_order(f'{SEED}:1')})""",
     "random_crop": _pixels(_cell("down", "rightward")),
     "random_flip": _pixels(_cell("0", _MIRRORED)),
     "augment": _pixels(_STANDARD.format(f"{_cell('down', f'{_MIRRORED} + rightward')} / 255.0")),
+    "eval_pixels": _pixels(_STANDARD.format("embedding[i + 1]::DOUBLE / 255.0")),
     "softmax_score": f"""WITH {_cells('SELECT vec_id AS id, embedding, label FROM embeddings')},
   w AS (SELECT class, dim, ((7 * class + 3 * dim) % 11 - 5) / 50.0::DOUBLE AS weight
         FROM (SELECT unnest(range({CLASSES})) AS class) CROSS JOIN (SELECT unnest(range({DIM})) AS dim)),

@@ -18,6 +18,7 @@ from tidemill.functions.pixels import (
     CHANNEL_MEANS,
     CHANNEL_STDS,
     PIXEL_MAX,
+    eval_pixels,
     random_crop,
     random_flip,
     standardize,
@@ -159,6 +160,24 @@ def pagerank_cached(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def activity_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users and the few kinds of events they cause, linked both ways: each kind
+    is the source of a tenth of all links."""
+    user = F.concat(F.lit("U"), F.col("user_id").cast("string"))
+    both_ways = F.array(
+        F.struct(user.alias("source"), F.col("event_type").alias("target")),
+        F.struct(F.col("event_type").alias("source"), user.alias("target")),
+    )
+    return table(spark, sf_dir, "events").select(F.inline(both_ways))
+
+
+def pagerank_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The kinds of events are heavier than a sixteenth, so they are spread."""
+    edges = activity_graph(spark, sf_dir)
+    ranks = pagerank(edges, weight="out_degree", iters=3, num_partitions=16, heavy_rows=1)
+    return _rounded_ranks(ranks, 9)
+
+
 def pagerank_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run that ends after two iterations, and one that picks up from there."""
     edges, snapshots = supply_graph(spark, sf_dir), new_folder(spark, "snapshots")
@@ -251,9 +270,7 @@ def crop(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mirror(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _pixel_rows(
-        spark, sf_dir, lambda p: random_flip(p, SHAPE, _digest()).cast("array<double>")
-    )
+    return _pixel_rows(spark, sf_dir, lambda p: random_flip(p, SHAPE, _digest()))
 
 
 def augment(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -264,6 +281,10 @@ def augment(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def scale_and_standardize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pixel_rows(spark, sf_dir, lambda p: eval_pixels(p, SHAPE, means=MEANS, stds=STDS))
+
+
 # ---- fitting
 
 
@@ -441,6 +462,7 @@ QUERIES: dict[str, Query] = {
     "pagerank_partitioned": pagerank_partitioned,
     "pagerank_cached": pagerank_cached,
     "pagerank_restart": pagerank_restart,
+    "pagerank_skewed": pagerank_skewed,
     "rank_csv_roundtrip": rank_csv_roundtrip,
     "csv_sort": csv_sort,
     "train_test_split": train_test_split,
@@ -452,6 +474,7 @@ QUERIES: dict[str, Query] = {
     "random_crop": crop,
     "random_flip": mirror,
     "augment": augment,
+    "eval_pixels": scale_and_standardize,
     "softmax_score": softmax_score,
     "gradient_rank_mean": gradient_rank_mean,
     "gradient_allreduce": gradient_allreduce,
