@@ -148,6 +148,17 @@ def test_heavy_source_is_spread(spark, weight):
     assert_ranks(ranks, brute_force(links, weight, 4))
 
 
+def test_partitions_follow_the_links(spark, monkeypatch):
+    links = [(f"p{i % 50}", f"p{i * 7 % 50}") for i in range(500)]
+    edges = spark.createDataFrame(links, "source string, target string")
+    cores = spark.sparkContext.defaultParallelism
+    assert lay_out(edges, weight="raw").partitions == 8
+    monkeypatch.setattr(ranking, "PARTITION_ROWS", 10)
+    laid = lay_out(edges, weight="raw")
+    assert laid.partitions == max(50, cores) == laid.cold.rdd.getNumPartitions()
+    assert_ranks(pagerank(edges, weight="raw", iters=3), brute_force(links, "raw", 3))
+
+
 def test_many_nameless_sources_are_spread(spark):
     links = [(None, f"p{i}") for i in range(300)] + [("p1", "p2"), ("p2", "p1")]
     edges = spark.createDataFrame(links, "source string, target string")

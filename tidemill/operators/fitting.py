@@ -15,6 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.sources.snapshots import freeze
 from tidemill.sources.state import State, load_state, save_state
 
 LEARNING_RATE = 0.1
@@ -171,13 +172,11 @@ def sgd_fit(
     spark = shards.sparkSession
     state = load_state(spark, checkpoint_roots, classes) or State.zero(classes, dim + bias)
     log = []
-    # sorted by batch, cached blocks carry narrow batch ranges and a step skips the rest
-    rows = (
-        shards.where(F.col("batch_idx") < stop_iter)
-        .select("rank", "batch_idx", "features", "label")
-        .sortWithinPartitions("batch_idx")
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    # Sorted by batch, a step skips what it does not need by its range of batches, in
+    # cached blocks as in files. What memory does not hold is read from the table again.
+    used = shards.where(F.col("batch_idx") < stop_iter)
+    used = used.select("rank", "batch_idx", "features", "label").sortWithinPartitions("batch_idx")
+    rows = freeze(used, "shards").persist(StorageLevel.MEMORY_ONLY)
     try:
         last = rows.agg(F.max("batch_idx")).first()[0]
         batches = 0 if last is None else last + 1

@@ -25,6 +25,7 @@ DAMPING = 0.85
 ITERATIONS = 10
 CUT_EVERY = 5
 HEAVY_ROWS = 1_000_000  # a source with fewer links is never spread
+PARTITION_ROWS = 10_000_000  # links in a partition, unless the caller says how many
 RANKS = "source string, rank double"
 _PROFILE_BUCKETS = 4096
 
@@ -66,9 +67,10 @@ def lay_out(
     """Adds up equal links and brings each source's links together."""
     if weight not in ("raw", "out_degree"):
         raise ValueError(f"weight must be 'raw' or 'out_degree', not {weight!r}")
-    partitions = num_partitions or shuffle_partitions(edges.sparkSession)
     links = edges.select("source", "target")
-    uneven, heavy = _heavy_sources(links, partitions, heavy_rows)
+    profile = _profile(links)
+    partitions = num_partitions or _partitions_for(links, profile)
+    uneven, heavy = _heavy_sources(links, profile, partitions, heavy_rows)
     apart = F.col("source").isNull() | F.col("source").isin(heavy)
     cold = _count_links((links.where(~apart) if uneven else links).repartition(partitions, "source"))
     if weight == "raw":
@@ -97,21 +99,40 @@ def _count_links(links: DataFrame) -> DataFrame:
     return links.groupBy("source", "target").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _heavy_sources(links: DataFrame, partitions: int, heavy_rows: int) -> tuple[bool, list]:
-    """Whether to split, and the sources with more links than an average
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64("source"), F.lit(_PROFILE_BUCKETS))
+
+
+def _profile(links: DataFrame) -> dict[int, int]:
+    """Links by bucket of their source; a fixed number of buckets."""
+    sizes = links.groupBy(_bucket().alias("bucket")).count()
+    return {row["bucket"]: row["count"] for row in sizes.collect()}
+
+
+def _partitions_for(links: DataFrame, profile: dict[int, int]) -> int:
+    """Enough for the links and the cores. If the session shuffles into about
+    that many, exactly as many, so that ranks come out where they are needed."""
+    spark = links.sparkSession
+    wanted = max(
+        spark.sparkContext.defaultParallelism, -(-sum(profile.values()) // PARTITION_ROWS)
+    )
+    usual = shuffle_partitions(spark)
+    return usual if wanted <= usual <= 4 * wanted else wanted
+
+
+def _heavy_sources(
+    links: DataFrame, profile: dict[int, int], partitions: int, heavy_rows: int
+) -> tuple[bool, list]:
+    """Whether to split, and the named sources with more links than an average
     partition holds. There are fewer of those than partitions.
 
-    Links are counted by bucket of source first; single sources are looked at
-    only in buckets big enough to hold a heavy one.
+    Single sources are looked at only in buckets big enough to hold one.
     """
-    bucket = F.pmod(F.xxhash64("source"), F.lit(_PROFILE_BUCKETS))
-    sizes = links.groupBy(bucket.alias("bucket")).count().collect()
-    total = sum(row["count"] for row in sizes)
-    limit = max(heavy_rows, total // partitions)
-    full = [row["bucket"] for row in sizes if row["count"] > limit]
+    limit = max(heavy_rows, sum(profile.values()) // partitions)
+    full = [bucket for bucket, count in profile.items() if count > limit]
     if not full:
         return False, []
-    counted = links.where(bucket.isin(full)).groupBy("source").count()
+    counted = links.where(_bucket().isin(full)).groupBy("source").count()
     found = [row["source"] for row in counted.where(F.col("count") > limit).collect()]
     return bool(found), [source for source in found if source is not None]
 
