@@ -1,4 +1,5 @@
 import math
+from pathlib import Path
 
 import pytest
 
@@ -212,6 +213,18 @@ def test_a_run_that_dies_while_writing_leaves_no_snapshot(spark, edges, monkeypa
     assert_ranks(ranks, GOLDEN["out_degree"][3])
 
 
+@pytest.mark.parametrize("cache", [True, False])
+def test_only_the_last_cut_is_kept(spark, edges, monkeypatch, cache):
+    made, dropped = [], []
+    freeze, drop = ranking.freeze, ranking.drop_frozen
+    monkeypatch.setattr(ranking, "freeze", lambda d, n, p: made.append(p) or freeze(d, n, p))
+    monkeypatch.setattr(ranking, "drop_frozen", lambda s, p: dropped.append(p) or drop(s, p))
+    ranks = pagerank(edges, weight="raw", iters=3, cut_every=1, cache=cache)
+    assert len(made) == (3 if cache else 2) and dropped == made[:-1]
+    assert_ranks(ranks, GOLDEN["raw"][3])
+    assert not any(Path(path).exists() for path in dropped) and Path(made[-1]).exists()
+
+
 def test_nothing_stays_cached(spark, edges):
     pagerank(edges, weight="raw", iters=2, cache=True).collect()
     assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()

@@ -15,7 +15,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.sources.snapshots import freeze
+from tidemill.session import new_folder
+from tidemill.sources.snapshots import drop_frozen, freeze
 from tidemill.sources.state import State, load_state, save_state
 
 LEARNING_RATE = 0.1
@@ -176,7 +177,8 @@ def sgd_fit(
     # cached blocks as in files. What memory does not hold is read from the table again.
     used = shards.where(F.col("batch_idx") < stop_iter)
     used = used.select("rank", "batch_idx", "features", "label").sortWithinPartitions("batch_idx")
-    rows = freeze(used, "shards").persist(StorageLevel.MEMORY_ONLY)
+    path = new_folder(spark, "shards")
+    rows = freeze(used, "shards", path).persist(StorageLevel.MEMORY_ONLY)
     try:
         last = rows.agg(F.max("batch_idx")).first()[0]
         batches = 0 if last is None else last + 1
@@ -198,4 +200,5 @@ def sgd_fit(
             log.append((epoch, batch_idx + 1, elapsed, float(numbers[0])))
     finally:
         rows.unpersist()
+        drop_frozen(spark, path)
     return state.table(spark), spark.createDataFrame(log, FIT_LOG)

@@ -18,8 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemill.session import shuffle_partitions
-from tidemill.sources.snapshots import freeze, latest_step, publish, read_step
+from tidemill.session import new_folder, shuffle_partitions
+from tidemill.sources.snapshots import drop_frozen, freeze, latest_step, publish, read_step
 
 DAMPING = 0.85
 ITERATIONS = 10
@@ -236,6 +236,7 @@ def pagerank(
     if cache:
         for part in links.parts():
             part.persist(StorageLevel.MEMORY_AND_DISK)
+    cut = None
     try:
         for step in range(done + 1, iters + 1):
             ranks = _next_ranks(links, ranks, damping, missing)
@@ -243,7 +244,10 @@ def pagerank(
             if saved and (due or step == iters):
                 ranks = publish(ranks, saved, step)
             elif (due and step < iters) or (cache and step == iters):
-                ranks = freeze(ranks, "ranks")
+                before, cut = cut, new_folder(spark, "ranks")
+                ranks = freeze(ranks, "ranks", cut)
+                if before is not None:
+                    drop_frozen(spark, before)
     finally:
         if cache:
             for part in links.parts():

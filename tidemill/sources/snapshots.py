@@ -13,17 +13,24 @@ from tidemill.session import new_folder
 PUBLISHED = "step long, parts array<string>"
 
 
-def freeze(df: DataFrame, label: str) -> DataFrame:
+def freeze(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back.
 
     The result has a plan of one scan and survives the loss of any executor.
-    Partition numbers and sampled range bounds are fixed from here on.
+    Partition numbers and sampled range bounds are fixed from here on. A caller
+    that drops the table later names its path, one ``new_folder`` returned.
     """
-    path = new_folder(df.sparkSession, label)
+    path = path or new_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_frozen(spark: SparkSession, path: str) -> None:
+    """Deletes a frozen table that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def publish(df: DataFrame, root: str, step: int, parts: Iterable[str] = ()) -> DataFrame:
     """Writes ``df`` as snapshot ``step`` of ``root`` and then announces it.
 
