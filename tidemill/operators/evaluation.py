@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.vectors import argmax, cross_entropy
+from tidemill.functions.whole import div
 
 
 def evaluate(
@@ -18,7 +19,7 @@ def evaluate(
 ) -> DataFrame:
     """``batch_mean_loss`` and ``accuracy`` in one pass and one row."""
     return (
-        scored.groupBy(F.floor(F.col(position) / batch_size).alias("batch_idx"))
+        scored.groupBy(div(F.col(position), batch_size).alias("batch_idx"))
         .agg(
             F.avg(cross_entropy(F.col(scores), F.col(label))).alias("batch_loss"),
             F.sum((argmax(F.col(scores)) == F.col(label)).cast("int")).alias("hits"),
@@ -60,7 +61,7 @@ def batch_mean_loss(
     """
     return (
         scored.select(
-            F.floor(F.col(position) / batch_size).alias("batch_idx"),
+            div(F.col(position), batch_size).alias("batch_idx"),
             cross_entropy(F.col(scores), F.col(label)).alias("loss"),
         )
         .groupBy("batch_idx")

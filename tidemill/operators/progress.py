@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.functions.whole import div
+
 REPORT_EVERY = 20
 
 
@@ -23,7 +25,7 @@ def interval_rollup(
     after the last full interval are never reported. ``log`` needs ``epoch``,
     ``iteration`` (from 1), ``elapsed_time`` and ``loss``.
     """
-    interval = F.floor((F.col("iteration") - 1) / every)
+    interval = div(F.col("iteration") - 1, every)
     return (
         log.groupBy("epoch", interval.alias("_interval"))
         .agg(

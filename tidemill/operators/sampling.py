@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.hashing import keyed_md5
+from tidemill.functions.whole import div
 from tidemill.operators.ordering import HOT_ROWS, hash_position
 
 
@@ -42,7 +43,7 @@ def shard_assign(
             slots = slots.where(F.col("_slot") < first)
     return (
         slots.withColumn("rank", (F.col("_slot") % world).cast("int"))
-        .withColumn("pos_in_rank", F.floor(F.col("_slot") / world))
+        .withColumn("pos_in_rank", div(F.col("_slot"), world))
         .drop("_pos", "_slot")
     )
 
@@ -55,7 +56,8 @@ def minibatch(shards: DataFrame, batch_size: int, *, stop_iter: int | None = Non
     """Numbers each rank's batches in ``batch_idx`` and their rows in
     ``pos_in_batch``; the last batch may be short. ``stop_iter`` keeps that many
     batches of each rank."""
-    batches = shards.withColumn(
-        "batch_idx", F.floor(F.col("pos_in_rank") / batch_size)
-    ).withColumn("pos_in_batch", F.col("pos_in_rank") % batch_size)
+    at = F.col("pos_in_rank")
+    batches = shards.withColumns(
+        {"batch_idx": div(at, batch_size), "pos_in_batch": at % batch_size}
+    )
     return batches if stop_iter is None else batches.where(F.col("batch_idx") < stop_iter)

@@ -107,15 +107,12 @@ def _pixels(value: str) -> str:
 SELECT vec_id, i::INTEGER AS pos, {_round(value, 9)} AS value
 FROM (SELECT *, {_number(1, 8)} % {2 * CROP_PAD + 1} - {CROP_PAD} AS down,
              {_number(9, 8)} % {2 * CROP_PAD + 1} - {CROP_PAD} AS rightward,
-             {_number(17, 1)} % 2 = 0 AS mirrored FROM embeddings)
-CROSS JOIN (SELECT unnest(range(64)) AS i)"""
+             {_number(17, 1)} % 2 = 0 AS mirrored, unnest(range(64)) AS i FROM embeddings)"""
 
 
 _MIRRORED = "(CASE WHEN mirrored THEN 3 - 2 * (i % 4) ELSE 0 END)"
 _STANDARD = f"({{}} - {_by_channel(MEANS)}) / {_by_channel(STDS)}"
 
-_LOSS = "m + ln(e) - z"
-
 
 def _softmax_ctes(name: str, weights: str) -> str:
     """CTE ``name``: rows (id, class, score, p, loss) of the cells in ``x``."""
@@ -140,6 +137,11 @@ def _cells(source: str, bias: bool = False) -> str:
     SELECT id, label, unnest(range({DIM})) AS dim, unnest(embedding)::DOUBLE AS value FROM rows{one})"""
 
 
+def _grid(width: int) -> str:
+    return f"""
+    SELECT class, unnest(range({width})) AS dim FROM (SELECT unnest(range({CLASSES})) AS class)"""
+
+
 def _gradient(step: str, weights: str, where: str) -> str:
     """CTEs for one batch: ``{step}_g`` (class, dim, g), ``{step}_loss``."""
     return f"""{_softmax_ctes(f'{step}_p', weights)},
@@ -154,12 +156,10 @@ def _gradient(step: str, weights: str, where: str) -> str:
 
 
 def _fit_ctes(source: str, steps: int, batches: int = 1, bias: bool = False) -> str:
-    width = DIM + bias
     ctes = [
         _cells(source, bias),
         f"""w0 AS (
-    SELECT class, dim, 0.0::DOUBLE AS weight, 0.0::DOUBLE AS velocity
-    FROM (SELECT unnest(range({CLASSES})) AS class) CROSS JOIN (SELECT unnest(range({width})) AS dim))""",
+    SELECT class, dim, 0.0::DOUBLE AS weight, 0.0::DOUBLE AS velocity FROM ({_grid(DIM + bias)}))""",
     ]
     for t in range(steps):
         ctes.append(_gradient(f"s{t}", f"w{t}", f"batch_idx = {t % batches}"))
@@ -186,8 +186,7 @@ SELECT class, dim, {_round('weight', 9)} AS value FROM w{steps}"""
 
 _FIT = _weights(_WHOLE, 3)
 _GRADIENT = f"""WITH {_cells(f'SELECT row_number() OVER () AS id, embedding, label, rank FROM ({_shards(WORLD)})')},
-  w AS (SELECT class, dim, 0.0::DOUBLE AS weight
-        FROM (SELECT unnest(range({CLASSES})) AS class) CROSS JOIN (SELECT unnest(range({DIM})) AS dim)),
+  w AS (SELECT class, dim, 0.0::DOUBLE AS weight FROM ({_grid(DIM)})),
   {_gradient('s', 'w', 'TRUE')}
 SELECT class, dim, {_round('g', 9)} AS value FROM s_g"""
 
@@ -240,7 +239,7 @@ SELECT 1, vec_id, pos FROM ({_order(f'{SEED}:1')})""",
     "eval_pixels": _pixels(_STANDARD.format("embedding[i + 1]::DOUBLE / 255.0")),
     "softmax_score": f"""WITH {_cells('SELECT vec_id AS id, embedding, label FROM embeddings')},
   w AS (SELECT class, dim, ((7 * class + 3 * dim) % 11 - 5) / 50.0::DOUBLE AS weight
-        FROM (SELECT unnest(range({CLASSES})) AS class) CROSS JOIN (SELECT unnest(range({DIM})) AS dim)),
+        FROM ({_grid(DIM)})),
   {_softmax_ctes('s', 'w')},
   best AS (SELECT id, arg_max(class, score) AS predicted FROM s GROUP BY id),
   own AS (SELECT id, loss FROM s WHERE hit)

@@ -25,6 +25,7 @@ from tidemill.functions.pixels import (
     train_pixels,
 )
 from tidemill.functions.vectors import cross_entropy
+from tidemill.functions.whole import div
 from tidemill.operators.evaluation import accuracy, batch_mean_loss, predict
 from tidemill.operators.fitting import (
     allreduce_mean,
@@ -38,10 +39,10 @@ from tidemill.operators.ordering import close_gaps, global_position, sort_csv
 from tidemill.operators.progress import interval_rollup, phase_rollup
 from tidemill.operators.ranking import init_ranks, out_degree, pagerank, rank_step
 from tidemill.operators.sampling import minibatch, rank_batch_size, shard_assign
+from tidemill.session import new_folder
 from tidemill.sources.files import read_csv, read_labelled, split_train_test, write_csv
 from tidemill.sources.links import read_edges
 from tidemill.sources.runlog import RUN_FIELDS, append_log, read_log, start_log
-from tidemill.session import new_folder
 from tidemill.sources.state import State, load_state
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -318,7 +319,7 @@ def _shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _by_weight(numbers: DataFrame, width: int = DIM) -> DataFrame:
     at = F.col("pos") - 1
     return numbers.where(F.col("pos") > 0).select(
-        F.floor(at / width).alias("class"),
+        div(at, width).alias("class"),
         (at % width).cast("long").alias("dim"),
         rounded("value", 9).alias("value"),
     )
