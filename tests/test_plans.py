@@ -11,7 +11,7 @@ from tidemill.operators.fitting import partial_gradients
 from tidemill.operators.ordering import global_sort
 from tidemill.operators.ranking import _next_ranks, lay_out
 from tidemill.operators.sampling import minibatch, shard_assign
-from tidemill.plans.queries import QUERIES, supply_graph
+from tidemill.plans.queries import supply_graph
 
 SF_DIR = f"{DATA}/sf0.001"
 
@@ -103,13 +103,3 @@ def test_global_sort_is_by_range(spark):
     text = plan(global_sort(events, ["event_type", "ts"]))
     assert "Exchange rangepartitioning" in text
     assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string>" in text
-
-
-@pytest.mark.parametrize("name", list(QUERIES))
-def test_no_cross_joins_and_no_rows_by_one_task(spark, name):
-    text = plan(QUERIES[name](spark, SF_DIR))
-    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-    assert "BatchEvalPython" not in text  # no row-at-a-time Python
-    if "SinglePartition" in text:  # only to finish an aggregate without keys
-        assert name in ("eval_accuracy", "eval_loss")
-        assert "partial_" in text

@@ -127,6 +127,7 @@ def fit_job(
         start_log(spark, log_root, **run)
         append_log(log, log_root, **run)
     weights = State.from_table(state, classes).weights
-    placed, _ = global_position(test.select("id", "features", "label"), ["id"])
-    scored = score(placed, weights, bias=True)
-    return state, log, evaluate(scored, batch_size)
+    # scores are narrower than features, and sorting reads its input twice
+    scored = freeze(score(test, weights, bias=True).select("id", "scores", "label"), "scored")
+    placed, _ = global_position(scored, ["id"])
+    return state, log, evaluate(placed, batch_size)
