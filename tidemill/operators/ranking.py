@@ -26,7 +26,6 @@ ITERATIONS = 10
 CUT_EVERY = 5
 HEAVY_ROWS = 1_000_000  # a source with fewer links is never spread
 PARTITION_ROWS = 10_000_000  # links in a partition, unless the caller says how many
-RANKS = "source string, rank double"
 _PROFILE_BUCKETS = 4096
 
 

@@ -43,7 +43,7 @@ from tidemill.session import new_folder
 from tidemill.sources.files import read_csv, read_labelled, split_train_test, write_csv
 from tidemill.sources.links import read_edges
 from tidemill.sources.runlog import RUN_FIELDS, append_log, read_log, start_log
-from tidemill.sources.state import State, load_state
+from tidemill.sources.state import load_state
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -252,8 +252,9 @@ def batch_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pixel_rows(spark: SparkSession, sf_dir: str, change: Callable[[Column], Column]) -> DataFrame:
+    # the outer form: the other one filters by the array's size, computing it twice
     pixels = table(spark, sf_dir, "embeddings").select(
-        "vec_id", F.posexplode(change(F.col("embedding"))).alias("pos", "value")
+        "vec_id", F.posexplode_outer(change(F.col("embedding"))).alias("pos", "value")
     )
     return pixels.withColumn("value", rounded("value", 9))
 
@@ -306,7 +307,7 @@ def softmax_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     losses = scored.withColumn("loss", cross_entropy(F.col("scores"), F.col("label")))
     return (
         predict(losses)
-        .select("vec_id", "predicted", "loss", F.posexplode("scores").alias("class", "score"))
+        .select("vec_id", "predicted", "loss", F.posexplode_outer("scores").alias("class", "score"))
         .withColumn("score", rounded("score", 9))
         .withColumn("loss", rounded("loss", 9))
     )
