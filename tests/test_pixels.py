@@ -71,6 +71,14 @@ def test_whole_pipelines(df, images):
     assert np.allclose(run(df, P.eval_pixels(F.col("p"), SHAPE)), standard(images), atol=1e-12)
 
 
+def test_images_are_worked_on_in_portions(df, images, monkeypatch):
+    monkeypatch.setattr(P, "IMAGES_AT_ONCE", 7)
+    one_batch = df.coalesce(1)
+    train = np.array([mirrored(cropped(m, i, 2), i) for i, m in enumerate(images)])
+    found = run(one_batch, P.train_pixels(F.col("p"), SHAPE, F.col("h"), pad=2))
+    assert np.allclose(found, standard(train), atol=1e-12)
+
+
 def test_an_absent_image_stays_absent(spark):
     df = spark.createDataFrame([(0, None), (1, [2.0] * 60)], "id long, p array<double>")
     rows = df.select("id", P.flip(F.col("p"), SHAPE).alias("out")).orderBy("id").collect()
