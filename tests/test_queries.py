@@ -5,9 +5,9 @@ from compare import differences, duck, duck_rows, spark_rows
 from conftest import DATA
 
 import __spark_entry__ as entry_points
+from tidemill.plans.oracles import ORACLES
+from tidemill.plans.queries import QUERIES
 
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
 SF_DIR = f"{DATA}/sf0.01"
 
 
