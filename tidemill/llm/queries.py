@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemill.llm.common import table
 from tidemill.llm.exact_dedup import exact_groups
 from tidemill.llm.fingerprints import edit_fingerprints
+from tidemill.llm.license_scan import scan_licenses
 from tidemill.llm.mixing import mix
+from tidemill.llm.near_dedup import near_groups
 from tidemill.llm.packing import pack_documents
 from tidemill.llm.token_files import read_documents, write_token_files
 from tidemill.session import new_folder
@@ -40,6 +42,15 @@ def op7_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """On three-word shingles, at a similarity of 0.85."""
+    return near_groups(table(spark, sf_dir, "documents"), width=3, similarity=85)
+
+
 QUERIES: dict[str, Query] = {
     name: query for name, query in list(globals().items()) if name.startswith("op")
 }
