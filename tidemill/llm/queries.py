@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemill.llm.common import table
 from tidemill.llm.exact_dedup import exact_groups
 from tidemill.llm.fingerprints import edit_fingerprints
+from tidemill.llm.html_text import extract_main_text
 from tidemill.llm.license_scan import scan_licenses
 from tidemill.llm.mixing import mix
 from tidemill.llm.near_dedup import near_groups
@@ -37,6 +38,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op7_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row for each reading of each document."""
     return mix(table(spark, sf_dir, "documents"))
