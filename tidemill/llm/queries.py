@@ -14,7 +14,9 @@ from tidemill.llm.license_scan import scan_licenses
 from tidemill.llm.mixing import mix
 from tidemill.llm.near_dedup import near_groups
 from tidemill.llm.packing import pack_documents
+from tidemill.llm.quality import score_quality
 from tidemill.llm.token_files import read_documents, write_token_files
+from tidemill.llm.toxicity import score_toxicity
 from tidemill.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +44,10 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row for each reading of each document."""
     return mix(table(spark, sf_dir, "documents"))
@@ -56,6 +62,10 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"), width=3, similarity=85)
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     name: query for name, query in list(globals().items()) if name.startswith("op")
 }
