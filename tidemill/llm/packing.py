@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemill.llm.common import whole_text
-from tidemill.llm.tokens import ID_BYTES, Encoder, default_vocabulary
+from tidemill.llm.tokens import ID_BYTES, default_vocabulary, shared_encoder
 from tidemill.session import shuffle_partitions
 from tidemill.sources.snapshots import freeze
 
@@ -201,7 +201,7 @@ def _pieces(vocabulary: str, end_id: int, capacity: int, with_ids: bool):
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary)
+        encoder = shared_encoder(vocabulary)
         for batch in batches:
             for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
                 part = batch.slice(at, TEXTS_AT_ONCE)

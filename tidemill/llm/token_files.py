@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemill.llm.common import whole_text
-from tidemill.llm.tokens import ID_BYTES, Encoder, default_vocabulary
+from tidemill.llm.tokens import ID_BYTES, default_vocabulary, shared_encoder
 
 SEGMENT_TOKENS = 1 << 20
 BLOCK_BITS = 512
@@ -122,7 +122,7 @@ def _segments(vocabulary: str, end_id: int, segment_tokens: int):
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = Encoder(vocabulary), TaskContext.get().partitionId()
+        encoder, part = shared_encoder(vocabulary), TaskContext.get().partitionId()
         segment, first, ids, ends, parts = 0, 0, [], [], []
 
         def close() -> pa.RecordBatch:

@@ -12,15 +12,22 @@ from __future__ import annotations
 
 import os
 import re
+from functools import lru_cache
 
 ID_BYTES = 4
-KEPT = 1_000_000  # stretches a worker remembers before it starts anew
+KEPT = 1_500_000  # stretches a worker remembers before it starts anew
 TOGETHER = 256  # new stretches the library gets in one string
 #: What could take part in a run of white space, here or in the library.
 _SPACES = re.compile("[ \t\n\x0b\x0c\r\x1c-\x1f][ \t\x0b\x0c\r\x1c-\x1f]| \n")
 _OTHER_SPACES = re.compile(
     "[\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]"
 )
+#: Latin letters, ASCII signs (no apostrophe, which may begin a piece with letters behind
+#: it) and single line feeds: neighbours of these kinds are never in one piece.
+_LETTERS, _SIGNS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff", "!-&(-/:-@\\[-`{-~"
+_KINDS = re.compile(f"[{_LETTERS}]+|[{_SIGNS}]+|\n")
+_ONLY_KINDS = re.compile(f"[{_LETTERS}]+(?:[{_LETTERS}{_SIGNS}]|\n(?!\n|$))+", re.ASCII)
+_END_SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _CONTROLS = tuple("\t\x0b\x0c\r\x1c\x1d\x1e\x1f")
 
 
@@ -50,6 +57,7 @@ class Encoder:
         self._tokenizer = Tokenizer.from_file(vocabulary)
         self._tokenizer.encode_special_tokens = True
         self._behind_space: dict[str, bytes] = {}  # by what stands behind a space
+        self._known: dict[str, bytes] = {}
         self._kept = kept
         self._feed = self._library(["\n"])[0]
 
@@ -58,35 +66,62 @@ class Encoder:
         return [self._numpy.array(e.ids, "<u4").tobytes() for e in encoded]
 
     def _learn(self, new: list[str]) -> None:
-        """Encodes new stretches, many in one string with a line feed behind each.
-
-        A line feed between a stretch and a space is a piece of its own, so the ids of
-        the string, cut at its id, are those of the stretches.
+        """Encodes stretches behind a space, the parts of composed ones once each."""
+        known, plain = self._behind_space, self._known
+        heads, tails, composed = set(), set(), []
+        for s in new:
+            if s.isalpha():
+                heads.add(s)
+                continue
+            stem = s.rstrip(_END_SIGNS)
+            if stem.isalpha() and stem.isascii() and stem != s:
+                head, rest = stem, (s[len(stem) :],)
+            elif _ONLY_KINDS.fullmatch(s):
+                head, *rest = _KINDS.findall(s)
+            else:
+                heads.add(s)
+                continue
+            composed.append((s, head, rest))
+            heads.add(head)
+            tails.update(rest)
+        known.update(self._together(list(heads.difference(known)), " "))
+        plain.update(self._together(list(tails.difference(plain)), ""))
+        for s, head, rest in composed:
+            known[s] = known[head] + b"".join(map(plain.__getitem__, rest))
+
+    def _together(self, new: list[str], front: str) -> dict[str, bytes]:
+        """Encodes many strings in one, with a line feed behind each.
+
+        A line feed between these strings is a piece of its own, so the ids of
+        the whole, cut at its id, are those of the strings.
         """
-        numpy, known = self._numpy, self._behind_space
-        plain = [s for s in new if s and "\n" not in s]
+        numpy, found = self._numpy, {}
+        easy = [s for s in new if s and "\n" not in s]
         other = [s for s in new if not s or "\n" in s]
         if len(self._feed) != ID_BYTES:
-            plain, other = [], new
-        feed = numpy.frombuffer(self._feed, "<u4")[0] if plain else 0
-        groups = [plain[i : i + TOGETHER] for i in range(0, len(plain), TOGETHER)]
-        joined = [" " + "\n ".join(group) + "\n" for group in groups]
+            easy, other = [], new
+        feed = numpy.frombuffer(self._feed, "<u4")[0] if easy else 0
+        groups = [easy[i : i + TOGETHER] for i in range(0, len(easy), TOGETHER)]
+        joined = [front + f"\n{front}".join(group) + "\n" for group in groups]
         for group, ids in zip(groups, self._library(joined), strict=True):
             ends = numpy.flatnonzero(numpy.frombuffer(ids, "<u4") == feed) * ID_BYTES
             if len(ends) != len(group):
                 other += group
                 continue
             start = 0
-            for stretch, end in zip(group, ends.tolist(), strict=True):
-                known[stretch] = ids[start:end]
+            for string, end in zip(group, ends.tolist(), strict=True):
+                found[string] = ids[start:end]
                 start = end + ID_BYTES
-        known.update(zip(other, self._library([" " + s for s in other]), strict=True))
+        found.update(zip(other, self._library([front + s for s in other]), strict=True))
+        return found
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """One value per text; of a null or empty text an empty one."""
         known = self._behind_space
         if len(known) > self._kept:
             known.clear()
+        if len(self._known) > self._kept // 4:
+            self._known.clear()
         texts = [text or "" for text in texts]
         cuts = [text.split(" ") if _only_single_spaces(text) else [text] for text in texts]
         fronts = self._library([cut[0] for cut in cuts])
@@ -96,3 +131,9 @@ class Encoder:
         return [
             front + b"".join(map(get, cut[1:])) for front, cut in zip(fronts, cuts, strict=True)
         ]
+
+
+@lru_cache(maxsize=2)
+def shared_encoder(vocabulary: str) -> Encoder:
+    """One encoder for all tasks that a worker process runs, with what it remembers."""
+    return Encoder(vocabulary)
