@@ -26,6 +26,7 @@ only stays where no other of its component has an id.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -69,6 +70,12 @@ class _WordHashes(dict):
         return value
 
 
+@lru_cache(maxsize=1)
+def _shared_hashes() -> _WordHashes:
+    """One table for all tasks that a worker process runs."""
+    return _WordHashes()
+
+
 def shingle_hashes(words: list[bytes], hashes: dict[bytes, int], width: int) -> np.ndarray:
     """The sorted set of hashed shingles; of fewer words than ``width``, of all of them."""
     if not words:
@@ -135,7 +142,7 @@ def _set_key(shingles: np.ndarray) -> bytes:
 
 def _sketching(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _WordHashes()
+        hashes = _shared_hashes()
         for part in _slices(batches):
             if len(hashes) > WORDS_KEPT:
                 hashes.clear()
@@ -158,7 +165,7 @@ def _sketching(width: int):
 
 def _setting(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _WordHashes()
+        hashes = _shared_hashes()
         for part in _slices(batches):
             if len(hashes) > WORDS_KEPT:
                 hashes.clear()
