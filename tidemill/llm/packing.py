@@ -269,7 +269,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, nodes: int = NODES) -> Dat
         salted.withColumn("place", F.row_number().over(order))
         .join(groups, ["length", "salt"])
         .withColumn("rank", F.col("base") + F.col("place") - 1)
-        .drop("salt", "place", "base")
+        .select(*pieces.columns, "rank")
     )
     step = int(slots["first"].max(initial=0)) + max(counts.values(), default=0) + 1
     keys = slots["length"] * step + slots["first"]
