@@ -10,12 +10,15 @@ Jaccard similarity, with concentration bounds that ordinary one-permutation sket
 Equal sets are one class from the start, whatever their number. Sketches are cut into
 32 bands of four; classes that share a band are candidates (at a similarity of 0.85
 all bands miss with probability 6e-11). Candidates are confirmed on their full sets.
-What is wanted are components, so a bucket of ``m`` classes is never expanded into pairs:
-in each round a few pivots of a bucket, those of the smallest components first, are
-compared with the members in other components, components are merged, pivots that
-met all others leave, and buckets within one component are done. The number of pivots
-grows from round to round, so that in the end every pair that could still join two
-components has been compared: no link between components is lost.
+What is wanted are components, so a bucket of ``m`` classes is not expanded into pairs.
+In two rounds a few pivots of each bucket, those of the smallest components first, are
+compared with its members in other components, components are merged, and buckets
+within one component are done. For buckets that are still of several components, blocks of
+their classes meet, two in a task, which compares all their pairs by a product of matrices
+and returns only links that join components: no link between components is lost.
+Pairs whose sets cannot overlap enough are not compared: a shingle that only one
+candidate has is in no intersection, and a class with too many of those can link with
+nothing.
 
 Defined cases: a null text is empty; a document without words or text is linked with
 nothing; with fewer words than a shingle has, all of them are the one shingle; rows of equal
@@ -45,6 +48,9 @@ SHINGLE = 5
 SIMILARITY = 80  # of a hundred
 WORDS_KEPT = 500_000  # hashes a worker remembers
 TEXTS_AT_ONCE = 256
+PIVOTS = (1, 4)  # of a bucket, round by round
+BLOCK = 128  # classes, two such blocks meet in a task
+COLUMNS_AT_ONCE = 4096
 UNFILLED = np.uint64(0xFFFFFFFFFFFFFFFF)
 # odd constants of well-known 64-bit mixers; any others would do
 MIX_A, MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -182,6 +188,29 @@ def _setting(width: int):
     return run
 
 
+def _one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """class_id and each of its shingles."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+            part = batch.slice(at, TEXTS_AT_ONCE)
+            sets = [np.frombuffer(s.as_buffer(), "<i8") for s in part.column(1)]
+            owner = np.repeat(part.column(0).to_numpy(), [len(s) for s in sets])
+            items = np.concatenate(sets)
+            yield pa.RecordBatch.from_arrays([pa.array(owner), pa.array(items)], names=["class_id", "shingle"])
+
+
+def _own_shingles(sets: DataFrame) -> DataFrame:
+    """class_id, own: how many of its shingles no other of these classes has."""
+    return (
+        sets.mapInArrow(_one_by_one, "class_id long, shingle long")
+        .groupBy("shingle")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("class_id").alias("class_id"))
+        .where("n = 1")
+        .groupBy("class_id")
+        .agg(F.count(F.lit(1)).alias("own"))
+    )
+
+
 def _confirming(similarity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,6 +230,80 @@ def _confirming(similarity: int):
     return run
 
 
+def _in_block_pair(similarity: int):
+    """Of up to two blocks of classes: links that join different components.
+
+    Intersections of all pairs at once, as products of matrices of ones and zeros; what
+    is returned are the fewest links that join the same components.
+    """
+
+    def run(block: pa.Table) -> pa.Table:
+        label = block.column("label").to_numpy()
+        sets = [np.frombuffer(s.as_buffer(), "<u8") for s in block.column("shingles")]
+        sizes = np.array([len(s) for s in sets])
+        row = np.repeat(np.arange(len(sets)), sizes)
+        _, column = np.unique(np.concatenate(sets), return_inverse=True)
+        frequent = np.bincount(column) > 1  # others are in no intersection
+        place = np.cumsum(frequent) - 1
+        row, column = row[frequent[column]], place[column[frequent[column]]]
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        both = np.zeros((len(sets), len(sets)), np.float32)
+        for start in range(0, int(frequent.sum()), COLUMNS_AT_ONCE):
+            low, high = np.searchsorted(column, [start, start + COLUMNS_AT_ONCE])
+            ones = np.zeros((len(sets), COLUMNS_AT_ONCE), np.float32)
+            ones[row[low:high], column[low:high] - start] = 1
+            both += ones @ ones.T
+        linked = 100 * both >= similarity * (sizes[:, None] + sizes[None, :] - both)
+        linked &= label[:, None] != label[None, :]
+        root: dict[int, int] = {}
+        edges = []
+
+        def top(x: int) -> int:
+            while root.get(x, x) != x:
+                x = root[x]
+            return x
+
+        for i, j in zip(*np.nonzero(np.triu(linked, 1)), strict=True):
+            a, b = top(int(label[i])), top(int(label[j]))
+            if a != b:
+                root[max(a, b)] = min(a, b)
+                edges.append((int(label[i]), int(label[j])))
+        ends = list(zip(*edges, strict=True)) or [(), ()]
+        return pa.table({"a": pa.array(ends[0], pa.int64()), "b": pa.array(ends[1], pa.int64())})
+
+    return run
+
+
+def _links_in_blocks(left: DataFrame, sets: DataFrame, similarity: int, kept) -> DataFrame:
+    """Links between components of what pivots have not settled: (a, b), labels.
+
+    Classes that buckets connect form a group; it is cut into blocks, and every two
+    blocks meet in one task of bounded size. A class is copied once for each block of its
+    group, not for each class.
+    """
+    star = left.groupBy("bucket").agg(F.min("class_id").alias("b"))
+    near = left.join(star, "bucket").select(F.col("class_id").alias("a"), "b")
+    groups = connect(kept(near.distinct(), "near")).select(F.col("node").alias("class_id"), F.col("root").alias("family"))
+    number = groups.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
+    dealt = groups.join(number, "family").withColumn(
+        "own", F.pmod(F.xxhash64(F.lit("block"), F.col("class_id")), "blocks").cast("int")
+    )
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    labels = left.select("class_id", "label").distinct()
+    met = (
+        dealt.join(labels, "class_id")
+        .select("class_id", "label", "family", "own", other)
+        .select("class_id", "label", "family", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    )
+    return (
+        met.join(sets, "class_id")
+        .select("family", "i", "j", "label", "shingles")
+        .groupBy("family", "i", "j")
+        .applyInArrow(_in_block_pair(similarity), "a long, b long")
+    )
+
+
 def _candidate_sets(docs: DataFrame, classes: DataFrame, members: DataFrame, width: int) -> DataFrame:
     """class_id and its sorted shingle hashes, for the classes that are in a bucket."""
     wanted = members.select("class_id").distinct().join(classes, "class_id")
@@ -223,18 +326,30 @@ def _class_links(docs: DataFrame, classes: DataFrame, width: int, similarity: in
     banded = classes.select("class_id", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = freeze(banded.join(shared.select("bucket"), "bucket"), "members")
-    sizes = classes.select("class_id", "n_shingles")
     sets = freeze(_candidate_sets(docs, classes, members, width), "sets")
+    # what a class alone has is in no intersection: many can link with nothing for it
+    shared = F.col("n_shingles") - F.coalesce("own", F.lit(0))
+    sizes = freeze(
+        members.select("class_id")
+        .distinct()
+        .join(classes.select("class_id", "n_shingles"), "class_id")
+        .join(_own_shingles(sets), "class_id", "left")
+        .select("class_id", F.col("n_shingles").alias("n"), shared.alias("shared"))
+        .where(F.col("shared") * 100 >= F.col("n") * similarity),
+        "sizes",
+    )
+    members = freeze(members.join(sizes.select("class_id"), "class_id"), "members")
     labels = members.select("class_id").distinct().withColumn("label", F.col("class_id"))
     labels = freeze(labels, "labels")
     tested = spark.createDataFrame([], "a long, b long")
-    pivots, held = 1, []
+    held: list[str] = []
 
     def kept(df: DataFrame, label: str) -> DataFrame:
         held.append(new_folder(spark, label))
         return freeze(df, label, held[-1])
 
-    while True:
+    def open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
+        """Members, with labels, of the buckets that more than one component has part in."""
         labelled = members.join(labels, "class_id")
         open_buckets = (
             labelled.groupBy("bucket")
@@ -242,25 +357,23 @@ def _class_links(docs: DataFrame, classes: DataFrame, width: int, similarity: in
             .where("low != high")
             .select("bucket")
         )
-        labelled = kept(labelled.join(open_buckets, "bucket"), "open")
-        if labelled.isEmpty():
-            break
-        groups = labelled.groupBy("bucket", "label").agg(
-            F.count(F.lit(1)).alias("n"), F.min("class_id").alias("least")
+        return kept(labelled.join(open_buckets, "bucket"), "open")
+
+    def merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
+        roots = connect(kept(edges.distinct(), "joins")).withColumnRenamed("node", "label")
+        label = F.coalesce("root", "label").alias("label")
+        return kept(labels.join(roots, "label", "left").select("class_id", label), "labels")
+
+    for pivots in PIVOTS:
+        labelled = open_members(members, labels)
+        groups = labelled.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
+        order = Window.partitionBy("bucket").orderBy("n", "label", "class_id")
+        chosen = (
+            labelled.join(groups, ["bucket", "label"])
+            .withColumn("turn", F.row_number().over(order))
+            .where(F.col("turn") <= pivots)
+            .select("bucket", F.col("class_id").alias("pivot"), F.col("label").alias("p_label"))
         )
-        if pivots == 1:
-            chosen = groups.groupBy("bucket").agg(
-                F.min(F.struct("n", "least", "label")).alias("p")
-            )
-            chosen = chosen.select("bucket", F.col("p.least").alias("pivot"), F.col("p.label").alias("p_label"))
-        else:
-            order = Window.partitionBy("bucket").orderBy("n", "label", "class_id")
-            chosen = (
-                labelled.join(groups.drop("least"), ["bucket", "label"])
-                .withColumn("turn", F.row_number().over(order))
-                .where(F.col("turn") <= pivots)
-                .select("bucket", F.col("class_id").alias("pivot"), F.col("label").alias("p_label"))
-            )
         chosen = kept(chosen, "pivots")
         pairs = (
             labelled.join(chosen, "bucket")
@@ -268,9 +381,12 @@ def _class_links(docs: DataFrame, classes: DataFrame, width: int, similarity: in
             .select(F.least("class_id", "pivot").alias("a"), F.greatest("class_id", "pivot").alias("b"))
             .distinct()
         )
-        size_a = sizes.select(F.col("class_id").alias("a"), F.col("n_shingles").alias("n_a"))
-        size_b = sizes.select(F.col("class_id").alias("b"), F.col("n_shingles").alias("n_b"))
-        possible = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * similarity
+        size_a, size_b = (
+            sizes.select(*(F.col(c).alias(d) for c, d in zip(sizes.columns, (x, f"n_{x}", f"s_{x}"), strict=True)))
+            for x in "ab"
+        )
+        most = F.least("s_a", "s_b")
+        possible = most * 100 >= (F.col("n_a") + F.col("n_b") - most) * similarity
         pairs = kept(
             pairs.join(tested, ["a", "b"], "left_anti")
             .join(size_a, "a")
@@ -289,20 +405,14 @@ def _class_links(docs: DataFrame, classes: DataFrame, width: int, similarity: in
         links = confirmed.where("linked").select("a", "b")
         la = labels.select(F.col("class_id").alias("a"), F.col("label").alias("label_a"))
         lb = labels.select(F.col("class_id").alias("b"), F.col("label").alias("label_b"))
-        edges = kept(
-            links.join(la, "a").join(lb, "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b")).distinct(),
-            "joins",
-        )
-        roots = connect(edges).withColumnRenamed("node", "label")
-        labels = kept(
-            labels.join(roots, "label", "left").select("class_id", F.coalesce("root", "label").alias("label")),
-            "labels",
-        )
+        edges = links.join(la, "a").join(lb, "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
+        labels = merged(labels, edges)
         met = chosen.select("bucket", F.col("pivot").alias("class_id"))
         members = kept(
             labelled.select("bucket", "class_id").join(met, ["bucket", "class_id"], "left_anti"), "members"
         )
-        pivots = pivots * 4
+    left = open_members(members, labels)
+    labels = merged(labels, _links_in_blocks(left, sets, similarity, kept))
     final = freeze(labels, "labels")
     for path in held:
         drop_frozen(spark, path)
