@@ -35,7 +35,7 @@ from tidemill.llm.tokens import ID_BYTES, default_vocabulary, shared_encoder
 SEGMENT_TOKENS = 1 << 20
 BLOCK_BITS = 512
 MAGIC = b"DAC1"
-TEXTS_AT_ONCE = 256
+TEXTS_AT_ONCE = 32  # so few that their words stay in a processor's caches
 END_ID = 2
 SEGMENTS = (
     "part int, segment int, first_token long, n_tokens long, "

@@ -125,9 +125,10 @@ class Encoder:
         texts = [text or "" for text in texts]
         cuts = [text.split(" ") if _only_single_spaces(text) else [text] for text in texts]
         fronts = self._library([cut[0] for cut in cuts])
-        new = set().union(*(cut[1:] for cut in cuts)).difference(known)
-        self._learn(list(new))
-        get = known.__getitem__
+        here = set().union(*(cut[1:] for cut in cuts))
+        self._learn([s for s in here if s not in known])
+        # each distinct stretch once from the large table, then from one that caches hold
+        get = {s: known[s] for s in here}.__getitem__
         return [
             front + b"".join(map(get, cut[1:])) for front, cut in zip(fronts, cuts, strict=True)
         ]
