@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemill.functions.batches import equal_rows
 from tidemill.functions.hashing import hex_number
 
 Shape = tuple[int, int, int]
@@ -123,10 +124,7 @@ def _change(
         import pyarrow as pa
 
         count = len(images)
-        flat = images.flatten().to_numpy(zero_copy_only=False)
-        if flat.size != count * size:
-            raise ValueError(f"every image must have {size} values")
-        source = flat.reshape(count, *shape)
+        source = equal_rows(images, size, "values").reshape(count, *shape)
         down, right, mirrored = (c.to_numpy(zero_copy_only=False) for c in (down, right, mirrored))
         out = np.empty(source.shape)
         for start in range(0, count, at_once):

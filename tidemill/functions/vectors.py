@@ -19,10 +19,17 @@ def argmax(scores: Column) -> Column:
 
 
 def cross_entropy(scores: Column, label: Column) -> Column:
-    """Softmax cross-entropy of one row, shifted by the largest score."""
+    """Softmax cross-entropy of one row, shifted by the largest score.
+
+    A label that is none of the classes is an error; without a label there is no loss.
+    """
 
     def shifted(top: Column) -> Column:
         total = F.aggregate(scores, F.lit(0.0), lambda sum_, z: sum_ + F.exp(z - top))
         return F.ln(total) + top - F.element_at(scores, label + 1)
 
-    return let(F.array_max(scores), shifted)
+    outside = (label < 0) | (label >= F.size(scores))
+    message = F.concat(F.lit("no class has the label "), label.cast("string"))
+    return F.when(outside, F.raise_error(message).cast("double")).otherwise(
+        let(F.array_max(scores), shifted)
+    )

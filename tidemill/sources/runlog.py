@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RUN_FIELDS = ("epochs", "stop_iter", "nodes", "batch_size")
-LOG = "epoch int, iteration int, elapsed_time double"
+LOG = "epoch int, iteration long, elapsed_time double"
 
 
 def _run_folder(root: str, run: dict[str, int]) -> str:
@@ -25,7 +25,7 @@ def append_log(rows: DataFrame, root: str, **run: int) -> None:
 def write_rows(rows: DataFrame, folder: str, mode: str) -> None:
     out = rows.select(
         F.col("epoch").cast("int"),
-        F.col("iteration").cast("int"),
+        F.col("iteration").cast("long"),
         F.col("elapsed_time").cast("double"),
     )
     out.write.mode(mode).option("header", True).csv(folder)
