@@ -11,10 +11,11 @@ iteration moves one partial sum per page and task, never the links.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -27,6 +28,7 @@ CUT_EVERY = 5
 HEAVY_ROWS = 1_000_000  # a source with fewer links is never spread
 PARTITION_ROWS = 10_000_000  # links in a partition, unless the caller says how many
 _PROFILE_BUCKETS = 4096
+_SHUFFLE = "spark.sql.shuffle.partitions"
 
 
 def init_ranks(edges: DataFrame) -> DataFrame:
@@ -44,17 +46,36 @@ class Links:
 
     ``cold`` is hash-partitioned by source and sorted by it. Links of a heavy
     source, or of none, would all land in one of its partitions, so ``spread``
-    holds those, partitioned by both ends.
+    holds those, partitioned by both ends. ``heavy`` names the heavy sources: fewer
+    than there are partitions. ``tables`` are the folders some of this is read from.
     """
 
     cold: DataFrame
     partitions: int
     spread: DataFrame | None = None
-    heavy: list = field(default_factory=list)
+    heavy: DataFrame | None = None
+    tables: list[str] = field(default_factory=list)
 
     def parts(self) -> list[DataFrame]:
         return [self.cold] if self.spread is None else [self.cold, self.spread]
 
+    def drop(self) -> None:
+        """Deletes what the layout was read from; nothing may read it any more."""
+        for path in self.tables:
+            drop_frozen(self.cold.sparkSession, path)
+
+
+@dataclass
+class Profile:
+    """What one pass over the links tells: how many, where, and which graph it is."""
+
+    buckets: dict[int, int]
+    fingerprint: str
+
+    @property
+    def total(self) -> int:
+        return sum(self.buckets.values())
+
 
 def lay_out(
     edges: DataFrame,
@@ -62,26 +83,42 @@ def lay_out(
     weight: str,
     num_partitions: int | None = None,
     heavy_rows: int = HEAVY_ROWS,
+    profile: Profile | None = None,
 ) -> Links:
-    """Adds up equal links and brings each source's links together."""
+    """Adds up equal links and brings each source's links together.
+
+    Runs a counting job, and where sources are heavy writes their links; call it once for
+    any number of steps.
+    """
     if weight not in ("raw", "out_degree"):
         raise ValueError(f"weight must be 'raw' or 'out_degree', not {weight!r}")
+    spark = edges.sparkSession
     links = edges.select("source", "target")
-    profile = _profile(links)
+    profile = profile or profile_links(links)
     partitions = num_partitions or _partitions_for(links, profile)
-    uneven, heavy = _heavy_sources(links, profile, partitions, heavy_rows)
-    apart = F.col("source").isNull() | F.col("source").isin(heavy)
-    cold = _count_links((links.where(~apart) if uneven else links).repartition(partitions, "source"))
+    heavy, tables = _heavy_sources(links, profile, partitions, heavy_rows)
+    near = links
+    if heavy is not None:
+        # bounded: fewer names than partitions
+        named = F.broadcast(heavy)
+        near = links.where(F.col("source").isNotNull()).join(named, "source", "left_anti")
+    cold = _count_links(near.repartition(partitions, "source"))
     if weight == "raw":
         cold = cold.withColumn("share", F.col("n").cast("double")).sortWithinPartitions("source")
     else:
         degree = F.sum("n").over(Window.partitionBy("source"))
         cold = cold.withColumn("share", F.col("n") / degree)
     cold = cold.select("source", "target", "share")
-    if not uneven:
+    if heavy is None:
         return Links(cold, partitions)
 
-    spread = _count_links(links.where(apart))
+    apart = links.where(F.col("source").isNull()).unionAll(
+        links.join(named, "source", "left_semi").select("source", "target")
+    )
+    tables.append(new_folder(spark, "spread"))
+    # counted once and sized like the rest, however few partitions the session uses
+    counts = _count_links(apart.repartition(partitions, "source", "target"))
+    spread = freeze(counts, "spread", tables[-1])
     if weight == "raw":
         spread = spread.withColumn("share", F.col("n").cast("double"))
     else:
@@ -91,7 +128,7 @@ def lay_out(
         )
         spread = spread.join(F.broadcast(degrees), "source", "left")
         spread = spread.withColumn("share", F.col("n") / F.col("degree"))
-    return Links(cold, partitions, spread.select("source", "target", "share"), heavy)
+    return Links(cold, partitions, spread.select("source", "target", "share"), heavy, tables)
 
 
 def _count_links(links: DataFrame) -> DataFrame:
@@ -102,38 +139,70 @@ def _bucket() -> Column:
     return F.pmod(F.xxhash64("source"), F.lit(_PROFILE_BUCKETS))
 
 
-def _profile(links: DataFrame) -> dict[int, int]:
-    """Links by bucket of their source; a fixed number of buckets."""
-    sizes = links.groupBy(_bucket().alias("bucket")).count()
-    return {row["bucket"]: row["count"] for row in sizes.collect()}
+def profile_links(links: DataFrame) -> Profile:
+    """Links by bucket of their source, a fixed number of buckets, and a fingerprint.
+
+    The fingerprint is made of the number of links and of two sums over their
+    hashes, so it does not depend on their order.
+    """
+    link = F.xxhash64("source", "target")
+    sizes = links.groupBy(_bucket().alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(link.bitwiseAND(F.lit(0xFFFFFF))).alias("low"),
+        F.bit_xor(link).alias("mixed"),
+    )
+    rows = sizes.collect()
+    mixed = 0
+    for row in rows:
+        mixed ^= row["mixed"] & 0xFFFFFFFFFFFFFFFF
+    total = sum(row["n"] for row in rows)
+    fingerprint = f"{total:x}-{sum(row['low'] for row in rows):x}-{mixed:x}"
+    return Profile({row["bucket"]: row["n"] for row in rows}, fingerprint)
 
 
-def _partitions_for(links: DataFrame, profile: dict[int, int]) -> int:
+def _partitions_for(links: DataFrame, profile: Profile) -> int:
     """Enough for the links and the cores. If the session shuffles into about
     that many, exactly as many, so that ranks come out where they are needed."""
     spark = links.sparkSession
-    wanted = max(
-        spark.sparkContext.defaultParallelism, -(-sum(profile.values()) // PARTITION_ROWS)
-    )
+    wanted = max(spark.sparkContext.defaultParallelism, -(-profile.total // PARTITION_ROWS))
     usual = shuffle_partitions(spark)
     return usual if wanted <= usual <= 4 * wanted else wanted
 
 
 def _heavy_sources(
-    links: DataFrame, profile: dict[int, int], partitions: int, heavy_rows: int
-) -> tuple[bool, list]:
-    """Whether to split, and the named sources with more links than an average
-    partition holds. There are fewer of those than partitions.
+    links: DataFrame, profile: Profile, partitions: int, heavy_rows: int
+) -> tuple[DataFrame | None, list[str]]:
+    """A table of the named sources with more links than an average partition holds,
+    or none if no source has, and where it is.
 
     Single sources are looked at only in buckets big enough to hold one.
     """
-    limit = max(heavy_rows, sum(profile.values()) // partitions)
-    full = [bucket for bucket, count in profile.items() if count > limit]
+    limit = max(heavy_rows, profile.total // partitions)
+    full = [bucket for bucket, count in profile.buckets.items() if count > limit]
     if not full:
-        return False, []
+        return None, []
     counted = links.where(_bucket().isin(full)).groupBy("source").count()
-    found = [row["source"] for row in counted.where(F.col("count") > limit).collect()]
-    return bool(found), [source for source in found if source is not None]
+    path = new_folder(links.sparkSession, "heavy")
+    found = freeze(counted.where(F.col("count") > limit).select("source"), "heavy", path)
+    if found.isEmpty():
+        drop_frozen(links.sparkSession, path)
+        return None, []
+    return found.where(F.col("source").isNotNull()), [path]
+
+
+@contextmanager
+def shuffling_into(spark: SparkSession, partitions: int):
+    """The session's number of shuffle partitions, changed for what runs inside.
+
+    Sums by target then come out where the links of these sources are, and one
+    exchange serves both.
+    """
+    usual = spark.conf.get(_SHUFFLE)
+    spark.conf.set(_SHUFFLE, str(partitions))
+    try:
+        yield
+    finally:
+        spark.conf.set(_SHUFFLE, usual)
 
 
 def _next_ranks(
@@ -144,13 +213,10 @@ def _next_ranks(
         rank = F.when(F.col("source").isNotNull(), F.lit(1.0))
         shared = [part.withColumn("rank", rank) for part in links.parts()]
     else:
-        if links.partitions != shuffle_partitions(ranks.sparkSession):
-            # move the ranks to where the links are, rather than the links
-            ranks = ranks.repartition(links.partitions, "source")
         shared = [links.cold.join(ranks, "source", "left")]
         if links.spread is not None:
             # ranks hold a page once, so this is one row per heavy source
-            few = F.broadcast(ranks.where(F.col("source").isin(links.heavy)))
+            few = F.broadcast(ranks.join(F.broadcast(links.heavy), "source", "left_semi"))
             shared.append(links.spread.join(few, "source", "left"))
     columns: list[Column | str] = ["target", _rank_column(damping, missing), "share"]
     passed = shared[0].select(*columns)
@@ -181,20 +247,15 @@ def _rank_column(damping: float, missing: str) -> Column:
 
 
 def rank_step(
-    edges: DataFrame,
-    ranks: DataFrame,
-    *,
-    weight: str,
-    damping: float = DAMPING,
-    missing: str = "null",
+    links: Links, ranks: DataFrame, *, damping: float = DAMPING, missing: str = "null"
 ) -> DataFrame:
-    """New ranks of all targets from the ranks of the sources.
+    """New ranks of all targets from the ranks of the sources, each of which is there once.
 
     A source without a rank passes nothing on; a target that gets nothing at all
     has a null rank, unless ``missing="teleport"`` gives unranked sources the
     rank of a page nobody links to.
     """
-    return _next_ranks(lay_out(edges, weight=weight), ranks, damping, missing)
+    return _next_ranks(links, ranks, damping, missing)
 
 
 def pagerank(
@@ -209,46 +270,56 @@ def pagerank(
     snapshot_dir: str | None = None,
     missing: str = "null",
     heavy_rows: int = HEAVY_ROWS,
+    result_path: str | None = None,
 ) -> DataFrame:
     """``iters`` rank steps from rank 1 everywhere, as ``(source, rank)``.
 
     Every ``cut_every`` iterations the ranks are written out, so no plan holds
-    more joins than that and a lost executor costs at most that many steps.
-    With ``snapshot_dir`` they are written there, along with the last ones, and
-    a later call over the same edges goes on from the newest it finds.
-    ``cache`` keeps the laid-out links for the run and writes the last ranks too,
-    so nothing stays cached afterwards; without it they are laid out anew after
-    every cut and the last iterations stay lazy.
+    more joins than that and a lost executor costs at most that many steps; so are
+    the last ones, to ``result_path`` if the caller wants to drop them later.
+    With ``snapshot_dir`` they are published there, along with the last ones, and
+    a later call over the same edges goes on from the newest it finds. Other edges have
+    snapshots of their own in the same folder. ``cache`` keeps the laid-out links for
+    the run; without it they are laid out anew after every cut.
     """
     spark = edges.sparkSession
-    saved = None if snapshot_dir is None else f"{snapshot_dir}/{weight}-{damping}-{missing}"
+    if iters == 0:
+        return init_ranks(edges)
+    profile = profile_links(edges)
+    saved = None
+    if snapshot_dir is not None:
+        saved = f"{snapshot_dir}/{weight}-{damping}-{missing}-{profile.fingerprint}"
     done = (latest_step(spark, saved, at_most=iters) if saved else None) or 0
-    ranks = None
-    if done:
-        ranks = read_step(spark, saved, done)
+    ranks = read_step(spark, saved, done) if done else None
     if done == iters:
-        return init_ranks(edges) if ranks is None else ranks
+        return ranks
 
-    links = lay_out(edges, weight=weight, num_partitions=num_partitions, heavy_rows=heavy_rows)
-    if links.spread is not None:
-        cut_every = 1  # both parts read the ranks: from a table, not by two plans
+    links = lay_out(
+        edges, weight=weight, num_partitions=num_partitions, heavy_rows=heavy_rows, profile=profile
+    )
     if cache:
         for part in links.parts():
             part.persist(StorageLevel.MEMORY_AND_DISK)
     cut = None
     try:
-        for step in range(done + 1, iters + 1):
-            ranks = _next_ranks(links, ranks, damping, missing)
-            due = step % cut_every == 0
-            if saved and (due or step == iters):
-                ranks = publish(ranks, saved, step)
-            elif (due and step < iters) or (cache and step == iters):
-                before, cut = cut, new_folder(spark, "ranks")
-                ranks = freeze(ranks, "ranks", cut)
+        with shuffling_into(spark, links.partitions):
+            for step in range(done + 1, iters + 1):
+                ranks = _next_ranks(links, ranks, damping, missing)
+                due = step % cut_every == 0 or step == iters
+                before = cut
+                if saved and due:
+                    ranks, cut = publish(ranks, saved, step), None
+                # with two parts both read the ranks: from a table, not by two plans
+                elif due or links.spread is not None:
+                    cut = (step == iters and result_path) or new_folder(spark, "ranks")
+                    ranks = freeze(ranks, "ranks", cut)
+                else:
+                    continue
                 if before is not None:
                     drop_frozen(spark, before)
     finally:
         if cache:
             for part in links.parts():
                 part.unpersist()
+        links.drop()
     return ranks
