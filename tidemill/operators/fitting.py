@@ -11,10 +11,10 @@ import time
 from collections.abc import Callable, Sequence
 
 import numpy as np
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemill.functions.batches import class_labels, equal_rows
 from tidemill.session import new_folder
 from tidemill.sources.snapshots import drop_frozen, freeze
 from tidemill.sources.state import State, load_state, save_state
@@ -24,7 +24,7 @@ MOMENTUM = 0.9
 WEIGHT_DECAY = 1e-4
 STOP_ITER = 40
 PARTIAL = "rank int, n long, loss double, gradient array<double>"
-FIT_LOG = "epoch int, iteration int, elapsed_time double, loss double"
+FIT_LOG = "epoch int, iteration long, elapsed_time double, loss double"
 
 
 def score(
@@ -45,9 +45,7 @@ def score(
 
         classes, width = matrix.shape
         dim = width - bias
-        x = rows.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-        if x.size != len(rows) * dim:
-            raise ValueError(f"every row must have {dim} features")
+        x = equal_rows(rows, dim, "features").astype(np.float64)
         z = x.reshape(len(rows), dim) @ matrix[:, :dim].T
         if bias:
             z += matrix[:, dim]
@@ -76,14 +74,14 @@ def partial_gradients(rows: DataFrame, weights: np.ndarray, *, bias: bool = Fals
             count = batch.num_rows
             if count == 0:
                 continue
-            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-            if x.size != count * dim:
-                raise ValueError(f"every row must have {dim} features")
+            x = equal_rows(batch.column(1), dim, "features").astype(np.float64)
             x = x.reshape(count, dim)
             if bias:
                 x = np.hstack([x, np.ones((count, 1))])
-            label = batch.column(2).to_numpy(zero_copy_only=False)
+            label = class_labels(batch.column(2), matrix.shape[0])
             rank = batch.column(0).to_numpy(zero_copy_only=False)
+            order = np.argsort(rank, kind="stable")
+            x, label, rank = x[order], label[order], rank[order]
             z = x @ matrix.T
             z -= z.max(axis=1, keepdims=True)
             e = np.exp(z)
@@ -92,14 +90,14 @@ def partial_gradients(rows: DataFrame, weights: np.ndarray, *, bias: bool = Fals
             loss = np.log(total[:, 0]) - z[row, label]
             error = e / total
             error[row, label] -= 1.0
-            for r in np.unique(rank):
-                mine = rank == r
-                old = sums.get(int(r), (0, 0.0, 0.0))
-                sums[int(r)] = (
-                    old[0] + int(mine.sum()),
-                    old[1] + float(loss[mine].sum()),
-                    old[2] + error[mine].T @ x[mine],
-                )
+            starts = np.flatnonzero(np.r_[True, rank[1:] != rank[:-1]])
+            losses = np.add.reduceat(loss, starts)
+            for r, start, end, summed in zip(
+                rank[starts].tolist(), starts, [*starts[1:], count], losses, strict=True
+            ):
+                old = sums.get(r, (0, 0.0, 0.0))
+                gradient = error[start:end].T @ x[start:end]
+                sums[r] = (old[0] + int(end - start), old[1] + float(summed), old[2] + gradient)
         if sums:
             yield pa.RecordBatch.from_arrays(
                 [
@@ -149,7 +147,7 @@ def sgd_update(
 
 
 def sgd_fit(
-    shards: DataFrame,
+    shards: DataFrame | Callable[[int], DataFrame],
     classes: int,
     dim: int,
     *,
@@ -158,47 +156,87 @@ def sgd_fit(
     weight_decay: float = WEIGHT_DECAY,
     bias: bool = True,
     epochs: int = 1,
-    stop_iter: int = STOP_ITER,
+    stop_iter: int | None = None,
+    prepare: Callable[[DataFrame, int], DataFrame] | None = None,
     checkpoint_roots: Sequence[str] = (),
+    save_every: int | None = None,
     should_stop: Callable[[int], bool] | None = None,
+    on_log: Callable[[DataFrame, bool], None] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Fits ``shards`` (``rank, batch_idx, features, label``) from zero weights.
 
-    Returns the final state and a log with one row per step. With
-    ``checkpoint_roots`` the fit goes on from the first saved state it finds.
-    ``should_stop(step)`` is asked after the gradient of step 0, 1, ... and
-    before its update; on yes that step is dropped and the state saved under the
-    first root.
+    Shards given as a function of the epoch are laid out anew for each. Each epoch takes
+    all batches, or the first ``stop_iter``. ``prepare(rows, epoch)`` changes the
+    rows of each batch when it is read, and may use their other columns.
+
+    Returns the final state and a log with one row per step of this call. With
+    ``checkpoint_roots`` the fit goes on from the first saved state it finds, and saves
+    its own under the first root: every ``save_every`` steps, when it is told to stop
+    and at the end. Before each saving ``on_log(rows, anew)`` gets the log of the
+    steps since the last; ``anew`` says that they begin with the first step of all.
+    ``should_stop(step)`` is asked after the gradient of step 0, 1, ... and before
+    its update; on yes that step is dropped.
     """
-    spark = shards.sparkSession
+    one_layout = isinstance(shards, DataFrame)
+    spark = shards.sparkSession if one_layout else SparkSession.active()
     state = load_state(spark, checkpoint_roots, classes) or State.zero(classes, dim + bias)
-    log = []
-    # Sorted by batch, a step skips what it does not need by its range of batches, in
-    # cached blocks as in files. What memory does not hold is read from the table again.
-    used = shards.where(F.col("batch_idx") < stop_iter)
-    used = used.select("rank", "batch_idx", "features", "label").sortWithinPartitions("batch_idx")
-    path = new_folder(spark, "shards")
-    rows = freeze(used, "shards", path).persist(StorageLevel.MEMORY_ONLY)
+    log, logged, saved = [], 0, state.step
+    rows, batches, laid_out, path = None, None, None, None
+
+    def save() -> None:
+        nonlocal logged, saved
+        if on_log is not None and (logged < len(log) or not log):
+            anew = logged == 0 and state.step == len(log)
+            on_log(spark.createDataFrame(log[logged:], FIT_LOG), anew)
+        logged = len(log)
+        if checkpoint_roots and state.step > saved:
+            save_state(spark, checkpoint_roots[0], state)
+            saved = state.step
+
     try:
-        last = rows.agg(F.max("batch_idx")).first()[0]
-        batches = 0 if last is None else last + 1
-        while state.step < epochs * batches:
+        while True:
+            epoch = 0 if not batches else state.step // batches
+            if batches is not None and state.step >= epochs * batches:
+                break
+            if rows is None or (laid_out != epoch and not one_layout):
+                if path is not None:
+                    drop_frozen(spark, path)
+                path, laid_out = new_folder(spark, "shards"), epoch
+                rows = _lay_out(shards if one_layout else shards(epoch), stop_iter, path)
+                if batches is None:
+                    last = rows.agg(F.max("batch_idx")).first()[0]
+                    batches = 0 if last is None else last + 1
+                    continue
             started = time.perf_counter()
-            epoch, batch_idx = divmod(state.step, batches)
+            batch_idx = state.step % batches
             batch = rows.where(F.col("batch_idx") == batch_idx)
+            if prepare is not None:
+                batch = prepare(batch, epoch)
             means = gather_mean(rank_means(partial_gradients(batch, state.weights, bias=bias)))
             numbers = np.zeros(1 + state.weights.size)
             for pos, value in means.collect():  # classes * width numbers and the loss
                 numbers[pos] = value
             if should_stop is not None and should_stop(state.step):
-                if checkpoint_roots:
-                    save_state(spark, checkpoint_roots[0], state)
                 break
             gradient = numbers[1:].reshape(state.weights.shape)
             state = sgd_update(state, gradient, lr=lr, momentum=momentum, weight_decay=weight_decay)
             elapsed = time.perf_counter() - started
             log.append((epoch, batch_idx + 1, elapsed, float(numbers[0])))
+            if save_every is not None and state.step % save_every == 0:
+                save()
+        save()
     finally:
-        rows.unpersist()
-        drop_frozen(spark, path)
+        if path is not None:
+            drop_frozen(spark, path)
     return state.table(spark), spark.createDataFrame(log, FIT_LOG)
+
+
+def _lay_out(shards: DataFrame, stop_iter: int | None, path: str) -> DataFrame:
+    """Writes the shards in the order of their batches, so that a step reads its own.
+
+    Files hold ranges of batches and are sorted inside, so the filter of a step reaches
+    the scan and leaves out files and row groups by what their footers say.
+    """
+    used = shards if stop_iter is None else shards.where(F.col("batch_idx") < stop_iter)
+    ordered = used.repartitionByRange("batch_idx", "rank").sortWithinPartitions("batch_idx", "rank")
+    return freeze(ordered, "shards", path)

@@ -62,15 +62,21 @@ def close_gaps(df: DataFrame, order_id: str = "order_id", position: str = "pos")
 
 
 def global_position(
-    df: DataFrame, keys: Sequence[str], *, position: str = "pos", ascending=True
+    df: DataFrame,
+    keys: Sequence[str],
+    *,
+    position: str = "pos",
+    ascending=True,
+    path: str | None = None,
 ) -> tuple[DataFrame, int]:
     """Adds each row's position in the order of ``keys``, and counts the rows.
 
     One range exchange; the sorted rows are written once, because the bounds of
-    a range exchange differ from run to run.
+    a range exchange differ from run to run. They go to ``path`` if the caller
+    wants to drop them later.
     """
     ordered = with_order_id(global_sort(df, keys, ascending=ascending), "_order_id")
-    placed, total = close_gaps(freeze(ordered, "ordered"), "_order_id", position)
+    placed, total = close_gaps(freeze(ordered, "ordered", path), "_order_id", position)
     return placed.drop("_order_id"), total
 
 
@@ -106,7 +112,9 @@ def hash_position(
         # buckets are in digest order: those that start in time are a prefix
         needed = [part for part, start in buckets.starts if start < first]
         keyed = keyed.where(bucket <= needed[-1] if needed else F.lit(False))
-    within = Window.partitionBy("_part").orderBy("_digest", tie)
+    # rows that agree in all this are the same to any reader of the positions
+    same = F.xxhash64(*(f.name for f in df.schema if not isinstance(f.dataType, T.MapType)))
+    within = Window.partitionBy("_part").orderBy("_digest", tie, same)
     placed = (
         keyed.withColumn("_part", bucket)
         .withColumn("_row", F.row_number().over(within))

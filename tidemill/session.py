@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -29,7 +31,7 @@ def local_session(cores: int | str = "*", app: str = "tidemill", **conf: str) ->
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 
-    A local session that names none gets a temporary folder; on a cluster a
+    A local session that names none gets a temporary folder until it exits; on a cluster a
     machine-local folder would lose data, so that is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -40,6 +42,7 @@ def shared_folder(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _local_folders:
         _local_folders[app] = tempfile.mkdtemp(prefix="tidemill-")
+        atexit.register(shutil.rmtree, _local_folders[app], ignore_errors=True)
     return _local_folders[app]
 
 

@@ -53,3 +53,9 @@ def split_train_test(
     sides are disjoint and stable whatever the layout of the table."""
     bucket = hex_number(keyed_md5(seed, F.col(id_col)), 1, 8) % 100
     return df.withColumn("split", F.when(bucket < test_percent, "test").otherwise("train"))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, wherever Spark can reach it."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
