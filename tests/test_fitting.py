@@ -3,6 +3,7 @@ import pytest
 from conftest import DATA
 from pyspark.sql import functions as F
 
+from tidemill.functions.vectors import cross_entropy
 from tidemill.operators.evaluation import accuracy, batch_mean_loss, evaluate
 from tidemill.operators.fitting import (
     allreduce_mean,
@@ -14,7 +15,7 @@ from tidemill.operators.fitting import (
 )
 from tidemill.operators.sampling import minibatch, shard_assign
 from tidemill.session import new_folder
-from tidemill.sources.snapshots import publish
+from tidemill.sources.snapshots import latest_step, publish
 from tidemill.sources.state import State, load_state, save_state
 
 CLASSES, DIM = 4, 6
@@ -193,3 +194,72 @@ def test_golden_evaluation(spark):
     )
     assert accuracy(scored).first()["correct"] == 53
     assert batch_mean_loss(scored, 500).first()["loss"] == pytest.approx(2.308489503, abs=1e-9)
+
+
+def test_rows_of_unequal_width_never_mix(spark):
+    """Three values and one are four, as two rows of two would be."""
+    rows = spark.createDataFrame(
+        [(0, [1.0, 2.0, 3.0], 0), (0, [4.0], 1)], "rank int, features array<double>, label int"
+    ).coalesce(1)
+    with pytest.raises(Exception, match="row 0 of its batch has 3"):
+        score(rows, np.zeros((2, 2))).collect()
+    with pytest.raises(Exception, match="row 0 of its batch has 3"):
+        partial_gradients(rows, np.zeros((2, 2))).collect()
+    nulls = spark.createDataFrame([(0, [1.0, None], 0)], rows.schema)
+    with pytest.raises(Exception, match="null"):
+        score(nulls, np.zeros((2, 2))).collect()
+
+
+@pytest.mark.parametrize("label", [-2, -1, 2, None])
+def test_a_label_that_is_no_class_is_an_error(spark, label):
+    rows = spark.createDataFrame(
+        [(0, [1.0, 2.0], label)], "rank int, features array<double>, label int"
+    )
+    with pytest.raises(Exception, match="label"):
+        partial_gradients(rows, np.zeros((2, 2))).collect()
+    loss = cross_entropy(F.col("features"), F.col("label"))
+    if label is None:
+        assert rows.select(loss.alias("loss")).first()["loss"] is None
+    else:
+        with pytest.raises(Exception, match="no class"):
+            rows.select(loss).collect()
+
+
+def test_a_finished_fit_is_not_fitted_again(spark, table):
+    shards = minibatch(shard_assign(table, "id", 3, 1), 10)
+    root, saved = new_folder(spark, "test-state"), []
+    options = {"epochs": 2, "checkpoint_roots": [root], "save_every": 2}
+
+    def on_log(rows, anew):
+        saved.append((anew, [(r["epoch"], r["iteration"]) for r in rows.collect()]))
+
+    first, log = sgd_fit(shards, CLASSES, DIM, on_log=on_log, **options)
+    assert log.count() == 6 and latest_step(spark, root) == 6
+    assert [anew for anew, _ in saved][0] and not any(anew for anew, _ in saved[1:])
+    assert [x for _, rows in saved for x in rows] == [(e, i) for e in (0, 1) for i in (1, 2, 3)]
+    again, log = sgd_fit(shards, CLASSES, DIM, **options)
+    assert log.count() == 0
+    assert np.array_equal(State.from_table(first, CLASSES).weights, State.from_table(again, CLASSES).weights)
+
+
+def test_rows_are_prepared_anew_each_epoch(spark, table, data):
+    shards = minibatch(shard_assign(table, "id", 1, 1), 90)
+    x, y = data
+
+    def prepare(rows, epoch):
+        return rows.withColumn("features", F.transform("features", lambda v: v * F.lit(epoch + 1.0)))
+
+    state, log = sgd_fit(shards, CLASSES, DIM, bias=False, epochs=2, prepare=prepare)
+    expected, losses = numpy_fit([[(x, y)], [(2 * x, y)]], 0, 1)
+    assert np.allclose(State.from_table(state, CLASSES).weights, expected)
+    assert np.allclose([r["loss"] for r in log.orderBy("epoch").collect()], losses)
+
+
+def test_shards_of_each_epoch(spark, table, data):
+    def shards(epoch):
+        return minibatch(shard_assign(table, "id", 1, 1, epoch=epoch), 45)
+
+    state, _ = sgd_fit(shards, CLASSES, DIM, epochs=2)
+    batches = rank_batches(shards(0), data) + rank_batches(shards(1), data)
+    expected, _ = numpy_fit(batches, 1, 1)
+    assert np.allclose(State.from_table(state, CLASSES).weights, expected)

@@ -1,13 +1,18 @@
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.errors import AnalysisException
 
-from tidemill.__main__ import parse
+from pyspark.sql import functions as F
+
+from tidemill.__main__ import parse, stop_once
 from tidemill.operators.progress import interval_rollup, phase_rollup
-from tidemill.plans.jobs import fit_job, rank_job, sort_job
+from tidemill.plans.jobs import fit_job, fit_progress, rank_job, sort_job
 from tidemill.session import new_folder, shared_folder
 from tidemill.sources.files import read_csv
 from tidemill.sources.runlog import append_log, read_log, start_log
+from tidemill.sources.state import State
 
 
 @pytest.fixture
@@ -18,11 +23,17 @@ def links(tmp_path):
     return str(tmp_path / "links")
 
 
+def left_behind(spark):
+    folder = Path(shared_folder(spark).removeprefix("file://"))
+    return {p.name for p in folder.iterdir()} if folder.is_dir() else set()
+
+
 @pytest.mark.parametrize("options", [{}, {"num_partitions": 3}, {"cache": False}])
 def test_rank_job(spark, links, tmp_path, options):
-    out = str(tmp_path / "out")
+    out, before = str(tmp_path / "out"), left_behind(spark)
     log = rank_job(spark, links, out, weight="raw", iters=2, **options)
     assert [name for name, _ in log.rows] == ["read", "compute", "write"]
+    assert left_behind(spark) == before
     back = read_csv(spark, out)
     assert back.columns == ["source", "rank"]
     assert {r["source"]: float(r["rank"]) for r in back.collect()} == pytest.approx(
@@ -49,7 +60,22 @@ def test_fit_job(spark):
         label = i % 3
         rows.append((i, (centres[label] + rng.normal(size=5)).tolist(), label))
     data = spark.createDataFrame(rows, "id long, features array<double>, label int")
-    root = new_folder(spark, "test-runs")
+    root, states, model = (new_folder(spark, f"test-{x}") for x in ("runs", "state", "model"))
+    before = left_behind(spark)
+    options = {"log_root": root, "checkpoint_roots": [states], "model_out": model}
+    stopped = fit_job(
+        data.where("id < 240"),
+        data.where("id >= 240"),
+        3,
+        5,
+        nodes=4,
+        epochs=2,
+        stop_iter=3,
+        total_batch_size=64,
+        should_stop=lambda step: step == 4,
+        **options,
+    )
+    assert stopped[1].count() == 4
     state, log, result = fit_job(
         data.where("id < 240"),
         data.where("id >= 240"),
@@ -59,11 +85,15 @@ def test_fit_job(spark):
         epochs=2,
         stop_iter=3,
         total_batch_size=64,
-        log_root=root,
+        save_every=1,
+        **options,
     )
+    new = {name.rsplit("-", 1)[0] for name in left_behind(spark) - before}
+    assert new == {"test-runs", "test-state", "test-model"}
+    assert State.from_table(spark.read.parquet(model), 3).step == 6
     row = result.first()
     assert row["total"] == 60 and row["percent"] > 80 and row["batches"] == 4
-    assert log.count() == 6
+    assert log.count() == 2
     written = read_log(spark, root).collect()
     assert {(r["epochs"], r["stop_iter"], r["nodes"], r["batch_size"]) for r in written} == {(2, 3, 4, 16)}
     assert sorted((r["epoch"], r["iteration"]) for r in written) == [
@@ -95,6 +125,35 @@ def test_progress_reports_full_intervals_only(spark):
     assert found == [(e, *row) for e in (0, 1) for row in per_epoch]
 
 
+def test_progress_of_a_resumed_and_of_a_long_run(spark):
+    schema = "epoch int, iteration long, elapsed_time double, loss double"
+    resumed = spark.createDataFrame([(0, i, 1.0, 1.0) for i in range(26, 41)], schema)
+    options = {"batch_size": 64, "ranks": 4, "total_rows": 50000, "steps": 45}
+    row = interval_rollup(resumed, **options).collect()
+    assert [(r["iteration"], r["interval_time"]) for r in row] == [(40, 15.0)]
+    far = spark.createDataFrame([(0, 10_000_000, 1.0, 1.0)], schema)
+    assert interval_rollup(far, **options).first()["rows_seen"] == 2_560_000_000
+    two = resumed.withColumn("run", F.lit("a")).unionAll(resumed.withColumn("run", F.lit("b")))
+    assert interval_rollup(two, by=["run"], **options).count() == 2
+
+
+def test_images_are_fitted_augmented_and_scored_as_they_are(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, rng.integers(0, 255, 48).astype(float).tolist(), i % 2) for i in range(60)]
+    data = spark.createDataFrame(rows, "id long, features array<double>, label int")
+    state, log, result = fit_job(data, data, 2, 48, epochs=2, total_batch_size=30, image_shape=(3, 4, 4))
+    assert log.count() == 4 and result.first()["total"] == 60
+    progress = fit_progress(log, nodes=1, total_batch_size=30, total_rows=60)
+    assert progress.count() == 0
+
+
+def test_a_file_stops_a_fit(spark, tmp_path):
+    ask = stop_once(spark, str(tmp_path / "stop"))
+    assert not ask(0)
+    (tmp_path / "stop").write_text("")
+    assert ask(1)
+
+
 def test_an_unnamed_phase_is_not_the_total(spark):
     df = spark.createDataFrame([(None, 1.0), ("a", 2.0)], "phase string, seconds double")
     assert {tuple(r) for r in phase_rollup(df).collect()} == {(None, 0, 1.0), ("a", 0, 2.0), (None, 1, 3.0)}

@@ -15,10 +15,11 @@ from tidemill.plans.jobs import (
     TOTAL_BATCH_SIZE,
     PhaseLog,
     fit_job,
+    fit_progress,
     rank_job,
     sort_job,
 )
-from tidemill.sources.files import read_labelled, split_train_test
+from tidemill.sources.files import exists, read_labelled, split_train_test
 
 
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
@@ -53,9 +54,18 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     fit.add_argument("--total_batch_size", type=int, default=TOTAL_BATCH_SIZE)
     fit.add_argument("--log-root")
     fit.add_argument("--checkpoint-roots", nargs="*", default=[])
+    fit.add_argument("--save-every", type=int, help="steps from one saved state to the next")
+    fit.add_argument("--stop-file", help="the fit saves its state and ends once this file exists")
+    fit.add_argument("--model-out", help="where the fitted state is written as parquet")
+    fit.add_argument("--image-shape", nargs=3, type=int, metavar=("C", "H", "W"))
     return parser.parse_args(argv)
 
 
+def stop_once(spark: SparkSession, path: str):
+    """Asks, step by step, whether ``path`` exists."""
+    return lambda step: exists(spark, path)
+
+
 def main(argv: list[str] | None = None) -> None:
     args = parse(argv)
     phases = PhaseLog()
@@ -81,8 +91,9 @@ def main(argv: list[str] | None = None) -> None:
             spark, args.input, id_col=args.id, features=args.features, label=args.label
         )
         split = split_train_test(table, seed=SEED)
+        train = split.where("split = 'train'")
         _, log, result = fit_job(
-            split.where("split = 'train'"),
+            train,
             split.where("split = 'test'"),
             args.classes,
             args.dim,
@@ -91,9 +102,21 @@ def main(argv: list[str] | None = None) -> None:
             stop_iter=args.stop_iter,
             total_batch_size=args.total_batch_size,
             log_root=args.log_root,
+            image_shape=tuple(args.image_shape) if args.image_shape else None,
             checkpoint_roots=args.checkpoint_roots,
+            save_every=args.save_every,
+            should_stop=stop_once(spark, args.stop_file) if args.stop_file else None,
+            model_out=args.model_out,
+        )
+        steps = log.count()
+        log.orderBy("epoch", "iteration").show(steps, truncate=False)
+        progress = fit_progress(
+            log,
+            nodes=args.num_nodes,
+            total_batch_size=args.total_batch_size,
+            total_rows=train.count(),
         )
-        log.show()
+        progress.orderBy("epoch", "iteration").show(steps, truncate=False)
         result.show()
     spark.stop()
 

@@ -7,16 +7,21 @@ from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemill.functions.hashing import keyed_md5
+from tidemill.functions.pixels import Shape, eval_pixels, train_pixels
 from tidemill.operators.evaluation import evaluate
 from tidemill.operators.fitting import STOP_ITER, score, sgd_fit
 from tidemill.operators.ordering import global_position, sort_csv
+from tidemill.operators.progress import interval_rollup
 from tidemill.operators.ranking import ITERATIONS, pagerank
 from tidemill.operators.sampling import minibatch, rank_batch_size, shard_assign
 from tidemill.sources.files import write_csv
 from tidemill.sources.links import read_edges
 from tidemill.sources.runlog import append_log, start_log
-from tidemill.sources.snapshots import freeze
+from tidemill.session import new_folder
+from tidemill.sources.snapshots import drop_frozen, freeze
 from tidemill.sources.state import State
 
 PHASES = "phase string, seconds double"
@@ -71,8 +76,10 @@ def rank_job(
     ends, so that its seconds and those of the write phase mean what they say.
     """
     log = phases or PhaseLog()
+    folders = [new_folder(spark, label) for label in ("edges", "ranks")]
     with log.phase("read"):
-        edges = read_edges(spark, src)
+        # ranking reads the edges more than once; the text is parsed once
+        edges = freeze(read_edges(spark, src), "edges", folders[0])
     with log.phase("compute"):
         ranks = pagerank(
             edges,
@@ -81,11 +88,12 @@ def rank_job(
             num_partitions=num_partitions,
             cache=cache,
             snapshot_dir=snapshot_dir,
+            result_path=folders[1],
         )
-        if not cache and snapshot_dir is None:
-            ranks = freeze(ranks, "ranks")
     with log.phase("write"):
         write_csv(ranks, dst)
+    for folder in folders:
+        drop_frozen(spark, folder)
     return log
 
 
@@ -97,37 +105,78 @@ def fit_job(
     *,
     nodes: int = 1,
     epochs: int = 1,
-    stop_iter: int = STOP_ITER,
+    stop_iter: int | None = STOP_ITER,
     total_batch_size: int = TOTAL_BATCH_SIZE,
     seed: int = SEED,
+    image_shape: Shape | None = None,
     log_root: str | None = None,
     checkpoint_roots: Sequence[str] = (),
+    save_every: int | None = None,
     should_stop: Callable[[int], bool] | None = None,
+    model_out: str | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Shards ``train``, fits it and scores ``test`` (both ``id, features, label``).
 
-    Returns the state, the iteration log and one row ``loss, batches, correct,
-    total, percent``. A fit that was told to stop is scored as far as it got.
+    Returns the state, the iteration log of this call and one row ``loss, batches,
+    correct, total, percent``. A fit that was told to stop is scored as far as it got.
+    One node takes its rows in a new order each epoch. With ``image_shape`` features
+    are images: cropped and flipped anew each epoch to fit, standardised to score.
+    The state is also written to ``model_out``, in place of what is there.
     """
     spark = train.sparkSession
     batch_size = rank_batch_size(total_batch_size, nodes)
-    shards = shard_assign(train, "id", nodes, seed, rows_per_rank=batch_size * stop_iter)
-    batches = minibatch(shards, batch_size, stop_iter=stop_iter)
+    used = None if stop_iter is None else batch_size * stop_iter
+
+    def batches(epoch: int) -> DataFrame:
+        shards = shard_assign(train, "id", nodes, seed, epoch=epoch, rows_per_rank=used)
+        return minibatch(shards, batch_size, stop_iter=stop_iter)
+
+    def augmented(rows: DataFrame, epoch: int) -> DataFrame:
+        digest = keyed_md5(seed, epoch, F.col("id"))
+        return rows.withColumn("features", train_pixels(F.col("features"), image_shape, digest))
+
+    run = {"epochs": epochs, "stop_iter": stop_iter, "nodes": nodes, "batch_size": batch_size}
+
+    def write_log(rows: DataFrame, anew: bool) -> None:
+        if anew:
+            start_log(spark, log_root, **run)
+        append_log(rows, log_root, **run)
+
     state, log = sgd_fit(
-        batches,
+        batches if nodes == 1 else batches(0),
         classes,
         dim,
         epochs=epochs,
         stop_iter=stop_iter,
+        prepare=None if image_shape is None else augmented,
         checkpoint_roots=checkpoint_roots,
+        save_every=save_every,
         should_stop=should_stop,
+        on_log=None if log_root is None else write_log,
     )
-    if log_root is not None:
-        run = {"epochs": epochs, "stop_iter": stop_iter, "nodes": nodes, "batch_size": batch_size}
-        start_log(spark, log_root, **run)
-        append_log(log, log_root, **run)
+    if model_out is not None:
+        state.coalesce(1).write.mode("overwrite").parquet(model_out)
+    if image_shape is not None:
+        test = test.withColumn("features", eval_pixels(F.col("features"), image_shape))
     weights = State.from_table(state, classes).weights
     # scores are narrower than features, and sorting reads its input twice
-    scored = freeze(score(test, weights, bias=True).select("id", "scores", "label"), "scored")
-    placed, _ = global_position(scored, ["id"])
-    return state, log, evaluate(placed, batch_size)
+    folders = [new_folder(spark, label) for label in ("scored", "ordered")]
+    scored = score(test, weights, bias=True).select("id", "scores", "label")
+    frozen = freeze(scored, "scored", folders[0])
+    placed, _ = global_position(frozen, ["id"], path=folders[1])
+    result = evaluate(placed, batch_size)
+    result = spark.createDataFrame(result.collect(), result.schema)  # one row
+    for folder in folders:
+        drop_frozen(spark, folder)
+    return state, log, result
+
+
+def fit_progress(
+    log: DataFrame, *, nodes: int, total_batch_size: int, total_rows: int
+) -> DataFrame:
+    """The progress rows of a fit, from its log."""
+    batch_size = rank_batch_size(total_batch_size, nodes)
+    steps = max(1, -(-total_rows // (batch_size * nodes)))
+    return interval_rollup(
+        log, batch_size=batch_size, ranks=nodes, total_rows=total_rows, steps=steps
+    )

@@ -86,8 +86,8 @@ SELECT vec_id, rank::INTEGER AS rank, pos_in_rank // {size} AS batch_idx,
 FROM ({_shards(WORLD)}) {where}"""
 
 
-def _number(start: int, length: int) -> str:
-    return f"('0x' || substr(md5('{SEED}:0:' || vec_id), {start}, {length}))::BIGINT"
+def _number(start: int, length: int, epoch: int = 0) -> str:
+    return f"('0x' || substr(md5('{SEED}:{epoch}:' || vec_id), {start}, {length}))::BIGINT"
 
 
 def _by_channel(values: list[float]) -> str:
@@ -102,23 +102,28 @@ def _cell(down: str, right: str) -> str:
       THEN embedding[((i // 16) * 16 + {y} * 4 + {x} + 1)::INTEGER]::DOUBLE ELSE 0.0::DOUBLE END)"""
 
 
+def _moves(epoch: int = 0) -> str:
+    return f"""
+SELECT *, {_number(1, 8, epoch)} % {2 * CROP_PAD + 1} - {CROP_PAD} AS down,
+       {_number(9, 8, epoch)} % {2 * CROP_PAD + 1} - {CROP_PAD} AS rightward,
+       {_number(17, 1, epoch)} % 2 = 0 AS mirrored, unnest(range(64)) AS i FROM embeddings"""
+
+
 def _pixels(value: str) -> str:
     return f"""
-SELECT vec_id, i::INTEGER AS pos, {_round(value, 9)} AS value
-FROM (SELECT *, {_number(1, 8)} % {2 * CROP_PAD + 1} - {CROP_PAD} AS down,
-             {_number(9, 8)} % {2 * CROP_PAD + 1} - {CROP_PAD} AS rightward,
-             {_number(17, 1)} % 2 = 0 AS mirrored, unnest(range(64)) AS i FROM embeddings)"""
+SELECT vec_id, i::INTEGER AS pos, {_round(value, 9)} AS value FROM ({_moves()})"""
 
 
 _MIRRORED = "(CASE WHEN mirrored THEN 3 - 2 * (i % 4) ELSE 0 END)"
 _STANDARD = f"({{}} - {_by_channel(MEANS)}) / {_by_channel(STDS)}"
+_AUGMENTED = _STANDARD.format(f"{_cell('down', f'{_MIRRORED} + rightward')} / 255.0")
 
 
-def _softmax_ctes(name: str, weights: str) -> str:
+def _softmax_ctes(name: str, weights: str, x: str = "x") -> str:
     """CTE ``name``: rows (id, class, score, p, loss) of the cells in ``x``."""
     return f"""{name}_z AS (
     SELECT id, class, label, sum(value * weight) AS score
-    FROM {weights} JOIN x USING (dim) GROUP BY id, class, label),
+    FROM {weights} JOIN {x} USING (dim) GROUP BY id, class, label),
   {name}_m AS (SELECT id, max(score) AS top FROM {name}_z GROUP BY id),
   {name}_e AS (
     SELECT id, any_value(top) AS top, sum(exp(score - top)) AS total
@@ -142,12 +147,12 @@ def _grid(width: int) -> str:
     SELECT class, unnest(range({width})) AS dim FROM (SELECT unnest(range({CLASSES})) AS class)"""
 
 
-def _gradient(step: str, weights: str, where: str) -> str:
+def _gradient(step: str, weights: str, where: str, x: str = "x") -> str:
     """CTEs for one batch: ``{step}_g`` (class, dim, g), ``{step}_loss``."""
-    return f"""{_softmax_ctes(f'{step}_p', weights)},
+    return f"""{_softmax_ctes(f'{step}_p', weights, x)},
   {step}_r AS (
     SELECT rank, class, dim, avg((p - hit::INTEGER) * value) AS g
-    FROM {step}_p JOIN rows USING (id) JOIN x USING (id) WHERE {where} GROUP BY rank, class, dim),
+    FROM {step}_p JOIN rows USING (id) JOIN {x} USING (id) WHERE {where} GROUP BY rank, class, dim),
   {step}_g AS (SELECT class, dim, avg(g) AS g FROM {step}_r GROUP BY class, dim),
   {step}_loss AS (
     SELECT avg(loss) AS loss FROM (
@@ -155,14 +160,21 @@ def _gradient(step: str, weights: str, where: str) -> str:
       WHERE hit AND {where} GROUP BY rank))"""
 
 
-def _fit_ctes(source: str, steps: int, batches: int = 1, bias: bool = False) -> str:
+def _fit_ctes(
+    source: str, steps: int, batches: int = 1, bias: bool = False, cells: list[str] | None = None
+) -> str:
+    """``cells``: for each step a CTE of what the features are then, if not ``x``."""
     ctes = [
         _cells(source, bias),
         f"""w0 AS (
     SELECT class, dim, 0.0::DOUBLE AS weight, 0.0::DOUBLE AS velocity FROM ({_grid(DIM + bias)}))""",
     ]
     for t in range(steps):
-        ctes.append(_gradient(f"s{t}", f"w{t}", f"batch_idx = {t % batches}"))
+        x = "x"
+        if cells:
+            x = f"x{t}"
+            ctes.append(f"{x} AS MATERIALIZED ({cells[t]})")
+        ctes.append(_gradient(f"s{t}", f"w{t}", f"batch_idx = {t % batches}", x))
         ctes.append(
             f"""w{t + 1} AS MATERIALIZED (
     SELECT class, dim, weight - 0.1 * v AS weight, v AS velocity
@@ -185,13 +197,28 @@ SELECT class, dim, {_round('weight', 9)} AS value FROM w{steps}"""
 
 
 _FIT = _weights(_WHOLE, 3)
+_LOSSES = f"""WITH {_fit_ctes(_WHOLE, 3)}
+SELECT 0 AS epoch, 1::BIGINT AS iteration, {_round('loss', 9)} AS loss FROM s0_loss
+UNION ALL SELECT 1, 1, {_round('loss', 9)} FROM s1_loss
+UNION ALL SELECT 2, 1, {_round('loss', 9)} FROM s2_loss"""
 _GRADIENT = f"""WITH {_cells(f'SELECT row_number() OVER () AS id, embedding, label, rank FROM ({_shards(WORLD)})')},
   w AS (SELECT class, dim, 0.0::DOUBLE AS weight FROM ({_grid(DIM)})),
   {_gradient('s', 'w', 'TRUE')}
 SELECT class, dim, {_round('g', 9)} AS value FROM s_g"""
 
-_SCORES = f"""
-  SELECT vec_id, label, [v::DOUBLE for v in embedding[1:{CLASSES}]] AS z FROM embeddings"""
+_SAMPLE_SCORES = f"""{_cells('SELECT vec_id AS id, embedding, label FROM embeddings')},
+  w AS (SELECT class, dim, ((7 * class + 3 * dim) % 11 - 5) / 50.0::DOUBLE AS weight
+        FROM ({_grid(DIM)})),
+  {_softmax_ctes('s', 'w')},
+  best AS (SELECT id, arg_max(class, score) AS predicted FROM s GROUP BY id),
+  own AS (SELECT id, loss, class AS label FROM s WHERE hit),
+  hits AS (
+    SELECT sum((predicted = label)::INTEGER)::BIGINT AS correct, count(*) AS total
+    FROM best JOIN own USING (id)),
+  batch_losses AS (
+    SELECT avg(loss) AS loss FROM (
+      SELECT loss, (row_number() OVER (ORDER BY id) - 1) // {TOTAL_BATCH_SIZE} AS batch FROM own)
+    GROUP BY batch)"""
 _RAW3 = _ranks(SUPPLY, 3, 6)
 _EVENT_LOG = "SELECT event_id + 1 AS iteration, value FROM events"
 
@@ -214,7 +241,8 @@ SELECT 2, source, {_round('rank', 6)} FROM r2""",
     "pagerank_skewed": _ranks(ACTIVITY, 3, 9, weight="out_degree"),
     "rank_csv_roundtrip": _ranks(f"{SUPPLY} UNION ALL {PAGES}", 2, 6),
     "csv_sort": """
-SELECT event_id::VARCHAR AS event_id, event_type, ts::VARCHAR AS ts,
+SELECT event_id::VARCHAR AS event_id, ts::VARCHAR AS ts, user_id::VARCHAR AS user_id, event_type,
+       value::VARCHAR AS value, props::VARCHAR AS props,
        row_number() OVER (ORDER BY event_type NULLS FIRST, ts::VARCHAR NULLS FIRST) - 1 AS pos
 FROM events""",
     "train_test_split": f"""
@@ -235,49 +263,48 @@ SELECT 1, vec_id, pos FROM ({_order(f'{SEED}:1')})""",
     "channel_standardize": _pixels(_STANDARD.format("embedding[i + 1]::DOUBLE")),
     "random_crop": _pixels(_cell("down", "rightward")),
     "random_flip": _pixels(_cell("0", _MIRRORED)),
-    "augment": _pixels(_STANDARD.format(f"{_cell('down', f'{_MIRRORED} + rightward')} / 255.0")),
+    "augment": _pixels(_AUGMENTED),
     "eval_pixels": _pixels(_STANDARD.format("embedding[i + 1]::DOUBLE / 255.0")),
-    "softmax_score": f"""WITH {_cells('SELECT vec_id AS id, embedding, label FROM embeddings')},
-  w AS (SELECT class, dim, ((7 * class + 3 * dim) % 11 - 5) / 50.0::DOUBLE AS weight
-        FROM ({_grid(DIM)})),
-  {_softmax_ctes('s', 'w')},
-  best AS (SELECT id, arg_max(class, score) AS predicted FROM s GROUP BY id),
-  own AS (SELECT id, loss FROM s WHERE hit)
+    "softmax_score": f"""WITH {_SAMPLE_SCORES}
 SELECT id AS vec_id, class::INTEGER AS class, predicted::INTEGER AS predicted,
        {_round('own.loss', 9)} AS loss, {_round('score', 9)} AS score
-FROM s JOIN own USING (id) JOIN best USING (id)""",
+FROM s JOIN (SELECT id, loss FROM own) own USING (id) JOIN best USING (id)""",
     "gradient_rank_mean": _GRADIENT,
     "gradient_allreduce": _GRADIENT,
     "sgd_fit": _FIT,
-    "sgd_losses": f"""WITH {_fit_ctes(_WHOLE, 3)}
-SELECT 0 AS epoch, 1 AS iteration, {_round('loss', 9)} AS loss FROM s0_loss
-UNION ALL SELECT 1, 1, {_round('loss', 9)} FROM s1_loss
-UNION ALL SELECT 2, 1, {_round('loss', 9)} FROM s2_loss""",
+    "sgd_losses": _LOSSES,
     "sgd_minibatch": _weights(_HALVES, 4, batches=2, bias=True),
+    "sgd_augmented": _weights(
+        _WHOLE,
+        2,
+        cells=[
+            f"SELECT vec_id AS id, label, i AS dim, {_AUGMENTED} AS value FROM ({_moves(epoch)})"
+            for epoch in (0, 1)
+        ],
+    ),
+    "fit_log_resume": _LOSSES,
     "checkpoint_resume": _FIT,
     "checkpoint_fallback": _FIT,
-    "eval_accuracy": f"""
-SELECT sum(hit::INTEGER)::BIGINT AS correct, count(*) AS total,
-       {_round('100.0 * sum(hit::INTEGER) / count(*)', 6)} AS percent
-FROM (SELECT list_position(z, list_max(z)) - 1 = label AS hit FROM ({_SCORES}))""",
-    "eval_loss": f"""
-SELECT {_round('avg(loss)', 9)} AS loss, count(*) AS batches
-FROM (
-  SELECT batch, avg(ln(list_sum([exp(v) for v in z])) - z[label + 1]) AS loss
-  FROM (SELECT *, (row_number() OVER (ORDER BY vec_id) - 1) // {TOTAL_BATCH_SIZE} AS batch FROM ({_SCORES}))
-  GROUP BY batch)""",
+    "evaluate": f"""WITH {_SAMPLE_SCORES}
+SELECT {_round('any_value(l.loss)', 6)} AS loss, any_value(l.batches) AS batches, any_value(correct) AS correct,
+       any_value(total) AS total, {_round('any_value(100.0 * correct / total)', 6)} AS percent
+FROM hits, (SELECT avg(loss) AS loss, count(*) AS batches FROM batch_losses) l""",
+    "eval_accuracy": f"""WITH {_SAMPLE_SCORES}
+SELECT correct, total, {_round('100.0 * correct / total', 6)} AS percent FROM hits""",
+    "eval_loss": f"""WITH {_SAMPLE_SCORES}
+SELECT {_round('avg(loss)', 9)} AS loss, count(*) AS batches FROM batch_losses""",
     "run_log": f"""
 SELECT {', '.join(f'{value} AS {name}' for name, value in RUN.items())},
-       0 AS epoch, iteration::INTEGER AS iteration, value AS elapsed_time
+       0 AS epoch, iteration, value AS elapsed_time
 FROM ({_EVENT_LOG})""",
     "run_log_rollup": f"""
-SELECT 0 AS epoch, max(iteration)::INTEGER AS iteration,
-       (max(iteration) * {RUN['batch_size'] * RUN['nodes']})::INTEGER AS rows_seen,
+SELECT 0 AS epoch, max(iteration) AS iteration,
+       max(iteration) * {RUN['batch_size'] * RUN['nodes']} AS rows_seen,
        (SELECT count(*) FROM events) * {RUN['batch_size'] * RUN['nodes']} AS total_rows,
        {_round('max(iteration) * 100.0 / (SELECT count(*) FROM events)', 6)} AS percent,
        {_round('arg_max(value, iteration)', 6)} AS last_loss,
        {_round('sum(value)', 6)} AS interval_time
-FROM ({_EVENT_LOG}) GROUP BY (iteration - 1) // 20 HAVING count(*) = 20""",
+FROM ({_EVENT_LOG}) GROUP BY (iteration - 1) // 20 HAVING max(iteration) % 20 = 0""",
     "phase_rollup": f"""
 SELECT event_type AS phase, grouping(event_type)::INTEGER AS is_total,
        {_round('sum(value)', 6)} AS seconds

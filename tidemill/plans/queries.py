@@ -26,7 +26,7 @@ from tidemill.functions.pixels import (
 )
 from tidemill.functions.vectors import cross_entropy
 from tidemill.functions.whole import div
-from tidemill.operators.evaluation import accuracy, batch_mean_loss, predict
+from tidemill.operators.evaluation import accuracy, batch_mean_loss, evaluate, predict
 from tidemill.operators.fitting import (
     allreduce_mean,
     gather_mean,
@@ -37,11 +37,12 @@ from tidemill.operators.fitting import (
 )
 from tidemill.operators.ordering import close_gaps, global_position, sort_csv
 from tidemill.operators.progress import interval_rollup, phase_rollup
-from tidemill.operators.ranking import init_ranks, out_degree, pagerank, rank_step
+from tidemill.operators.ranking import init_ranks, lay_out, out_degree, pagerank, rank_step
 from tidemill.operators.sampling import minibatch, rank_batch_size, shard_assign
 from tidemill.session import new_folder
 from tidemill.sources.files import read_csv, read_labelled, split_train_test, write_csv
 from tidemill.sources.links import read_edges
+from tidemill.sources.snapshots import freeze
 from tidemill.sources.runlog import RUN_FIELDS, append_log, read_log, start_log
 from tidemill.sources.state import load_state
 
@@ -125,11 +126,12 @@ def _rounded_ranks(ranks: DataFrame, digits: int) -> DataFrame:
 
 def pagerank_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges = supply_graph(spark, sf_dir)
-    return _rounded_ranks(rank_step(edges, init_ranks(edges), weight="raw"), 6)
+    return _rounded_ranks(rank_step(lay_out(edges, weight="raw"), init_ranks(edges)), 6)
 
 
 def pagerank_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded_ranks(pagerank(supply_graph(spark, sf_dir), weight="raw", iters=3), 6)
+    edges = supply_graph(spark, sf_dir)
+    return _rounded_ranks(pagerank(edges, weight="raw", iters=3, cache=False), 6)
 
 
 def pagerank_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,9 +182,11 @@ def pagerank_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pagerank_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A run that ends after two iterations, and one that picks up from there."""
+    """A run that ends after two iterations, and one that picks up from there, while
+    another graph has its snapshots in the same folder."""
     edges, snapshots = supply_graph(spark, sf_dir), new_folder(spark, "snapshots")
     pagerank(edges, weight="raw", iters=2, snapshot_dir=snapshots)
+    pagerank(activity_graph(spark, sf_dir), weight="raw", iters=3, snapshot_dir=snapshots)
     return _rounded_ranks(pagerank(edges, weight="raw", iters=3, snapshot_dir=snapshots), 6)
 
 
@@ -200,10 +204,10 @@ def rank_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     src, dst = new_folder(spark, "events-csv"), new_folder(spark, "sorted-csv")
     events = table(spark, sf_dir, "events")
-    write_csv(events.select(*(F.col(c).cast("string") for c in ("event_id", "event_type", "ts"))), src)
+    write_csv(events.select(*(F.col(c).cast("string") for c in events.columns)), src)
     ordered = sort_csv(spark, src, dst, ["event_type", "ts"], order_id="order_id")
     placed, _ = close_gaps(ordered)
-    return placed.select("event_id", "event_type", "ts", "pos")
+    return placed.select(*events.columns, "pos")
 
 
 # ---- sampling
@@ -372,6 +376,35 @@ def fit_minibatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fitted(sgd_fit(batches, CLASSES, DIM, bias=True, epochs=2)[0], DIM + 1)
 
 
+def fit_augmented(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two epochs over images that are cropped and flipped anew in each."""
+
+    def prepare(rows: DataFrame, epoch: int) -> DataFrame:
+        digest = keyed_md5(SEED, epoch, F.col("vec_id"))
+        pixels = train_pixels(
+            F.col("features"), SHAPE, digest, pad=CROP_PAD, means=MEANS, stds=STDS
+        )
+        return rows.withColumn("features", pixels)
+
+    return _fitted(_fit(spark, sf_dir, epochs=2, prepare=prepare)[0])
+
+
+def fit_log_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log of a fit that was told to stop and went on later, with its losses."""
+    root, runs = new_folder(spark, "state"), new_folder(spark, "runs")
+
+    def write_log(rows: DataFrame, anew: bool) -> None:
+        if anew:
+            start_log(spark, runs, **RUN)
+        append_log(rows, runs, **RUN)
+
+    options = {"checkpoint_roots": [root], "save_every": 1, "on_log": write_log}
+    _, first = _fit(spark, sf_dir, should_stop=lambda step: step == 2, **options)
+    _, second = _fit(spark, sf_dir, **options)
+    losses = first.unionAll(second).select("epoch", "iteration", rounded("loss", 9).alias("loss"))
+    return read_log(spark, runs).select("epoch", "iteration").join(losses, ["epoch", "iteration"])
+
+
 def checkpoint_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Told to stop during the third step, so two count; then one more."""
     root = new_folder(spark, "state")
@@ -392,8 +425,13 @@ def checkpoint_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scores = F.slice("embedding", 1, CLASSES).cast("array<double>")
-    return table(spark, sf_dir, "embeddings").select("vec_id", scores.alias("scores"), "label")
+    return score(_features(spark, sf_dir), sample_weights()).select("vec_id", "scores", "label")
+
+
+def evaluated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loss and accuracy in one pass."""
+    placed, _ = global_position(freeze(_scored(spark, sf_dir), "scored"), ["vec_id"])
+    return _rounded_columns(evaluate(placed, TOTAL_BATCH_SIZE), ["loss", "percent"], 6)
 
 
 def eval_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -402,7 +440,8 @@ def eval_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def eval_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed, _ = global_position(_scored(spark, sf_dir), ["vec_id"])
+    # sorting reads its input twice
+    placed, _ = global_position(freeze(_scored(spark, sf_dir), "scored"), ["vec_id"])
     return batch_mean_loss(placed, TOTAL_BATCH_SIZE).select(
         rounded("loss", 9).alias("loss"), "batches"
     )
@@ -414,7 +453,7 @@ def eval_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         F.lit(0).alias("epoch"),
-        (F.col("event_id") + 1).cast("int").alias("iteration"),
+        (F.col("event_id") + 1).alias("iteration"),
         F.col("value").alias("elapsed_time"),
         F.col("value").alias("loss"),
     )
@@ -483,8 +522,11 @@ QUERIES: dict[str, Query] = {
     "sgd_fit": fit_full_batch,
     "sgd_losses": fit_losses,
     "sgd_minibatch": fit_minibatch,
+    "sgd_augmented": fit_augmented,
+    "fit_log_resume": fit_log_resume,
     "checkpoint_resume": checkpoint_resume,
     "checkpoint_fallback": checkpoint_fallback,
+    "evaluate": evaluated,
     "eval_accuracy": eval_accuracy,
     "eval_loss": eval_loss,
     "run_log": run_log,
