@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import TypeVar
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,3 +32,18 @@ def fold(doc_id: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; a null id counts as empty text."""
     text = F.coalesce(doc_id.cast("string"), F.lit(""))
     return F.pmod(F.crc32(text), F.lit(parts)).cast("int")
+
+
+Table = TypeVar("Table")
+_in_worker: dict[object, object] = {}
+
+
+def worker_table(name: object, make: Callable[[], Table]) -> Table:
+    """What tasks of one kind remember in a worker process from one task to the next.
+
+    A worker holds one such table at a time: tasks of another kind drop it.
+    """
+    if name not in _in_worker:
+        _in_worker.clear()
+        _in_worker[name] = make()
+    return _in_worker[name]

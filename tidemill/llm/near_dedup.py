@@ -29,7 +29,6 @@ only stays where no other of its component has an id.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemill.llm.common import whole_text
+from tidemill.llm.common import whole_text, worker_table
 from tidemill.llm.components import connect
 from tidemill.session import new_folder
 from tidemill.sources.snapshots import drop_frozen, freeze
@@ -46,7 +45,7 @@ COORDINATES = 128
 BAND = 4
 SHINGLE = 5
 SIMILARITY = 80  # of a hundred
-WORDS_KEPT = 500_000  # hashes a worker remembers
+WORDS_KEPT = 400_000  # hashes a worker remembers
 TEXTS_AT_ONCE = 256
 PIVOTS = (1, 4)  # of a bucket, round by round
 BLOCK = 128  # classes, two such blocks meet in a task
@@ -76,10 +75,8 @@ class _WordHashes(dict):
         return value
 
 
-@lru_cache(maxsize=1)
 def _shared_hashes() -> _WordHashes:
-    """One table for all tasks that a worker process runs."""
-    return _WordHashes()
+    return worker_table("word hashes", _WordHashes)
 
 
 def shingle_hashes(words: list[bytes], hashes: dict[bytes, int], width: int) -> np.ndarray:

@@ -103,8 +103,8 @@ class Codes:
         return value
 
     def span(self, start: int, end: int) -> np.ndarray:
-        """Ids from ``start`` to before ``end``."""
-        return self._span(0, start, end)
+        """Ids from ``start`` to before ``end``, as far as there are any."""
+        return self._span(0, start, min(end, len(self)))
 
     def _span(self, level: int, start: int, end: int) -> np.ndarray:
         chunks, bits, _ = self._levels[level]

@@ -12,10 +12,11 @@ from __future__ import annotations
 
 import os
 import re
-from functools import lru_cache
+
+from tidemill.llm.common import worker_table
 
 ID_BYTES = 4
-KEPT = 1_500_000  # stretches a worker remembers before it starts anew
+KEPT = 1_000_000  # stretches a worker remembers, half of them from longer ago
 TOGETHER = 256  # new stretches the library gets in one string
 #: What could take part in a run of white space, here or in the library.
 _SPACES = re.compile("[ \t\n\x0b\x0c\r\x1c-\x1f][ \t\x0b\x0c\r\x1c-\x1f]| \n")
@@ -57,7 +58,8 @@ class Encoder:
         self._tokenizer = Tokenizer.from_file(vocabulary)
         self._tokenizer.encode_special_tokens = True
         self._behind_space: dict[str, bytes] = {}  # by what stands behind a space
-        self._known: dict[str, bytes] = {}
+        self._before: dict[str, bytes] = {}  # the same, of longer ago
+        self._known: dict[str, bytes] = {}  # by the string itself
         self._kept = kept
         self._feed = self._library(["\n"])[0]
 
@@ -68,6 +70,8 @@ class Encoder:
     def _learn(self, new: list[str]) -> None:
         """Encodes stretches behind a space, the parts of composed ones once each."""
         known, plain = self._behind_space, self._known
+        if len(plain) > self._kept // 4:
+            plain.clear()
         heads, tails, composed = set(), set(), []
         for s in new:
             if s.isalpha():
@@ -117,24 +121,28 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """One value per text; of a null or empty text an empty one."""
-        known = self._behind_space
-        if len(known) > self._kept:
-            known.clear()
-        if len(self._known) > self._kept // 4:
-            self._known.clear()
         texts = [text or "" for text in texts]
         cuts = [text.split(" ") if _only_single_spaces(text) else [text] for text in texts]
         fronts = self._library([cut[0] for cut in cuts])
+        # each distinct stretch once from the large tables, then from one that caches hold
         here = set().union(*(cut[1:] for cut in cuts))
-        self._learn([s for s in here if s not in known])
-        # each distinct stretch once from the large table, then from one that caches hold
+        new = []
+        for s in here:
+            if s not in self._behind_space:
+                if s in self._before:
+                    self._behind_space[s] = self._before[s]
+                else:
+                    new.append(s)
+        self._learn(new)
+        known = self._behind_space
         get = {s: known[s] for s in here}.__getitem__
+        if len(known) > self._kept // 2:
+            self._before, self._behind_space = known, {}
         return [
             front + b"".join(map(get, cut[1:])) for front, cut in zip(fronts, cuts, strict=True)
         ]
 
 
-@lru_cache(maxsize=2)
 def shared_encoder(vocabulary: str) -> Encoder:
     """One encoder for all tasks that a worker process runs, with what it remembers."""
-    return Encoder(vocabulary)
+    return worker_table(("encoder", vocabulary), lambda: Encoder(vocabulary))

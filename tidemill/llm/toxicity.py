@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import fold, whole_text
+from tidemill.llm.common import fold, whole_text, worker_table
 from tidemill.sources.snapshots import freeze
 
 VOCABULARY = 4096
@@ -217,6 +217,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE
 
 def _scoring(weights: dict[str, float], intercept: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_table("weights", dict)  # so that what other tasks remember goes
         known = weights.keys()
         for part in _slices(batches):
             scores = []
