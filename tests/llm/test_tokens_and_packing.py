@@ -1,0 +1,175 @@
+"""Token files and packing: exact round trips and brute force."""
+
+import itertools
+import random
+import zlib
+
+import numpy as np
+import pytest
+from corpus import docs_of  # noqa: F401
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tidemill.llm.packing import (
+    best_fit_decreasing,
+    pack,
+    pack_documents,
+    piece_lengths,
+    plan_fillings,
+)
+from tidemill.llm.token_files import Codes, encode, read_documents, token_at, write_token_files
+from tidemill.llm.tokens import Encoder, default_vocabulary
+from tidemill.session import new_folder
+
+HARD = [
+    "", " ", "a  b", " a", "a ", "it's \n x", "a\tb", "x \t \ty", "\n\na\n b", "foo\n\n", "a\xa0b",
+    "don't 're", "  ", "a \n", "é ñ　x", "\r\n x", "a\n\x0bb", "x.\nY z", " a.\n\nB c", "x y's.\nz",
+    "q don't!!x", "a b$$$c\nD e", "u v-w_x", "a b.\n\n", "ø é—x y", "<|endoftext|> a <|endoftext|>",
+    "a Ⅷ² b", "k" * 3000, "word " * 2000, "日本 語、テスト", "a\x1cb \x85", "\x00 \x00\n",
+]
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return Encoder(default_vocabulary(), kept=50)
+
+
+def library_ids(encoder, texts):
+    found = encoder._tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)
+    return [np.array(e.ids, "<u4").tobytes() for e in found]
+
+
+def test_ids_are_those_of_the_library(encoder):
+    for _ in range(2):  # the second time from what it remembers
+        assert encoder.encode([*HARD, None]) == library_ids(encoder, [*HARD, None])
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(st.sampled_from("ab'.,!\n\t  \r\xa0éß1²_-$ s'tll "), max_size=30), max_size=4))
+def test_ids_of_any_text(encoder, texts):
+    assert encoder.encode(texts) == library_ids(encoder, texts)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 2**32 - 1) | st.integers(0, 600), max_size=1500))
+def test_codes_are_addressable(ids):
+    codes = Codes(encode(np.array(ids, np.uint32)))
+    assert len(codes) == len(ids) and codes.span(0, len(ids)).tolist() == ids
+    for i in range(0, len(ids), 97):
+        assert codes[i] == ids[i] and codes.span(i, i + 50).tolist() == ids[i : i + 50]
+    with pytest.raises(IndexError):
+        codes[len(ids)]
+
+
+@pytest.mark.parametrize("segment_tokens", [1, 40, 1 << 20])
+def test_files_give_back_every_document(spark, docs_of, encoder, segment_tokens):
+    pairs = [(i * 7 % 31, t) for i, t in enumerate([*HARD[:29], None])]
+    path = new_folder(spark, "test-tokens")
+    write_token_files(docs_of(pairs).repartition(5), path, segment_tokens=segment_tokens)
+    rows = read_documents(spark, path).orderBy("start").collect()
+    start, everything = 0, []
+    assert [r["doc_id"] for r in rows] == sorted(i for i, _ in pairs)
+    for row in rows:
+        ids = library_ids(encoder, [dict(pairs)[row["doc_id"]]])[0] + (2).to_bytes(4, "little")
+        assert (row["start"], row["n_tokens"], bytes(row["ids"])) == (start, len(ids) // 4, ids)
+        assert row["ids_crc32"] == zlib.crc32(ids)
+        start += row["n_tokens"]
+        everything += np.frombuffer(ids, "<u4").tolist()
+    for i in (0, 1, start // 2, start - 1):
+        assert token_at(spark, path, i) == everything[i]
+    with pytest.raises(IndexError):
+        token_at(spark, path, start)
+
+
+def test_files_of_nothing_and_of_rows_without_id(spark, docs_of):
+    for pairs in ([], [(None, "a"), (1, "b"), (1, "b"), (None, None)]):
+        path = new_folder(spark, "test-tokens")
+        write_token_files(docs_of(pairs), path)
+        rows = read_documents(spark, path).orderBy("start").collect()
+        assert [r["doc_id"] for r in rows] == sorted((i for i, _ in pairs), key=lambda i: (i is not None, i))
+
+
+def fewest(lengths, capacity):
+    """The least number of sequences, by trying all ways."""
+    best = [len(lengths)]
+
+    def go(left, rooms):
+        if len(rooms) >= best[0]:
+            return
+        if not left:
+            best[0] = len(rooms)
+            return
+        for room in set(rooms):
+            if room >= left[0]:
+                rest = list(rooms)
+                rest.remove(room)
+                go(left[1:], [*rest, room - left[0]])
+        go(left[1:], [*rooms, capacity - left[0]])
+
+    go(sorted(lengths, reverse=True), [])
+    return best[0]
+
+
+def counts_of(lengths):
+    return {x: lengths.count(x) for x in set(lengths)}
+
+
+@settings(max_examples=120, deadline=None)
+@given(st.lists(st.integers(1, 20), min_size=1, max_size=9))
+def test_small_plans_are_optimal(lengths):
+    plan = plan_fillings(counts_of(lengths), 20)
+    placed = list(itertools.chain.from_iterable([x] * n * bins for filling, bins in plan for x, n in filling))
+    assert sorted(placed) == sorted(lengths)
+    assert all(sum(x * n for x, n in filling) <= 20 for filling, _ in plan)
+    assert sum(bins for _, bins in plan) == fewest(lengths, 20)
+
+
+def test_large_plans_are_near_the_bound_and_beat_best_fit():
+    rng = random.Random(3)
+    lengths = [min(2048, max(1, int(rng.lognormvariate(6.5, 1.0)))) for _ in range(20000)]
+    counts = counts_of(lengths)
+    used = sum(bins for _, bins in plan_fillings(counts))
+    assert used <= sum(bins for _, bins in best_fit_decreasing(counts, 2048))
+    assert used <= -(-sum(lengths) // 2048) + 20
+
+
+def test_pieces():
+    assert piece_lengths(0, 8) == [] and piece_lengths(8, 8) == [8]
+    assert piece_lengths(19, 8) == [3, 8, 8]
+
+
+def test_packing_is_gapless(spark, docs_of, encoder):
+    texts = [*HARD, *("w " * n for n in (5, 700, 3000)), None, "same", "same"]
+    pairs = [(i if i % 9 else None, t) for i, t in enumerate(texts)]
+    rows = pack_documents(docs_of(pairs).repartition(4), capacity=128).collect()
+    sequences, pieces = {}, {}
+    for r in rows:
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+        pieces.setdefault(r["doc_id"], []).append(r)
+    for places in sequences.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= 128
+    for i, text in pairs:
+        if i is None:
+            continue
+        ids = library_ids(encoder, [text])[0] + bytes(4)
+        own, at = sorted(pieces[i], key=lambda r: r["piece"]), 0
+        for k, r in enumerate(own):
+            assert (r["piece"], r["start"]) == (k, at) and (k == 0 or r["length"] == 128)
+            assert r["ids_crc32"] == zlib.crc32(ids[4 * at : 4 * (at + r["length"])])
+            at += r["length"]
+        assert at == len(ids) // 4
+
+
+def test_packing_nothing_and_one_length(spark, docs_of):
+    assert pack_documents(docs_of([])).count() == 0
+    same = spark.range(1000).select(
+        F.col("id").alias("doc_id"), F.lit(0).alias("piece"), F.lit(0).cast("long").alias("start"),
+        F.lit(700).cast("long").alias("length"), F.lit(1).cast("long").alias("ids_crc32"),
+    )
+    packed = pack(same).groupBy("sequence_id").count().collect()
+    assert len(packed) == 500 and all(r["count"] == 2 for r in packed)
