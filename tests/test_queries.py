@@ -1,8 +1,11 @@
 """Every registered query against its SQL."""
 
+import subprocess
+import sys
+
 import pytest
 from compare import differences, duck, duck_rows, spark_rows
-from conftest import DATA
+from conftest import DATA, ROOT
 
 import __spark_entry__ as entry_points
 from tidemill.plans.oracles import ORACLES
@@ -42,3 +45,14 @@ def test_query_matches_sql(spark, con, name):
 
 def test_entry(spark):
     assert entry_points.entry(spark).count() > 0
+
+
+def test_entry_points_work_without_the_corpus_subpackage():
+    """It may be left out, along with the pipeline at the top."""
+    code = (
+        "import sys; sys.modules['corpus_pipeline'] = None; sys.modules['tidemill.llm'] = None\n"
+        "import __spark_entry__ as e\n"
+        "from tidemill.plans.queries import QUERIES\n"
+        "assert set(e.queries()) == set(QUERIES) and set(e.oracle_sql()) == set(QUERIES)"
+    )
+    subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True)
