@@ -47,8 +47,8 @@ def _groups(digests: DataFrame) -> DataFrame:
     )
 
 
-def exact_groups(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
+def _digests_and_winners(docs: DataFrame, counters: int) -> tuple[DataFrame, DataFrame]:
+    """All digests, and for the frequent ones their group: at most ``counters`` a task."""
     digests = freeze(
         docs.select(
             "doc_id",
@@ -58,7 +58,13 @@ def exact_groups(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
         "digests",
     )
     suspects = F.broadcast(frequent_digests(digests, counters))
-    winners = freeze(_groups(digests.join(suspects, "text_sha256", "left_semi")), "winners")
+    winners = _groups(digests.join(suspects, "text_sha256", "left_semi"))
+    return digests, freeze(winners, "winners")
+
+
+def exact_groups(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
+    """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
+    digests, winners = _digests_and_winners(docs, counters)
     frequent = digests.join(F.broadcast(winners), "text_sha256")
     rest = digests.join(F.broadcast(winners), "text_sha256", "left_anti")
     decided = frequent.unionByName(rest.join(_groups(rest), "text_sha256"))
@@ -72,23 +78,24 @@ def exact_groups(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
 
 
 def drop_exact_copies(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
-    """The documents, all columns, that ``exact_groups`` keeps."""
+    """The documents, all columns, that ``exact_groups`` keeps.
+
+    Copies of frequent texts go where they are read; the rest is shuffled once, by digest.
+    """
     digest, place = fresh(docs, "text_sha256"), fresh(docs, "place")
-    kept = (
-        exact_groups(docs, counters)
-        .where("kept")
-        .select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha256"))
+    _, winners = _digests_and_winners(docs, counters)
+    first = winners.select(
+        F.col("text_sha256").alias("w_sha256"), F.col("first.doc_id").alias("w_id")
     )
     marked = docs.withColumn(digest, text_digest(whole_text()))
-    matched = marked.join(
-        kept,
-        marked["doc_id"].eqNullSafe(kept["kept_id"]) & (marked[digest] == kept["kept_sha256"]),
-        "left_semi",
-    )
+    known = marked.join(F.broadcast(first), marked[digest] == first["w_sha256"], "left")
+    may_stay = first["w_sha256"].isNull() | marked["doc_id"].eqNullSafe(first["w_id"])
     others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
-    repeats = Window.partitionBy("doc_id", digest).orderBy(*(others or [F.lit(0)]))
+    copies = Window.partitionBy(digest).orderBy(F.asc_nulls_last("doc_id"), *others)
     return (
-        matched.withColumn(place, F.row_number().over(repeats))
+        known.where(may_stay)
+        .drop("w_sha256", "w_id")
+        .withColumn(place, F.row_number().over(copies))
         .where(F.col(place) == 1)
         .drop(place, digest)
     )
