@@ -33,7 +33,7 @@ VOCABULARY = 4096
 LEAST_DOCUMENTS = 5  # that a feature is in
 LEAST_CHI_SQUARE = 15.0  # between a feature and the label
 SAMPLE_ROWS = 12_000  # labelled rows the weights are fitted on
-RIDGE = 1e-5
+RIDGE = 1e-6
 FAIRNESS = 1.0  # weight of the squared score changes under swaps
 SWAPS = 3  # other groups a sentence is tried with
 STEPS = 800
@@ -158,35 +158,42 @@ class _Sparse:
 def fit(
     rows: list[list[int]], labels: np.ndarray, pairs: list[list[int]], width: int, fairness: float = FAIRNESS
 ) -> np.ndarray:
-    """Weights and, last, the intercept, by accelerated gradient steps."""
+    """Weights and, last, the intercept, by accelerated gradient steps.
+
+    Each feature is scaled by how rare it is, so that rare ones move as fast.
+    """
     x, d = _Sparse([[*r, width] for r in rows], width + 1), _Sparse(pairs, width + 1)
-    lengths = np.bincount(x.row, minlength=1).max(initial=1)
-    rate = 1.0 / (0.25 * float(lengths) + RIDGE + (fairness * 2 * 4 * len(pairs) and fairness * 8.0))
-    rate *= 8  # far from the worst case; the objective is watched below
+    seen = np.bincount(x.column, minlength=width + 1) + np.bincount(d.column, minlength=width + 1)
+    scale = 1 / np.sqrt((seen + 1) / len(rows))
     ridge = np.full(width + 1, RIDGE)
     ridge[width] = 0.0
 
-    def loss(w: np.ndarray) -> float:
+    def loss(v: np.ndarray) -> float:
+        w = scale * v
         z = x.dot(w)
         swapped = d.dot(w) if pairs else np.zeros(1)
-        return float(np.logaddexp(0, np.where(labels == 1, -z, z)).mean() + (ridge * w * w).sum() / 2 + fairness * (swapped**2).mean())
+        fitted = np.logaddexp(0, np.where(labels == 1, -z, z)).mean()
+        return float(fitted + (ridge * w * w).sum() / 2 + fairness * (swapped**2).mean())
 
-    w = ahead = np.zeros(width + 1)
-    momentum, least = 1.0, loss(w)
+    v = ahead = np.zeros(width + 1)
+    momentum, least, rate = 1.0, loss(v), 4.0
     for _ in range(STEPS):
-        z = x.dot(ahead)
-        slope = x.back((1 / (1 + np.exp(-np.clip(z, -40, 40))) - labels) / len(rows)) + ridge * ahead
+        w = scale * ahead
+        z = x.dot(w)
+        slope = x.back((1 / (1 + np.exp(-np.clip(z, -40, 40))) - labels) / len(rows)) + ridge * w
         if pairs:
-            slope += 2 * fairness * d.back(d.dot(ahead)) / len(pairs)
-        step = ahead - rate * slope
+            slope += 2 * fairness * d.back(d.dot(w)) / len(pairs)
+        step = ahead - rate * scale * slope
         now = loss(step)
         if now > least:
-            rate, momentum, ahead = (rate / 2, 1.0, w) if ahead is w else (rate, 1.0, w)
+            if ahead is v:
+                rate /= 2
+            momentum, ahead = 1.0, v
             continue
         after = (1 + math.sqrt(1 + 4 * momentum**2)) / 2
-        ahead = step + (momentum - 1) / after * (step - w)
-        w, momentum, least = step, after, now
-    return w
+        ahead = step + (momentum - 1) / after * (step - v)
+        v, momentum, least = step, after, now
+    return scale * v
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[dict[str, float], float]:
