@@ -16,7 +16,7 @@ import re
 from tidemill.llm.common import worker_table
 
 ID_BYTES = 4
-KEPT = 1_000_000  # stretches a worker remembers, half of them from longer ago
+KEPT = 1_200_000  # stretches a worker remembers, half of them from longer ago
 TOGETHER = 256  # new stretches the library gets in one string
 #: What could take part in a run of white space, here or in the library.
 _SPACES = re.compile("[ \t\n\x0b\x0c\r\x1c-\x1f][ \t\x0b\x0c\r\x1c-\x1f]| \n")
@@ -67,57 +67,54 @@ class Encoder:
         encoded = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [self._numpy.array(e.ids, "<u4").tobytes() for e in encoded]
 
-    def _learn(self, new: list[str]) -> None:
+    def _learn(self, new: set[str]) -> None:
         """Encodes stretches behind a space, the parts of composed ones once each."""
         known, plain = self._behind_space, self._known
         if len(plain) > self._kept // 4:
             plain.clear()
-        heads, tails, composed = set(), set(), []
-        for s in new:
-            if s.isalpha():
-                heads.add(s)
-                continue
+        words = [s for s in new if s.isalpha()]
+        heads, tails, odd, composed = set(), set(), [], []
+        for s in new.difference(words):
             stem = s.rstrip(_END_SIGNS)
             if stem.isalpha() and stem.isascii() and stem != s:
                 head, rest = stem, (s[len(stem) :],)
             elif _ONLY_KINDS.fullmatch(s):
                 head, *rest = _KINDS.findall(s)
             else:
-                heads.add(s)
+                odd.append(s)
                 continue
             composed.append((s, head, rest))
             heads.add(head)
             tails.update(rest)
-        known.update(self._together(list(heads.difference(known)), " "))
-        plain.update(self._together(list(tails.difference(plain)), ""))
+        self._together([*words, *heads.difference(known, words)], " ", known)
+        known.update(zip(odd, self._library([" " + s for s in odd]), strict=True))
+        self._together([t for t in tails.difference(plain) if t != "\n"], "", plain)
+        plain["\n"] = self._feed
         for s, head, rest in composed:
             known[s] = known[head] + b"".join(map(plain.__getitem__, rest))
 
-    def _together(self, new: list[str], front: str) -> dict[str, bytes]:
-        """Encodes many strings in one, with a line feed behind each.
+    def _together(self, strings: list[str], front: str, into: dict[str, bytes]) -> None:
+        """Encodes many strings without line feeds as one, with one behind each.
 
         A line feed between these strings is a piece of its own, so the ids of
         the whole, cut at its id, are those of the strings.
         """
-        numpy, found = self._numpy, {}
-        easy = [s for s in new if s and "\n" not in s]
-        other = [s for s in new if not s or "\n" in s]
-        if len(self._feed) != ID_BYTES:
-            easy, other = [], new
-        feed = numpy.frombuffer(self._feed, "<u4")[0] if easy else 0
-        groups = [easy[i : i + TOGETHER] for i in range(0, len(easy), TOGETHER)]
+        numpy, apart = self._numpy, []
+        feed = numpy.frombuffer(self._feed, "<u4")
+        groups = [strings[i : i + TOGETHER] for i in range(0, len(strings), TOGETHER)]
         joined = [front + f"\n{front}".join(group) + "\n" for group in groups]
-        for group, ids in zip(groups, self._library(joined), strict=True):
-            ends = numpy.flatnonzero(numpy.frombuffer(ids, "<u4") == feed) * ID_BYTES
-            if len(ends) != len(group):
-                other += group
+        encoded = self._tokenizer.encode_batch_fast(joined, add_special_tokens=False)
+        for group, found in zip(groups, encoded, strict=True):
+            ids = numpy.array(found.ids, "<u4")
+            ends = numpy.flatnonzero(ids == feed[0]).tolist()
+            if len(feed) != 1 or len(ends) != len(group):
+                apart += group
                 continue
-            start = 0
-            for string, end in zip(group, ends.tolist(), strict=True):
-                found[string] = ids[start:end]
-                start = end + ID_BYTES
-        found.update(zip(other, self._library([front + s for s in other]), strict=True))
-        return found
+            raw, start = ids.tobytes(), 0
+            for string, end in zip(group, ends, strict=True):
+                into[string] = raw[ID_BYTES * start : ID_BYTES * end]
+                start = end + 1
+        into.update(zip(apart, self._library([front + s for s in apart]), strict=True))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """One value per text; of a null or empty text an empty one."""
@@ -126,16 +123,12 @@ class Encoder:
         fronts = self._library([cut[0] for cut in cuts])
         # each distinct stretch once from the large tables, then from one that caches hold
         here = set().union(*(cut[1:] for cut in cuts))
-        new = []
-        for s in here:
-            if s not in self._behind_space:
-                if s in self._before:
-                    self._behind_space[s] = self._before[s]
-                else:
-                    new.append(s)
-        self._learn(new)
+        new = here.difference(self._behind_space)
+        old = new.intersection(self._before) if self._before else ()
+        self._behind_space.update((s, self._before[s]) for s in old)
+        self._learn(new.difference(old))
         known = self._behind_space
-        get = {s: known[s] for s in here}.__getitem__
+        get = dict(zip(here, map(known.__getitem__, here), strict=True)).__getitem__
         if len(known) > self._kept // 2:
             self._before, self._behind_space = known, {}
         return [
