@@ -10,6 +10,7 @@ from corpus import docs_of  # noqa: F401
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from tidemill.llm.packing import (
     best_fit_decreasing,
@@ -51,6 +52,27 @@ def test_ids_of_any_text(encoder, texts):
     assert encoder.encode(texts) == library_ids(encoder, texts)
 
 
+def test_added_tokens_in_texts_are_those_of_the_library(encoder):
+    """Against a tokenizer of its own, as the library sets it up."""
+    library = Tokenizer.from_file(default_vocabulary())
+    end = library.token_to_id("<|endoftext|>")
+    texts = ["<|endoftext|>", "a <|endoftext|> b c", "x<|endoftext|>y z", "<|endoftext |> q", *HARD]
+    expected = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert expected[0] == [end] and end in expected[1]
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == expected
+
+
+@pytest.mark.parametrize("content", ["a\nb", "b\n c", "q r"])
+def test_added_tokens_that_hold_white_space(tmp_path, content):
+    library = Tokenizer.from_file(default_vocabulary())
+    library.add_special_tokens([content])
+    library.save(str(tmp_path / "vocabulary.json"))
+    texts = ["x a b c d a", content, f"x {content} y", "x b c q. r", "a\nc b q\nr"]
+    found = Encoder(str(tmp_path / "vocabulary.json")).encode(texts)
+    expected = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in found] == expected
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 2**32 - 1) | st.integers(0, 600), max_size=1500))
 def test_codes_are_addressable(ids):

@@ -4,8 +4,10 @@ The vocabulary cuts a text into pieces before it merges bytes, and every white-s
 run that ends in a space gives that space to the word behind it. A text may therefore be
 cut in front of any single space that a word follows without changing its ids. The
 tokenizers library encodes each distinct stretch between such cuts once and its ids
-are kept, in bounded number, for the next time. Texts with runs of white space or
-with other than ASCII white space are given to the library whole.
+are kept, in bounded number, for the next time. Texts with runs of white space, with
+other than ASCII white space or with the content of an added token of the vocabulary
+are given to the library whole. Such content gets the id of its token, as it does by
+the library's default; only tokens that stand in no text are not added.
 """
 
 from __future__ import annotations
@@ -47,7 +49,7 @@ def _only_single_spaces(text: str) -> bool:
 
 
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit integers, without special tokens."""
+    """Ids of texts as little-endian unsigned 32-bit integers, no special tokens added."""
 
     def __init__(self, vocabulary: str, kept: int = KEPT) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -56,7 +58,10 @@ class Encoder:
 
         self._numpy = numpy
         self._tokenizer = Tokenizer.from_file(vocabulary)
-        self._tokenizer.encode_special_tokens = True
+        added = self._tokenizer.get_added_tokens_decoder().values()
+        self._added = tuple(token.content for token in added)
+        #: Strings with line feeds between them could hold such a token that none holds.
+        self._apart = any("\n" in content for content in self._added)
         self._behind_space: dict[str, bytes] = {}  # by what stands behind a space
         self._before: dict[str, bytes] = {}  # the same, of longer ago
         self._known: dict[str, bytes] = {}  # by the string itself
@@ -67,6 +72,9 @@ class Encoder:
         encoded = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [self._numpy.array(e.ids, "<u4").tobytes() for e in encoded]
 
+    def _by_stretches(self, text: str) -> bool:
+        return _only_single_spaces(text) and not any(map(text.__contains__, self._added))
+
     def _learn(self, new: set[str]) -> None:
         """Encodes stretches behind a space, the parts of composed ones once each."""
         known, plain = self._behind_space, self._known
@@ -99,7 +107,8 @@ class Encoder:
         A line feed between these strings is a piece of its own, so the ids of
         the whole, cut at its id, are those of the strings.
         """
-        numpy, apart = self._numpy, []
+        numpy, apart = self._numpy, strings if self._apart else []
+        strings = [] if self._apart else strings
         feed = numpy.frombuffer(self._feed, "<u4")
         groups = [strings[i : i + TOGETHER] for i in range(0, len(strings), TOGETHER)]
         joined = [front + f"\n{front}".join(group) + "\n" for group in groups]
@@ -119,7 +128,7 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """One value per text; of a null or empty text an empty one."""
         texts = [text or "" for text in texts]
-        cuts = [text.split(" ") if _only_single_spaces(text) else [text] for text in texts]
+        cuts = [text.split(" ") if self._by_stretches(text) else [text] for text in texts]
         fronts = self._library([cut[0] for cut in cuts])
         # each distinct stretch once from the large tables, then from one that caches hold
         here = set().union(*(cut[1:] for cut in cuts))
