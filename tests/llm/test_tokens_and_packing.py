@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemill.llm.packing import (
+    _exact_fillings,
+    _maximal_fillings,
     best_fit_decreasing,
     pack,
     pack_documents,
@@ -147,6 +149,49 @@ def test_small_plans_are_optimal(lengths):
     assert sum(bins for _, bins in plan) == fewest(lengths, 20)
 
 
+def check_plan(plan, lengths, capacity):
+    placed = list(itertools.chain.from_iterable([x] * n * bins for filling, bins in plan for x, n in filling))
+    assert sorted(placed) == sorted(lengths)
+    assert all(sum(x * n for x, n in filling) <= capacity for filling, _ in plan)
+    return sum(bins for _, bins in plan)
+
+
+def test_several_exact_fillings_beside_the_largest_are_branches():
+    lengths = [1000, 800, 800, 724, 724, 600, 548, 500, 448]
+    assert check_plan(plan_fillings(counts_of(lengths), 2048), lengths, 2048) == 3
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_plans_of_full_sequences_are_found(seed):
+    """Cut from full sequences, so that each has to be filled."""
+    rng, lengths = random.Random(seed), []
+    for _ in range(8):
+        cuts = sorted(rng.sample(range(1, 100), rng.choice([2, 2, 3])))
+        lengths += [b - a for a, b in zip([0, *cuts], [*cuts, 100], strict=True)]
+    assert check_plan(plan_fillings(counts_of(lengths), 100), lengths, 100) == 8
+
+
+def test_every_undominated_filling_comes_once():
+    rng = random.Random(1)
+    for _ in range(60):
+        room = rng.randint(2, 25)
+        beside = np.array([0, *(rng.choice([0, 0, 1, 2]) for _ in range(room))])
+        lengths = [x for x in range(1, room + 1) if beside[x]]
+        if not lengths:
+            continue
+        expected = set()
+        for times in itertools.product(*(range(beside[x] + 1) for x in lengths)):
+            free = room - sum(x * n for x, n in zip(lengths, times, strict=True))
+            rest = [x for x, n in zip(lengths, times, strict=True) if n < beside[x]]
+            one = sum(times) == 1 and not times[-1]
+            if 0 <= free < min(rest, default=room + 1) and not one:
+                expected.add(tuple((x, n) for x, n in zip(lengths[::-1], times[::-1], strict=True) if n))
+        found = [f for f in _maximal_fillings(beside, 0) if f is not None]
+        assert len(found) == len(set(found)) and set(found) == expected
+        few = [f for f in expected if sum(x * n for x, n in f) == room and 2 <= sum(n for _, n in f) <= 3]
+        assert sorted(_exact_fillings(beside)) == sorted(few)
+
+
 def test_large_plans_are_near_the_bound_and_beat_best_fit():
     rng = random.Random(3)
     lengths = [min(2048, max(1, int(rng.lognormvariate(6.5, 1.0)))) for _ in range(20000)]

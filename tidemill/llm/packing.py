@@ -5,13 +5,18 @@ there are at most ``capacity`` lengths. The pieces are counted by length, the co
 are packed once, on the driver, and the plan, a bounded number of patterns and how
 often each is used, is carried out by all tasks side by side.
 
-Bin completion takes the largest length left and enumerates fillings of the room
-beside it: none that leaves room for another length that is left (it would be
-dominated), and the least waste first. A filling is used as often as the counts allow, which
-uses one length up, so a plan has at most as many patterns as there are lengths. A branch is
-given up when its sequences and the least number the rest needs are no fewer than those
-of the incumbent, at first best-fit decreasing. The search ends at a proven
-optimum or after ``nodes`` fillings, and then gives the best plan found.
+Bin completion takes the largest length left and branches on the fillings of the room
+beside it: all but those that leave room for another length that is left (they are
+dominated), exact ones of few pieces first, then lot by lot those of least waste. If one
+piece fills the room, or is the longest where no two fit, it dominates all others and is the
+only branch. A filling is used as often as the counts allow, which uses one length up, so
+a first plan has at most as many patterns as there are lengths; using it once is the branch
+behind that, from which any other number follows. A branch is given up when its sequences
+and the least number the rest needs are no fewer than those of the incumbent, at first
+best-fit decreasing, or when its counts were reached with as few sequences before. No other
+branch is dropped: the search ends at a proven optimum, or after ``nodes`` steps (a filling
+tried, or a lot enumerated) with the best plan found. With many pieces it is the latter as
+a rule unless the plan is at the bound, so that plan is not proven to be the best.
 
 Defined cases: a null text is empty and has just the end id; repeated rows and null
 ids are packed as rows of their own; an empty table needs no sequence.
@@ -19,7 +24,9 @@ ids are packed as rows of their own; an empty table needs no sequence.
 
 from __future__ import annotations
 
+import random
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,72 +43,133 @@ from tidemill.sources.snapshots import freeze
 CAPACITY = 2048
 END_ID = 0
 NODES = 20_000
-ENUMERATED = 400  # fillings looked at beside one largest piece
+ENUMERATED = 400  # fillings put in order at a time beside one largest piece
+FEW = 64  # pieces left, from which on all fillings are put in order
 TEXTS_AT_ONCE = 32  # so few that their words stay in a processor's caches
 
 Filling = tuple[tuple[int, int], ...]  # (length, times), longest first
 Plan = list[tuple[Filling, int]]
 
 
-def _maximal_fillings(left: dict[int, int], lengths: list[int], room: int) -> list[tuple[int, Filling]]:
-    """(waste, filling) of up to ENUMERATED undominated fillings of ``room``, best first.
+def _maximal_fillings(beside: np.ndarray, without: int) -> Iterator[Filling | None]:
+    """Every undominated filling of the room, in lots of which each has its best first.
 
-    ``lengths`` falls. A filling is undominated if no length that is left fits beside it.
+    A filling is undominated if no length that is left fits beside it, and one piece is
+    by a longer one. Exact fillings of up to ``without`` pieces are left out. None stands behind
+    each lot, of ENUMERATED fillings or as many as so many steps find.
     """
-    found: list[tuple[int, Filling]] = []
-    steps = [0]
-
-    def go(at: int, room: int, chosen: tuple, smallest_skipped: int) -> bool:
-        steps[0] += 1
-        if room == 0:
-            found.append((0, chosen))
-            return len(chosen) < 2  # an exact fit: nothing can beat it
-        while at < len(lengths) and lengths[at] > room:
-            at += 1
-        if at == len(lengths):
-            if smallest_skipped > room:
-                found.append((room, chosen))
-            return len(found) < ENUMERATED and steps[0] < 20 * ENUMERATED
-        length = lengths[at]
-        most = min(left[length], room // length)
-        for times in range(most, -1, -1):
-            skipped = length if times < left[length] else smallest_skipped
-            more = (*chosen, (length, times)) if times else chosen
-            if not go(at + 1, room - times * length, more, min(smallest_skipped, skipped)):
-                return False
-        return True
-
-    go(0, room, (), room + 1)
-    return sorted(found, key=lambda x: (x[0], sum(t for _, t in x[1])))
-
-
-def _exact_fillings(left: np.ndarray, room: int) -> list[tuple[int, Filling]]:
-    """Fillings of one, two or three pieces that leave nothing free, those of fewest pieces."""
-    if room and left[room]:
-        return [(0, ((room, 1),))]
-    some = left > 0
-
-    def pair(total: int, bound: int) -> Filling | None:
+    lengths = np.flatnonzero(beside)[::-1].tolist()
+    counts = beside[lengths].tolist()
+    falling, n = [-x for x in lengths], len(lengths)
+    behind = [0]
+    for length, count in zip(reversed(lengths), reversed(counts), strict=True):
+        behind.append(behind[-1] + length * count)
+    behind.reverse()
+    taken, chosen = [0] * n, []
+    room, at, steps = len(beside) - 1, 0, 0
+    found: list[tuple[int, int, Filling]] = []
+    while True:
+        steps += 1
+        i = bisect_left(falling, -room, at)
+        while i < n and taken[i] == counts[i]:
+            i += 1
+        if i < n:
+            chosen.append(i)
+            taken[i] += 1
+            room -= lengths[i]
+            at = i
+            continue
+        least = n - 1
+        while least >= 0 and taken[least] == counts[least]:
+            least -= 1
+        maximal = least < 0 or lengths[least] > room
+        known = not room and len(chosen) <= without
+        if maximal and not known and (len(chosen) != 1 or not chosen[0]):
+            found.append((room, len(chosen), tuple((lengths[i], taken[i]) for i in dict.fromkeys(chosen))))
+        while chosen:
+            i = chosen.pop()
+            taken[i] -= 1
+            room += lengths[i]
+            at = i + 1
+            if room - behind[at] < lengths[i]:  # else a piece of this length fits in any case
+                break
+        else:
+            break
+        if len(found) >= ENUMERATED or steps >= 20 * ENUMERATED:
+            yield from (f for _, _, f in sorted(found, key=lambda x: x[:2]))
+            yield None
+            found, steps = [], 0
+    yield from (f for _, _, f in sorted(found, key=lambda x: x[:2]))
+
+
+def _exact_fillings(beside: np.ndarray) -> Iterator[Filling]:
+    """Fillings of two and of three pieces that leave nothing free, all of them."""
+    room, left, some = len(beside) - 1, beside.copy(), beside > 0
+
+    def pairs(total: int, bound: int) -> Iterator[Filling]:
         high = np.arange(min(total - 1, bound), (total - 1) // 2, -1)
         fits = some[high] & some[total - high] & ((2 * high != total) | (left[high] > 1))
-        if not fits.any():
-            return None
-        a = int(high[fits.argmax()])
-        return ((a, 2),) if 2 * a == total else ((a, 1), (total - a, 1))
-
-    if two := pair(room, room):
-        return [(0, two)]
-    for a in np.flatnonzero(some[: max(room - 1, 0)])[::-1][:64].tolist():
+        for a in high[fits].tolist():
+            yield ((a, 2),) if 2 * a == total else ((a, 1), (total - a, 1))
+
+    yield from pairs(room, room)
+    for a in np.flatnonzero(some[: max(room - 1, 0)])[::-1].tolist():
+        if 3 * a < room:
+            break
         left[a] -= 1
         some[a] = left[a] > 0
-        rest = pair(room - a, a) if room - a > 1 else None
-        left[a] += 1
-        some[a] = True
-        if rest:
+        for rest in pairs(room - a, a) if room - a > 1 else ():
             times = dict(rest)
             times[a] = times.get(a, 0) + 1
-            return [(0, tuple(sorted(times.items(), reverse=True)))]
-    return []
+            yield tuple(sorted(times.items(), reverse=True))
+        left[a] += 1
+        some[a] = True
+
+
+def _completions(beside: np.ndarray, few: bool) -> Iterator[tuple[Filling, bool] | None]:
+    """Fillings of the room ``len(beside) - 1``, and whether one dominates all others.
+
+    One does if nothing fits, if one piece fills the room, and the longest piece
+    if no two fit. With many pieces left those that leave nothing free come first.
+    """
+    lengths = np.flatnonzero(beside)
+    if not len(lengths):
+        yield (), True
+        return
+    shortest, longest = int(lengths[0]), int(lengths[-1])
+    if beside[shortest] > 1:
+        two = 2 * shortest
+    else:
+        two = shortest + int(lengths[1]) if len(lengths) > 1 else len(beside)
+    if longest == len(beside) - 1 or two >= len(beside):
+        yield ((longest, 1),), True
+        return
+    if not few:
+        yield from ((f, False) for f in _exact_fillings(beside))
+    for filling in _maximal_fillings(beside, 0 if few else 3):
+        yield filling and (filling, False)
+
+
+def _branches(left: np.ndarray, few: bool) -> Iterator[tuple[Filling, int] | None]:
+    """Fillings with the largest length left and how often to use each: in bulk, and once.
+
+    Once is enough for any other number, as it leads to the same choice again.
+    """
+    largest = int(np.flatnonzero(left)[-1])
+    beside = left[: len(left) - largest].copy()
+    if largest < len(beside):
+        beside[largest] -= 1
+    for branch in _completions(beside, few):
+        if branch is None:
+            yield None
+            continue
+        times = dict(branch[0])
+        times[largest] = times.get(largest, 0) + 1
+        whole = tuple(sorted(times.items(), reverse=True))
+        most = min(int(left[x]) // n for x, n in whole)
+        yield whole, most
+        if most > 1 and not branch[1]:
+            yield whole, 1
 
 
 def _at_least(counts: np.ndarray, capacity: int) -> int:
@@ -153,41 +221,54 @@ def best_fit_decreasing(counts: dict[int, int], capacity: int) -> Plan:
 
 def plan_fillings(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> Plan:
     """Fillings and how often each is used, so that every piece is used once."""
-    start = np.zeros(capacity + 1, np.int64)
+    left = np.zeros(capacity + 1, np.int64)
     for length, n in counts.items():
-        start[length] = n
+        left[length] = n
     best = best_fit_decreasing({k: v for k, v in counts.items() if v}, capacity)
-    fewest, least = sum(n for _, n in best), _at_least(start, capacity)
-    #: Each entry: counts left, plan so far, its sequences.
-    stack: list[tuple[np.ndarray, Plan, int]] = [(start, [], 0)]
-    while stack and nodes and fewest > least:
-        nodes -= 1
-        left, plan, used = stack.pop()
-        lengths = np.flatnonzero(left)[::-1]
-        if not len(lengths):
-            if used < fewest:
-                best, fewest = plan, used
+    fewest, least = sum(n for _, n in best), _at_least(left, capacity)
+    if fewest <= least:
+        return best
+    draw = random.Random(0)
+    names = [draw.getrandbits(128) for _ in range(capacity + 1)]
+    plan: Plan = []
+    used, pieces, total, state = 0, int(left.sum()), sum(x * n for x, n in counts.items()), 0
+    seen: dict[int, int] = {}  # the fewest sequences some counts were reached with
+
+    def use(filling: Filling, bins: int) -> None:
+        nonlocal used, pieces, total, state
+        used += bins
+        for x, n in filling:
+            left[x] -= n * bins
+            pieces -= n * bins
+            total -= x * n * bins
+            state = (state + n * bins * names[x]) % 2**128
+
+    open_nodes = [_branches(left, pieces <= FEW)]
+    while open_nodes and nodes > 0 and fewest > least:
+        closed = used - (-total // capacity) >= fewest
+        branch = None if closed else next(open_nodes[-1], ())
+        if closed or branch == ():
+            open_nodes.pop()
+            if plan:
+                filling, bins = plan.pop()
+                use(filling, -bins)
             continue
-        if used + (_at_least(left, capacity) if len(plan) % 16 == 0 else 0) >= fewest:
+        nodes -= 1
+        if branch is None:  # a lot of fillings was enumerated
             continue
-        largest = int(lengths[0])
-        beside = left.copy()
-        beside[largest] -= 1
-        fillings = _exact_fillings(beside, capacity - largest)
-        if not fillings or int(left.sum()) <= 64:
-            available = [int(x) for x in np.flatnonzero(beside)[::-1]]
-            fillings = _maximal_fillings({x: int(beside[x]) for x in available}, available, capacity - largest)
-        for _, filling in reversed(fillings[:8]):
-            times = dict(filling)
-            times[largest] = times.get(largest, 0) + 1
-            bins = min(int(left[x]) // n for x, n in times.items())
-            if int(left.sum()) <= 64:
-                bins = 1
-            after = left.copy()
-            for x, n in times.items():
-                after[x] -= n * bins
-            whole = tuple(sorted(times.items(), reverse=True))
-            stack.append((after, [*plan, (whole, bins)], used + bins))
+        use(*branch)
+        plan.append(branch)
+        if not pieces and used < fewest:
+            best, fewest = list(plan), used
+        bound = used - (-total // capacity)
+        if bound < fewest and (pieces <= FEW or len(plan) % 16 == 0):
+            bound = used + _at_least(left, capacity)
+        if bound < fewest and used < seen.get(state, used + 1):
+            seen[state] = used
+            open_nodes.append(_branches(left, pieces <= FEW))
+        else:
+            plan.pop()
+            use(branch[0], -branch[1])
     return best
 
 
