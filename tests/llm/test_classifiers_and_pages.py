@@ -180,6 +180,26 @@ def test_a_dense_sidebar_without_a_name_is_left_out():
     assert "topic" not in main_text(page) and main_text(page).count("sentence") == 80
 
 
+@pytest.mark.parametrize("parts", [
+    "<main><section>{}</section><section>{}</section></main>",
+    "<div>{}</div><div>{}</div>",
+    "<table><tr><td>{}</td><td>{}</td></tr></table>",
+    "<div><div>{}</div></div><span><div>{}</div></span>",
+    "<article>{}</article><article>{}</article>",
+])
+def test_an_article_split_over_containers_is_whole(parts):
+    links = "".join(f"<li><a href=/{i}>topic {i}</a></li>" for i in range(40))
+    first, second = ("".join(f"<p>{w}{i} " + "of text " * 60 + "</p>" for i in range(5)) for w in "ab")
+    text = main_text(f"<body><div><ul>{links}</ul></div>{parts.format(first, second)}</body>")
+    assert [w for w in text.split() if w[-1].isdigit()] == [f"{w}{i}" for w in "ab" for i in range(5)]
+
+
+def test_text_in_line_beside_the_densest_container_is_kept():
+    text = "<p>" + "sentence of the article. " * 40 + "</p>"
+    page = f"<body>Opening {'words ' * 400}<b>in bold</b> end.<div>{text * 2}</div></body>"
+    assert main_text(page).startswith("Opening words") and "in bold end." in main_text(page)
+
+
 def test_every_page_has_a_row(spark):
     rows = [(1, "u", "<p>x</p>"), (1, "u", "<p>x</p>"), (None, None, None), (2, "v", "<nav>n</nav>"), (3, "w", "<p>" + "y " * 10**5)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit(1))

@@ -8,9 +8,10 @@ characters and ``LT`` tags in links, and the link-adjusted density
     C/T * log(C/LC * T/LT) base ln(C/nLC * LC + LCb/Cb * C + e)
 
 with ``nLC = C - LC``, every count at least one, and ``Cb``, ``LCb`` those of the body. The main
-text is the container with the largest sum of its children's densities. The threshold is
-the least density on the path from the body to it: link lists inside it that are less dense
-than that are left out.
+text is the container with the largest sum of its children's densities, or the outermost
+article around it, and beside it, in page order, every subtree that reaches the threshold, the
+least density on the path from the body to it. Text and inline elements between two blocks
+count as one subtree. Link lists in what is kept that are less dense than that are left out.
 
 Defined cases: a null or empty page has no text; unclosed and stray tags are closed as
 browsers do; what stands in an unfinished tag at the end is dropped; repeated rows are read
@@ -200,6 +201,15 @@ def _close(here: Node, name: str) -> Node:
     return here
 
 
+def _density(chars: int, tags: int, link_chars: int, link_tags: int, ratio: float) -> float:
+    """The link-adjusted density; ``ratio`` is the share of link characters in the body."""
+    c, t = max(1, chars), max(1, tags)
+    lc, lt = max(1, link_chars), max(1, link_tags)
+    text = max(1, chars - link_chars)
+    base = math.log(c / text * link_chars + ratio * c + math.e)
+    return chars / t * math.log(max(1.0, c / lc * t / lt)) / max(LEAST_LOG, math.log(base))
+
+
 def _measure(root: Node) -> list[Node]:
     """Counts of every node, children before their parents; all nodes."""
     order, stack = [], [(root, False)]
@@ -225,12 +235,7 @@ def _measure(root: Node) -> list[Node]:
     body = root
     ratio = body.link_chars / max(1, body.chars)
     for node in order:
-        c, t = max(1, node.chars), max(1, node.tags)
-        lc, lt = max(1, node.link_chars), max(1, node.link_tags)
-        text = max(1, node.chars - node.link_chars)
-        base = math.log(c / text * node.link_chars + ratio * c + math.e)
-        linked = math.log(max(1.0, c / lc * t / lt)) / max(LEAST_LOG, math.log(base))
-        node.density = node.chars / t * linked
+        node.density = _density(node.chars, node.tags, node.link_chars, node.link_tags, ratio)
     return order
 
 
@@ -256,13 +261,86 @@ def _densest(root: Node, order: list[Node]) -> tuple[Node, float]:
     return best, threshold
 
 
+def _runs(node: Node) -> Iterator[list[Node | str]]:
+    """The parts of a node: each block alone, what stands in line between two together."""
+    run: list[Node | str] = []
+    for part in node.parts:
+        if isinstance(part, str) or part.name == "br" or part.name and part.name not in BLOCKS:
+            run.append(part)
+            continue
+        if run:
+            yield run
+        yield [part]
+        run = []
+    if run:
+        yield run
+
+
+def _run_density(run: list[Node | str], in_link: bool, ratio: float) -> float:
+    if len(run) == 1 and not isinstance(run[0], str):
+        return run[0].density
+    chars = tags = link_chars = link_tags = 0
+    for part in run:
+        if isinstance(part, str):
+            n = len("".join(part.split()))
+            chars, link_chars = chars + n, link_chars + n * in_link
+        else:
+            chars, tags = chars + part.chars, tags + part.tags + (part.name != "br")
+            link_chars += part.link_chars
+            link_tags += part.link_tags + (part.name == "a")
+    return _density(chars, tags, link_chars, link_tags, ratio)
+
+
+def _kept(root: Node, best: Node, threshold: float) -> list[Node | str]:
+    """``best`` and all that reaches the threshold beside it, outermost subtrees in page order."""
+    ratio = root.link_chars / max(1, root.chars)
+    path, node = set(), best.parent
+    while node is not None:
+        path.add(id(node))
+        node = node.parent
+    kept: list[Node | str] = []
+    stack: list[tuple[list[Node | str], Node | None, bool]] = [([root], root, False)]
+    while stack:
+        run, apart, in_link = stack.pop()
+        if apart is best:
+            kept.append(best)
+        elif apart is not None and id(apart) in path:
+            in_link = in_link or apart.name == "a"
+            split = reversed(list(_split(apart, path, best)))
+            stack.extend((r, _apart(r, path, best), in_link) for r in split)
+        elif (density := _run_density(run, in_link, ratio)) >= threshold and density > 0:
+            kept += [Node("", None), *run, Node("", None)]
+        else:
+            for part in reversed(run):
+                if not isinstance(part, str):
+                    linked = in_link or part.name == "a"
+                    stack.extend((r, None, linked) for r in reversed(list(_runs(part))))
+    return kept
+
+
+def _apart(run: list[Node | str], path: set[int], best: Node) -> Node | None:
+    """The node on the path, or ``best``, if a run is just that."""
+    part = run[0]
+    return part if len(run) == 1 and (part is best or id(part) in path) else None
+
+
+def _split(node: Node, path: set[int], best: Node) -> Iterator[list[Node | str]]:
+    """The runs of a node, cut around an element that leads to ``best``."""
+    for run in _runs(node):
+        at = next((i for i, p in enumerate(run) if p is best or id(p) in path), None)
+        if at is None:
+            yield run
+        else:
+            yield from (part for part in (run[:at], run[at : at + 1], run[at + 1 :]) if part)
+
+
 def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = parse(page)
     best, threshold = _densest(root, _measure(root))
     out: list[str] = []
-    stack: list[Node | str] = [best]
+    stack: list[Node | str] = _kept(root, best, threshold)[::-1]
     while stack:
         part = stack.pop()
         if isinstance(part, str):
