@@ -200,6 +200,24 @@ def test_text_in_line_beside_the_densest_container_is_kept():
     assert main_text(page).startswith("Opening words") and "in bold end." in main_text(page)
 
 
+@pytest.mark.parametrize("page", [
+    "<div class='layout has-sidebar'>{}</div>",
+    "<div id=page class='no-sidebar'>{}</div>",
+    "<div class='content with-comments'>{}</div>",
+    "<div class='form widget'>{}</div>",
+    "<form action=/>{}</form>",
+    "<form><div class=sidebar>side</div><article>{}</article></form>",
+    "<div><section id=related-work>{}</section></div>",
+    "<article><h1 class='entry-header'>Title</h1>{}<math><mi>x</mi></math></article>",
+])
+def test_a_name_alone_does_not_cut_the_article_off(page):
+    text = "<p>" + "sentence of the article. " * 20 + "</p>"
+    found = main_text(f"<body>{page.format(text * 3)}<div class='ad'><p>buy this now</p></div></body>")
+    assert found.count("sentence") == 60 and "buy" not in found and "side" not in found.split()
+    if "<math>" in page:
+        assert found.startswith("Title ") and found.endswith(" x")
+
+
 def test_every_page_has_a_row(spark):
     rows = [(1, "u", "<p>x</p>"), (1, "u", "<p>x</p>"), (None, None, None), (2, "v", "<nav>n</nav>"), (3, "w", "<p>" + "y " * 10**5)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit(1))

@@ -1,8 +1,10 @@
 """Main text of web pages by composite text density.
 
-A page is read into a tree of elements. Boilerplate that names itself (navigation, forms,
-scripts, elements whose class, id or role says advert, sidebar, comments and so on) is
-cut off. Every node left has ``C`` characters, ``T`` tags below it, of these ``LC``
+A page is read into a tree of elements, without those that are never text (``DROPPED``, such as
+scripts, nav, footer and aside, and hidden ones). A form, or an element of which a
+whole class, id or role is one of ``NAMES`` (ad, sidebar, comments and so on), is cut off unless
+it holds an article, main or h1, or more than half of the characters outside links while no
+article or main stands elsewhere. Every node left has ``C`` characters, ``T`` tags below it, of these ``LC``
 characters and ``LT`` tags in links, and the link-adjusted density
 
     C/T * log(C/LC * T/LT) base ln(C/nLC * LC + LCb/Cb * C + e)
@@ -15,7 +17,8 @@ count as one subtree. Link lists in what is kept that are less dense than that a
 
 Defined cases: a null or empty page has no text; unclosed and stray tags are closed as
 browsers do; what stands in an unfinished tag at the end is dropped; repeated rows are read
-each on their own; a page of nothing but boilerplate has no text.
+each on their own; a page of nothing
+but elements that are never text has none.
 """
 
 from __future__ import annotations
@@ -39,7 +42,7 @@ VOID = frozenset(
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
 DROPPED = frozenset(
     "script style textarea title xmp iframe noembed noframes noscript head nav footer aside "
-    "form menu button select template svg canvas object dialog audio video math".split()
+    "menu button select template svg canvas object dialog audio video".split()
 )
 BLOCKS = frozenset(
     "address article aside blockquote body br caption center dd details dialog dir div dl dt "
@@ -61,7 +64,7 @@ CLOSES = {
     "tfoot": ({"tbody", "thead", "tfoot", "tr", "td", "th"}, {"table"}),
     "option": ({"option"}, {"select"}),
 }
-#: Words in a class, id or role by which boilerplate names itself.
+#: Classes, ids and roles by which boilerplate names itself.
 NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion "
     "banner cookie cookies consent gdpr notice notices alert popup popover modal overlay toast "
@@ -71,7 +74,6 @@ NAMES = frozenset(
     "recommendations newsletter subscribe subscription signup login search searchbox form widget "
     "skip tags tagcloud".split()
 )
-WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))"
     r"|<[!?/](?![a-zA-Z])[^>]*(?:>|\Z)"
@@ -83,35 +85,73 @@ ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'=<>`]+
 
 
 class Node:
-    __slots__ = ("name", "parent", "parts", "chars", "tags", "link_chars", "link_tags", "density")
+    __slots__ = ("name", "parent", "parts", "chars", "tags", "link_chars", "link_tags", "density", "named")
 
     def __init__(self, name: str, parent: Node | None) -> None:
         self.name, self.parent = name, parent
         self.parts: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = 0.0
+        self.named = False
 
 
-def _names_itself(name: str, attributes: str) -> bool:
-    """Whether an element is boilerplate by what it is called."""
+def _told(name: str, attributes: str) -> tuple[bool, bool]:
+    """Whether an element is never text, and whether it is called like boilerplate."""
+    named = name == "form"
     if name in DROPPED:
-        return True
+        return True, named
     if not attributes or name in ("body", "html", "article", "main"):
-        return False
+        return False, named
     for key, value in ATTRIBUTE.findall(attributes):
         key = key.lower()
         if key in ("class", "id", "role"):
-            words = WORD.findall(html.unescape(value.strip("\"'")))
-            if NAMES.intersection(w.lower() for w in words):
-                return True
+            tokens = html.unescape(value.strip("\"'")).lower().split()
+            named = named or not NAMES.isdisjoint(tokens)
         elif key == "hidden" or key == "aria-hidden" and "true" in value.lower():
-            return True
-    return False
+            return True, named
+    return False, named
+
+
+def _cut_named(root: Node) -> None:
+    """Cuts off what is called like boilerplate and does not look like the page's text.
+
+    It does if it holds an article, main or h1, or most of the characters outside links
+    and no article or main stands elsewhere.
+    """
+    order, stack = [], [(root, False)]
+    own: dict[int, list[int]] = {}  # characters outside links, articles and the like
+    while stack:
+        node, in_link = stack.pop()
+        order.append(node)
+        in_link = in_link or node.name == "a"
+        chars = 0 if in_link else sum(len("".join(p.split())) for p in node.parts if isinstance(p, str))
+        own[id(node)] = [chars, node.name in ("article", "main"), node.name == "h1"]
+        stack.extend((p, in_link) for p in node.parts if not isinstance(p, str) and p.name)
+    for node in reversed(order):
+        if node.parent is not None:
+            above, here = own[id(node.parent)], own[id(node)]
+            above[0] += here[0]
+            above[1] += here[1]
+            above[2] += here[2]
+    total, _, _ = own[id(root)]
+    around = {id(root): 0}  # articles and mains that an element stands in
+    for node in order:
+        if node.parent is not None:
+            around[id(node)] = around[id(node.parent)] + (node.parent.name in ("article", "main"))
+    cut: set[int] = set()
+    for node in order:
+        chars, mains, h1s = own[id(node)]
+        elsewhere = own[id(root)][1] - mains - around[id(node)] > 0
+        if node.named and not mains and not h1s and (elsewhere or 2 * chars <= total):
+            cut.add(id(node))
+    for above in {id(n.parent): n.parent for n in order if id(n) in cut}.values():
+        above.parts = [Node("", None) if id(p) in cut and p.name in BLOCKS else p
+                       for p in above.parts if id(p) not in cut or p.name in BLOCKS]
 
 
 def parse(page: str) -> Node:
-    """The tree of elements, without boilerplate that names itself."""
-    root = Node("html", None)
+    """The tree of elements, without what is never text and boilerplate that names itself."""
+    root, any_named = Node("html", None), False
     here, at = root, 0
     dropped: list[str] = []  # open elements from the outermost dropped one inwards
     while True:
@@ -152,16 +192,21 @@ def parse(page: str) -> Node:
         if name in ("html", "body"):
             continue
         here = _open_in(here, name)
-        if _names_itself(name, attributes):
+        never, named = _told(name, attributes)
+        if never:
             if name in RAW:
                 at = _behind_raw(page, name, at)
             elif name not in VOID:
                 dropped.append(name)
             continue
         node = Node(name, here)
+        node.named = named
+        any_named = any_named or named
         here.parts.append(node)
         if name not in VOID:
             here = node
+    if any_named:
+        _cut_named(root)
     return root
 
 
