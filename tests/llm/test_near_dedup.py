@@ -94,6 +94,19 @@ def test_one_document_of_a_group_stays(docs_of):
     assert drop_near_copies(docs.limit(0)).count() == 0
 
 
+def test_one_row_of_a_group_stays_whatever_the_ids(docs_of):
+    text = "the quick brown fox jumps over the lazy dog and then some more words follow it here"
+    other = " ".join(f"w{i}" for i in range(20))
+    pairs = [(None, text), (None, text + " x"), (None, "no id but another text"), (None, ""), (None, None)]
+    pairs += [(3, "one " + other), (3, "one " + other + " y"), (3, "apart from it all")]
+    pairs += [(4, "z " + text[::-1]), (None, "z " + text[::-1] + " q")]
+    docs = docs_of(pairs).repartition(3).withColumn("row", F.lit(1))
+    kept = drop_near_copies(docs, similarity=80)
+    assert kept.columns == docs.columns
+    found = Counter((r["doc_id"], (r["text"] or "")[:4]) for r in kept.collect())
+    assert found == Counter({(None, "the "): 1, (None, "no i"): 1, (None, ""): 2, (3, "one "): 1, (3, "apar"): 1, (4, "z er"): 1})
+
+
 def test_sketches_fill_and_estimate():
     rng = np.random.default_rng(0)
     tiny = [rng.integers(0, 2**63, n, np.uint64) for n in (1, 2, 3, 50)]

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemill.llm.common import whole_text, worker_table
+from tidemill.llm.common import fresh, whole_text, worker_table
 from tidemill.llm.components import connect
 from tidemill.session import new_folder
 from tidemill.sources.snapshots import drop_frozen, freeze
@@ -454,9 +454,16 @@ def near_groups(docs: DataFrame, *, width: int = SHINGLE, similarity: int = SIMI
 
 
 def drop_near_copies(docs: DataFrame, *, width: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
-    """The documents, all columns, that stand for their group.
+    """The documents, all columns, that stand for their group, one row of each.
 
-    Rows that share the id of one that stays are told apart by nothing here and stay.
+    It is the row of the least id, one without an id only if none has one, and of rows that
+    share it any one. The rows are numbered and written first, so that ids need not tell them apart.
     """
-    kept = near_groups(docs, width=width, similarity=similarity).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+    row = fresh(docs, "row")
+    rows = freeze(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    numbered = rows.select(F.col(row).alias("doc_id"), "text")
+    groups = near_groups(numbered, width=width, similarity=similarity)
+    groups = groups.select(F.col("doc_id").alias(row), "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", row)
+    first = rows.select("doc_id", row).join(groups, row).groupBy("component_id").agg(F.min(order).alias("first"))
+    return rows.join(first.select(F.col(f"first.{row}").alias(row)), row, "left_semi").drop(row)
