@@ -1,0 +1,96 @@
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+from corpus import docs_of  # noqa: F401
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tidemill.llm.fill_in_middle import RankIndex, boundaries, fill_in_middle, restored
+
+UNITS = re.compile("[A-Za-z]+|[^A-Za-z]")
+
+
+def offsets_of(text):
+    return [0, *(m.end() for m in UNITS.finditer(text))]
+
+
+@given(st.text(alphabet="abZ <>[]`{@é\U0001f600\n", max_size=60))
+@settings(max_examples=300, deadline=None)
+def test_boundaries_are_those_of_the_units(text):
+    assert boundaries(text).tolist() == offsets_of(text)
+
+
+@pytest.mark.parametrize("error", [1, 7, 100, 126])
+def test_every_boundary_is_found_exactly(error):
+    draw = random.Random(3)
+    steps = [draw.choice([1, 1, 1, 5, 9, 4000 if i % 997 == 0 else 2]) for i in range(20_000)]
+    offsets = np.concatenate(([0], np.cumsum(steps)))
+    index = RankIndex(offsets, error)
+    assert [index.offset(k) for k in range(len(offsets))] == offsets.tolist()
+    assert np.abs(index.remainders).max() <= error + 1
+    assert index.segments < len(offsets) / 2
+    with pytest.raises(IndexError):
+        index.offset(len(offsets))
+
+
+def test_a_straight_text_has_one_segment_and_a_larger_error_fewer():
+    assert RankIndex(np.arange(100_000) * 3).segments == 1
+    steps = np.random.default_rng(1).integers(1, 30, 50_000)
+    offsets = np.concatenate(([0], np.cumsum(steps)))
+    assert RankIndex(offsets, 100).segments < RankIndex(offsets, 5).segments
+
+
+def test_errors_beyond_a_byte_are_refused():
+    with pytest.raises(ValueError):
+        RankIndex(np.arange(3), 127)
+
+
+def expected(doc_id, text):
+    text = text or ""
+    units = UNITS.findall(text)
+    n = len(units)
+    digest = hashlib.sha256(f"1:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(digest[8 * i : 8 * i + 8], 16) for i in range(4))
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h3 % 100 >= 90:
+        return (doc_id, n, "plain", None, None, text)
+    a, b = sorted((h1 % (n + 1), h2 % (n + 1)))
+    p, m, s = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+    if h4 % 100 < 20:
+        return (doc_id, n, "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}")
+    return (doc_id, n, "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}")
+
+
+def test_documents_match_brute_force_and_come_back(docs_of):
+    texts = [None, "", "word", "two words", "a<P>b", "x<S>", "<M>", "<", "<P", ">S<<P", "é\U0001f600 z\n\n", "  "]
+    draw = random.Random(5)
+    texts += ["".join(draw.choice("ab <>PSMé\U0001f600\n") for _ in range(draw.randrange(80))) for _ in range(300)]
+    texts.append("word, " * 60_000)  # very long
+    pairs = list(enumerate(texts)) + [(3, "two words"), (None, "no id at all"), (-5, "minus")]
+    docs = docs_of(pairs).withColumns({"output": F.lit(1), "form": F.lit("x"), "drawn": F.lit(2)})
+    made = fill_in_middle(docs).withColumn("back", restored(F.col("output"), F.col("form"))).collect()
+    assert sorted(map(repr, (tuple(r)[:6] for r in made))) == sorted(repr(expected(i, t)) for i, t in pairs)
+    forms = {r["form"] for r in made}
+    assert forms == {"plain", "psm", "spm"}
+    backs = sorted((repr(r["doc_id"]), r["back"]) for r in made)
+    assert backs == sorted((repr(i), t or "") for i, t in pairs)
+
+
+def test_seed_and_shares_are_parameters(docs_of):
+    docs = docs_of([(i, f"some words for number {i}") for i in range(60)])
+    assert {r["form"] for r in fill_in_middle(docs, changed_percent=0).collect()} == {"plain"}
+    assert {r["form"] for r in fill_in_middle(docs, changed_percent=100, suffix_first_percent=100).collect()} == {"spm"}
+    one, two = ({r["doc_id"]: r["output"] for r in fill_in_middle(docs, seed=s).collect()} for s in (1, 2))
+    assert one != two
+
+
+def test_empty_table(docs_of):
+    assert fill_in_middle(docs_of([])).count() == 0
+
+
+def test_the_plan_moves_no_rows(docs_of):
+    plan = fill_in_middle(docs_of([(1, "a")]))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan

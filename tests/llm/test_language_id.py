@@ -1,0 +1,159 @@
+import math
+import random
+import zlib
+
+import numpy as np
+import pytest
+from conftest import DATA
+from pyspark.sql import functions as F
+
+from tidemill.llm.language_id import (
+    BLOCK,
+    CrossParser,
+    identify_language,
+    learn_references,
+    parse,
+    plain_bytes,
+    suffix_automaton,
+)
+
+DOCUMENTS = "doc_id long, text string, lang string"
+
+
+def phrases_by_search(block, reference):
+    """Longest stretches found by looking for them."""
+    count, at = 0, 0
+    while at < len(block):
+        size = 1
+        while at + size < len(block) and block[at : at + size + 1] in reference:
+            size += 1
+        count, at = count + 1, at + size
+    return count
+
+
+def by_search(text, reference):
+    return sum(phrases_by_search(text[i : i + BLOCK], reference) for i in range(0, len(text), BLOCK))
+
+
+def test_the_automaton_knows_all_stretches_and_no_other():
+    reference = b"abcbcabb"
+    states = suffix_automaton(reference)
+    assert len(states) <= 2 * len(reference)
+    stretches = {reference[i:j] for i in range(8) for j in range(i + 1, 9)}
+
+    def paths(state, so_far):
+        for byte, to in states[state].items():
+            yield so_far + bytes([byte])
+            yield from paths(to, so_far + bytes([byte]))
+
+    found = list(paths(0, b""))
+    assert set(found) == stretches and len(found) == len(stretches)
+
+
+def test_phrases_match_search():
+    draw = random.Random(2)
+    references = [bytes(draw.choice(b"abc ") for _ in range(400)), b"banana bandana", b"z"]
+    texts = [bytes(draw.choice(b"abcdn zx\xc3\xa9") for _ in range(draw.randrange(900))) for _ in range(40)]
+    texts += [b"", b"a", b"q" * (BLOCK * 2), b"banana bandana" * 60]
+    counts = parse(texts, [CrossParser(r) for r in references])
+    for text, row in zip(texts, counts.tolist(), strict=True):
+        assert row == [by_search(text, r) for r in references]
+
+
+def test_plain_bytes():
+    assert plain_bytes("  It's 5\0 O'Clock\tNOW ") == b"it s o clock now"
+    assert plain_bytes("ÉÀ\n!") == "éà".encode()
+    assert plain_bytes("123 ...") == b""
+
+
+WORDS = {"xx": "kara lumi toto sela miru", "yy": "strobt gruft knelst wurmp dracht"}
+
+
+def sample_of(spark, count=90, extra=()):
+    draw = random.Random(7)
+    rows = []
+    for i in range(count):
+        lang = "xx" if i % 3 else "yy"
+        text = " ".join(draw.choice(WORDS[lang].split()) for _ in range(draw.randrange(3, 40)))
+        rows.append((i, text, lang))
+    return spark.createDataFrame([*rows, *extra], DOCUMENTS)
+
+
+ODD = [
+    (1000, None, "xx"),
+    (1001, "", "xx"),
+    (1002, "123 -- \n", "yy"),
+    (1003, "kara toto", None),
+    (None, "strobt wurmp", "yy"),
+    (None, None, None),
+    (1004, "gruft knelst " * 40_000, None),  # very long
+    (1005, "кириллица", None),  # no byte of it is in any reference: a tie
+    (2000, "kara lumi", "xx"),
+    (2000, "kara lumi", "xx"),
+]
+
+
+def test_languages_of_odd_rows(spark):
+    docs = sample_of(spark, extra=ODD).withColumns({"score": F.lit("x"), "held_out": F.lit(3), "lettered": F.lit(1)})
+    got = identify_language(docs).collect()
+    assert len(got) == 90 + len(ODD)
+    by_id = {r["doc_id"]: r for r in got if r["doc_id"] is not None}
+    for i in (1000, 1001, 1002):
+        assert (by_id[i]["lang_pred"], by_id[i]["score"]) == ("und", 0.0)
+    assert by_id[1003]["lang_pred"] == "xx" and by_id[1004]["lang_pred"] == "yy"
+    assert by_id[1005]["lang_pred"] in ("xx", "yy") and 0 < by_id[1005]["score"] <= 1
+    assert sorted(r["lang_pred"] for r in got if r["doc_id"] is None) == ["und", "yy"]
+    for i in range(90):
+        assert by_id[i]["lang_pred"] == ("xx" if i % 3 else "yy")
+    for r in got:
+        text = "" if r["doc_id"] is None else str(r["doc_id"])
+        assert r["held_out"] == (zlib.crc32(text.encode()) % 3 == 1)
+        assert 0 <= r["score"] <= 1
+
+
+def test_a_prediction_is_the_cheapest_parse(spark):
+    docs = sample_of(spark, 60)
+    references = {r["lang"]: bytes(r["reference"]) for r in learn_references(docs).collect()}
+    assert sorted(references) == ["xx", "yy"]
+    mixed = [(i, " ".join(random.Random(i).choices((WORDS["xx"] + " " + WORDS["yy"]).split(), k=20)), None) for i in range(50)]
+    got = identify_language(spark.createDataFrame(mixed, DOCUMENTS), learn_references(docs))
+    for row, (_, text, _) in zip(got.orderBy("doc_id").collect(), mixed, strict=True):
+        bits = {k: by_search(plain_bytes(text), v) * math.log2(len(v)) for k, v in references.items()}
+        best = min(sorted(bits), key=bits.get)
+        assert row["lang_pred"] == best
+        assert row["score"] == pytest.approx(1 / sum(2 ** (bits[best] - b) for b in bits.values()))
+
+
+def test_held_out_rows_and_copies_teach_nothing(spark):
+    base = sample_of(spark, 60)
+    held = base.where((F.crc32(F.col("doc_id").cast("string")) % 3) == 1).withColumn("text", F.lit("zzzz"))
+    others = base.where((F.crc32(F.col("doc_id").cast("string")) % 3) != 1)
+    one = {tuple(r) for r in learn_references(others.unionAll(held)).collect()}
+    assert one == {tuple(r) for r in learn_references(others.unionAll(others).repartition(5)).collect()}
+
+
+def test_references_are_bounded(spark):
+    docs = sample_of(spark, 90)
+    for r in learn_references(docs, sample_rows=5, reference_bytes=64).collect():
+        assert len(r["reference"]) <= 64
+    for r in learn_references(docs, all_bytes=100).collect():
+        assert len(r["reference"]) <= 50
+
+
+def test_nothing_to_learn_from_and_empty_tables(spark):
+    docs = spark.createDataFrame([(1, "words", None), (2, None, "xx"), (3, "12", "xx")], DOCUMENTS)
+    assert [(r["lang_pred"], r["score"]) for r in identify_language(docs).collect()] == [("und", 0.0)] * 3
+    assert identify_language(docs.limit(0)).count() == 0
+    assert identify_language(docs.limit(0), learn_references(sample_of(spark, 30))).count() == 0
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet(f"{DATA}/sf0.01/documents.parquet")
+    found = identify_language(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out")
+    right = found.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
+    assert right > 0.98
+
+
+def test_tables_of_transitions_are_small():
+    parser = CrossParser(bytes(np.random.default_rng(1).integers(97, 123, 4000).astype(np.uint8)))
+    assert parser._table.nbytes < 4000 * 2 * 28 * 4 + 1000

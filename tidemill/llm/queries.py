@@ -5,11 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemill.llm.collocations import mine_collocations
 from tidemill.llm.common import table
 from tidemill.llm.exact_dedup import exact_groups
+from tidemill.llm.fill_in_middle import fill_in_middle, restored
 from tidemill.llm.fingerprints import edit_fingerprints
 from tidemill.llm.html_text import extract_main_text
+from tidemill.llm.language_id import identify_language
 from tidemill.llm.license_scan import scan_licenses
 from tidemill.llm.mixing import mix
 from tidemill.llm.near_dedup import near_groups
@@ -66,6 +70,28 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_language(table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle(table(spark, sf_dir, "documents"))
+    text = restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(text, 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     name: query for name, query in list(globals().items()) if name.startswith("op")
 }
@@ -81,4 +107,75 @@ ORACLES: dict[str, str] = {
                doc_id = min(doc_id) OVER w AS kept, text_sha256
         FROM d WINDOW w AS (PARTITION BY text_sha256)
     """,
+    "op12_collocations": r"""
+        WITH texts AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                             'abcdefghijklmnopqrstuvwxyz') AS t
+            FROM documents),
+        pieces AS (
+            SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts),
+        w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+        grams AS (
+            SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2),
+                   lambda i: array_to_string(w[i : i + k - 1], ' '))) AS phrase
+            FROM w, (SELECT unnest([1, 2, 3]) AS k)),
+        f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL),
+        n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+        c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS p FROM f WHERE k > 1 AND f >= 10),
+        cuts AS (
+            SELECT lang, k, phrase, a, cut, array_to_string(p[1 : cut], ' ') AS head,
+                   array_to_string(p[cut + 1 : k], ' ') AS tail
+            FROM (SELECT *, unnest(range(1, k)) AS cut FROM c)),
+        scored AS (
+            SELECT cuts.lang, cuts.k, cuts.phrase, a, cut, x.f AS l, y.f AS r,
+                   ((1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f))::BIGINT AS score
+            FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = head AND x.k = cut
+                      JOIN f y ON y.lang = cuts.lang AND y.phrase = tail AND y.k = cuts.k - cut),
+        lowest AS (
+            SELECT * FROM scored
+            QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+        covered AS (
+            SELECT lang, phrase, max(a) AS longer
+            FROM (SELECT lang, a, unnest([array_to_string(p[1 : 2], ' '),
+                                          array_to_string(p[2 : 3], ' ')]) AS phrase FROM c WHERE k = 3)
+            GROUP BY ALL),
+        kept AS (
+            SELECT lowest.* FROM lowest LEFT JOIN covered USING (lang, phrase)
+            WHERE longer IS NULL OR 100 * longer < 50 * a)
+        SELECT lang, row_number() OVER (
+                   PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+               phrase, a, l, r, n, score
+        FROM kept JOIN n USING (lang) QUALIFY rank <= 2000
+    """,
+    "op13_fill_in_middle": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(text, '') AS t,
+                   regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+                   sha256('1:' || doc_id) AS h
+            FROM documents),
+        drawn AS (
+            SELECT doc_id, t, u, len(u) AS n,
+                   ('0x' || substr(h, 1, 8))::BIGINT % (len(u) + 1) AS c1,
+                   ('0x' || substr(h, 9, 8))::BIGINT % (len(u) + 1) AS c2,
+                   CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                             OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 90 THEN 'plain'
+                        WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 20 THEN 'spm'
+                        ELSE 'psm' END AS form
+            FROM d),
+        cut AS (
+            SELECT doc_id, n, form, t,
+                   array_to_string(list_slice(u, 1, least(c1, c2)), '') AS p,
+                   array_to_string(list_slice(u, least(c1, c2) + 1, greatest(c1, c2)), '') AS m,
+                   array_to_string(list_slice(u, greatest(c1, c2) + 1, n), '') AS s
+            FROM drawn)
+        SELECT doc_id, n, form,
+               CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN t
+                                WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                                ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+               sha256(t) AS restored_sha256
+        FROM cut
+    """,
 }
