@@ -79,7 +79,7 @@ def test_other_depths_and_limits(spark, options):
 def test_a_small_task_memory_gives_the_same(spark, monkeypatch):
     import tidemill.llm.collocations as module
 
-    monkeypatch.setattr(module, "CHARS_AT_ONCE", 300)
+    monkeypatch.setattr(module, "BYTES_AT_ONCE", 300)
     monkeypatch.setattr(module, "FLUSH_SUFFIXES", 100)
     assert mined(spark, ROWS[:12]) == by_brute_force(ROWS[:12])
 
@@ -96,18 +96,29 @@ def test_large_products_are_exact(spark):
 
 def test_leaves_and_nodes():
     draw = np.random.default_rng(4)
-    suffixes = draw.integers(0, 5, (400, 3))
+    suffixes = draw.integers(0, 5, (3, 400))
     leaves, totals = leaf_totals(suffixes)
-    expected = Counter(map(tuple, suffixes.tolist()))
-    assert dict(zip(map(tuple, leaves.tolist()), totals.tolist(), strict=True)) == expected
-    again, sums = leaf_totals(np.concatenate((leaves, leaves)), np.concatenate((totals, totals)))
+    expected = Counter(map(tuple, suffixes.T.tolist()))
+    assert dict(zip(map(tuple, leaves.T.tolist()), totals.tolist(), strict=True)) == expected
+    again, sums = leaf_totals(np.concatenate((leaves, leaves), axis=1), np.concatenate((totals, totals)))
     assert (again == leaves).all() and (sums == 2 * totals).all()
     for depth, nodes, found in subtree_nodes(leaves, totals):
         below = Counter()
         for leaf, k in expected.items():
             if leaf[depth - 1]:
                 below[leaf[:depth]] += k
-        assert dict(zip(map(tuple, nodes.tolist()), found.tolist(), strict=True)) == below
+        assert dict(zip(map(tuple, nodes.T.tolist()), found.tolist(), strict=True)) == below
+
+
+def test_words_of_any_number_are_packed():
+    """Numbers too large to stand in one 64-bit rank take the longer way to the same."""
+    draw = np.random.default_rng(6)
+    small = draw.integers(0, 6, (3, 300))
+    large = small * (1 << 28)
+    for counts in (None, draw.integers(1, 9, 300)):
+        leaves, totals = leaf_totals(small, counts)
+        far, sums = leaf_totals(large, counts)
+        assert (far == leaves * (1 << 28)).all() and (sums == totals).all()
 
 
 def test_groups_keep_to_the_budget():

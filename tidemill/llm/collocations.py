@@ -23,6 +23,7 @@ other; columns but text and lang are not looked at.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -32,7 +33,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemill.functions.whole import div
 from tidemill.llm.common import whole_text
 from tidemill.session import new_folder, shuffle_partitions
 from tidemill.sources.snapshots import drop_frozen, freeze
@@ -46,12 +46,11 @@ GROUP_SUFFIXES = 1 << 20  # the memory budget of a subtree
 BUCKETS = 1 << 16
 FLUSH_SUFFIXES = 1 << 21  # of a task, before it sends its leaves
 FLUSH_WORDS = 1 << 19
-CHARS_AT_ONCE = 1 << 20
+BYTES_AT_ONCE = 1 << 20
 NO_LANG = "und"
 _END = 0  # number of the end of a piece, and of no word at all
-_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
-_CUTS = {ord(c): " \n " for c in ".,;:!?\n\x0b\x0c\r"}
-_CLEAN = str.maketrans({**_LOWER, **_CUTS, ord("\t"): " "})
+_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+_CLEAN = _LOWER.translate(bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", b"\n" * 10 + b" "))
 BLOCKS = "group int, lang string, words binary, leaves binary"
 NODES = "lang string, phrase string, words int, f long"
 
@@ -60,74 +59,81 @@ class _Words(dict):
     """Numbers words as they come; 0 is the end of a piece, 1 the gap between two spaces."""
 
     def __init__(self) -> None:
-        super().__init__({"\n": _END, "": 1})
+        super().__init__({b"\n": _END, b"": 1})
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         self[word] = number = len(self)
         return number
 
 
-def _numbered(texts: list[str], words: _Words) -> np.ndarray:
+def _numbered(texts: list[bytes], words: _Words) -> np.ndarray:
     """The words of all texts by number, each piece ended by ``_END``."""
-    joined = "\n".join(texts).translate(_CLEAN) + " \n"
-    found = np.fromiter(map(words.__getitem__, joined.split(" ")), np.int64)
+    joined = b"\n".join([*texts, b""]).translate(_CLEAN).replace(b"\n", b" \n ")
+    found = np.fromiter(map(words.__getitem__, joined.split(b" ")), np.int64)
     return found[found != 1]
 
 
 def _suffixes(numbers: np.ndarray, depth: int) -> np.ndarray:
-    """A row for each word: it and those behind it in its piece, then ``_END``."""
+    """A column for each word: it and those behind it in its piece, then ``_END``."""
+    n = len(numbers)
     padded = np.concatenate((numbers, np.zeros(depth, np.int64)))
-    table = np.empty((len(numbers), depth), np.int64)
+    table = np.empty((depth, n), np.int64)
     for k in range(depth):
-        table[:, k] = padded[k : k + len(numbers)]
+        table[k] = padded[k : k + n]
         if k:
-            table[table[:, k - 1] == _END, k] = _END
-    return table[table[:, 0] != _END]
+            table[k] *= table[k - 1] != _END
+    return table[:, table[0] != _END]
 
 
 def leaf_totals(suffixes: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct suffixes in order, and how often each occurs."""
-    if not len(suffixes):
+    """Distinct suffixes in order, a column each, and how often each occurs."""
+    depth, n = suffixes.shape
+    if not n:
         return suffixes, np.zeros(0, np.int64)
-    rank = suffixes[:, 0]
-    for k in range(1, suffixes.shape[1]):
-        if k > 1:  # keep the rank of the words so far within 32 bits
+    bits, rank = max(1, int(suffixes.max()).bit_length()), suffixes[0]
+    together = bits * depth < 64
+    for k in range(1, depth):
+        if not together and k > 1:  # keep the rank of the words so far within 32 bits
             rank = np.unique(rank, return_inverse=True)[1]
-        rank = (rank << 32) | suffixes[:, k]
-    order = np.argsort(rank, kind="stable")
-    rank = rank[order]
+        rank = (rank << (bits if together else 32)) | suffixes[k]
+    order = None if together and counts is None else np.argsort(rank)
+    rank = np.sort(rank) if order is None else rank[order]
     first = np.flatnonzero(np.concatenate(([True], rank[1:] != rank[:-1])))
-    ends = np.append(first[1:], len(rank))
-    totals = ends - first if counts is None else np.add.reduceat(counts[order], first)
-    return suffixes[order[first]], totals
+    totals = np.diff(first, append=n) if counts is None else np.add.reduceat(counts[order], first)
+    if order is not None:
+        return suffixes[:, order[first]], totals
+    rank = rank[first]
+    words = [(rank >> (bits * k)) & ((1 << bits) - 1) for k in range(depth - 1, -1, -1)]
+    return np.stack(words), totals
 
 
 def subtree_nodes(leaves: np.ndarray, totals: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For each depth the nodes' words and totals, read from sorted distinct leaves."""
-    new = np.zeros(len(leaves), bool)
+    new = np.zeros(len(totals), bool)
     new[:1] = True
-    for depth in range(1, leaves.shape[1] + 1):
-        new[1:] |= leaves[1:, depth - 1] != leaves[:-1, depth - 1]
+    for depth, words in enumerate(leaves, 1):
+        new[1:] |= words[1:] != words[:-1]
         first = np.flatnonzero(new)
         sums = np.add.reduceat(totals, first) if len(first) else totals
-        whole = leaves[first, depth - 1] != _END
-        yield depth, leaves[first[whole], :depth], sums[whole]
+        whole = words[first] != _END
+        yield depth, leaves[:depth, first[whole]], sums[whole]
 
 
-def _hashes(lang: str, words: list[str]) -> np.ndarray:
+def _hashes(lang: str, words: list[bytes]) -> np.ndarray:
     seed = zlib.crc32(lang.encode())
-    return np.fromiter((zlib.crc32(w.encode(), seed) for w in words), np.int64, len(words))
+    return np.fromiter((zlib.crc32(w, seed) for w in words), np.int64, len(words))
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[str]]]:
-    """Texts of one language, a bounded number of characters at a time."""
-    held: dict[str, list[str]] = {}
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]]]:
+    """Texts of one language, a bounded number of bytes at a time."""
+    held: dict[str, list[bytes]] = {}
     sizes: dict[str, int] = {}
     for batch in batches:
-        for lang, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        texts = batch.column(1).cast(pa.binary()).to_pylist()
+        for lang, text in zip(batch.column(0).to_pylist(), texts, strict=True):
             held.setdefault(lang, []).append(text)
             sizes[lang] = sizes.get(lang, 0) + len(text) + 1
-            if sizes[lang] >= CHARS_AT_ONCE:
+            if sizes[lang] >= BYTES_AT_ONCE:
                 yield lang, held.pop(lang)
                 del sizes[lang]
     yield from held.items()
@@ -136,16 +142,28 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[str]]
 def _count_buckets(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
+        held: dict[str, tuple[_Words, np.ndarray]] = {}
+
+        def add(lang: str, words: _Words, counts: np.ndarray) -> None:
+            into = sums.setdefault(lang, np.zeros(buckets, np.int64))
+            np.add.at(into, _hashes(lang, list(words)) % buckets, counts[: len(words)])
+
         for lang, texts in _chunks(batches):
-            words = _Words()
+            words, counts = held.pop(lang, None) or (_Words(), np.zeros(FLUSH_WORDS, np.int64))
             numbers = _numbered(texts, words)
-            counts = np.bincount(numbers, minlength=len(words))
-            into = sums.setdefault(lang, np.zeros(buckets, np.int64))
-            counts[_END] = 0
-            np.add.at(into, _hashes(lang, list(words)) % buckets, counts)
-        for lang, counts in sums.items():
-            some = np.flatnonzero(counts)
-            columns = [pa.array([lang] * len(some)), pa.array(some), pa.array(counts[some])]
+            numbers = numbers[numbers != _END]
+            if len(words) > len(counts):
+                counts = np.concatenate((counts, np.zeros(len(words), np.int64)))
+            counts += np.bincount(numbers, minlength=len(counts))
+            if len(words) >= FLUSH_WORDS:
+                add(lang, words, counts)
+            else:
+                held[lang] = words, counts
+        for lang, (words, counts) in held.items():
+            add(lang, words, counts)
+        for lang, found in sums.items():
+            some = np.flatnonzero(found)
+            columns = [pa.array([lang] * len(some)), pa.array(some), pa.array(found[some])]
             yield pa.RecordBatch.from_arrays(columns, names=["lang", "bucket", "n"])
 
     return run
@@ -180,24 +198,24 @@ def _send_leaves(partitioning: Partitioning, depth: int):
 
     def blocks(lang: str, words: _Words, numbers: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         leaves, totals = leaf_totals(_suffixes(np.concatenate(numbers), depth))
-        if not len(leaves):
+        if not len(totals):
             return
         listed = list(words)
         hashes = _hashes(lang, listed)
-        second = leaves[:, 1] if depth > 1 else leaves[:, 0]
-        group = partitioning.group_of(hashes[leaves[:, 0]], hashes[second])
+        group = partitioning.group_of(hashes[leaves[0]], hashes[leaves[min(1, depth - 1)]])
         order = np.argsort(group, kind="stable")
-        leaves, totals, group = leaves[order], totals[order], group[order]
+        leaves, totals, group = leaves[:, order], totals[order], group[order]
         starts = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
+        number = np.zeros(len(listed), np.int64)
         for a, b in zip(starts, np.append(starts[1:], len(group)), strict=True):
             used = np.zeros(len(listed), bool)
-            used[leaves[a:b]] = True
-            used[_END] = True
+            used[leaves[:, a:b]] = True
+            used[_END] = False
             own = np.flatnonzero(used)
-            number = np.cumsum(used) - 1
-            table = np.concatenate((number[leaves[a:b]].T.ravel(), totals[a:b])).astype("<u4")
-            text = "\n".join([listed[i] for i in own[1:].tolist()])
-            row = [[int(group[a])], [lang], [text.encode()], [table.tobytes()]]
+            number[own] = np.arange(1, len(own) + 1)
+            table = np.concatenate((number[leaves[:, a:b]].ravel(), totals[a:b])).astype("<u4")
+            text = b"\n".join([listed[i] for i in own.tolist()])
+            row = [[int(group[a])], [lang], [text], [table.tobytes()]]
             arrays = [pa.array(c, kind) for c, kind in zip(row, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
@@ -225,19 +243,21 @@ def _subtrees(depth: int, least: int):
             *(group.column(c).to_pylist() for c in ("lang", "words", "leaves")), strict=True
         ):
             words, found, counts = by_lang.setdefault(lang, (_Words(), [], []))
-            listed = np.fromiter(map(words.__getitem__, text.decode().split("\n")), np.int64)
+            listed = np.fromiter(map(words.__getitem__, text.split(b"\n")), np.int64)
             listed = np.concatenate(([_END], listed))
             table = np.frombuffer(leaves, "<u4").reshape(depth + 1, -1)
-            found.append(listed[table[:depth].T])
+            found.append(listed[table[:depth]])
             counts.append(table[depth].astype(np.int64))
         columns: list[list] = [[], [], [], []]
         for lang, (words, found, counts) in by_lang.items():
             listed = list(words)
-            leaves, totals = leaf_totals(np.concatenate(found), np.concatenate(counts))
+            leaves, totals = leaf_totals(np.concatenate(found, axis=1), np.concatenate(counts))
             for k, nodes, sums in subtree_nodes(leaves, totals):
                 # only single words may have other leaves in other groups
                 often = np.ones(len(sums), bool) if k == 1 else sums >= least
-                phrases = [" ".join([listed[i] for i in node]) for node in nodes[often].tolist()]
+                phrases = [
+                    b" ".join([listed[i] for i in node]).decode() for node in nodes[:, often].T.tolist()
+                ]
                 columns[0] += [lang] * len(phrases)
                 columns[1] += phrases
                 columns[2] += [k] * len(phrases)
@@ -261,18 +281,16 @@ def _part(words: Column, start, length) -> Column:
 
 
 def _first_places(rows: DataFrame, top: int) -> DataFrame:
-    """The first ``top`` rows of each language; a language with very many rows is thinned
-    out in many tasks before one of them numbers what is left."""
+    """The first ``top`` rows of each language. A language with very many rows is thinned
+    out in many tasks, then in fewer, before one of them numbers what is left."""
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase").asc()]
-    salt = F.pmod(F.xxhash64("phrase"), F.lit(shuffle_partitions(rows.sparkSession)))
-    near = Window.partitionBy("lang", "salt").orderBy(*order)
-    thinned = rows.withColumn("salt", salt).withColumn("rank", F.row_number().over(near))
-    ranked = Window.partitionBy("lang").orderBy(*order)
-    return (
-        thinned.where(F.col("rank") <= top)
-        .withColumn("rank", F.row_number().over(ranked).cast("long"))
-        .where(F.col("rank") <= top)
-    )
+    tasks = shuffle_partitions(rows.sparkSession)
+    for salts in (tasks, math.isqrt(tasks), 1):
+        salt = F.pmod(F.xxhash64("phrase"), F.lit(salts))
+        near = Window.partitionBy("lang", "salt").orderBy(*order)
+        placed = rows.withColumn("salt", salt).withColumn("rank", F.row_number().over(near).cast("long"))
+        rows = placed.where(F.col("rank") <= top)
+    return rows
 
 
 def mine_collocations(
