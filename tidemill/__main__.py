@@ -10,6 +10,7 @@ from tidemill.operators.fitting import STOP_ITER
 from tidemill.operators.progress import phase_rollup
 from tidemill.operators.ranking import ITERATIONS
 from tidemill.plans.jobs import (
+    SAVE_EVERY,
     SEED,
     SORT_KEYS,
     TOTAL_BATCH_SIZE,
@@ -54,7 +55,9 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     fit.add_argument("--total_batch_size", type=int, default=TOTAL_BATCH_SIZE)
     fit.add_argument("--log-root")
     fit.add_argument("--checkpoint-roots", nargs="*", default=[])
-    fit.add_argument("--save-every", type=int, help="steps from one saved state to the next")
+    fit.add_argument(
+        "--save-every", type=int, default=SAVE_EVERY, help="steps from one saved state, log segment and report to the next"
+    )
     fit.add_argument("--stop-file", help="the fit saves its state and ends once this file exists")
     fit.add_argument("--model-out", help="where the fitted state is written as parquet")
     fit.add_argument("--image-shape", nargs=3, type=int, metavar=("C", "H", "W"))
@@ -92,7 +95,18 @@ def main(argv: list[str] | None = None) -> None:
         )
         split = split_train_test(table, seed=SEED)
         train = split.where("split = 'train'")
-        _, log, result = fit_job(
+        total_rows = train.count()
+
+        def report(rows, anew: bool) -> None:
+            """Steps and full intervals as they happen."""
+            shown = rows.count()
+            rows.orderBy("epoch", "iteration").show(shown, truncate=False)
+            progress = fit_progress(
+                rows, nodes=args.num_nodes, total_batch_size=args.total_batch_size, total_rows=total_rows
+            )
+            progress.orderBy("epoch", "iteration").show(shown, truncate=False)
+
+        _, _, result = fit_job(
             train,
             split.where("split = 'test'"),
             args.classes,
@@ -107,16 +121,8 @@ def main(argv: list[str] | None = None) -> None:
             save_every=args.save_every,
             should_stop=stop_once(spark, args.stop_file) if args.stop_file else None,
             model_out=args.model_out,
+            on_log=report,
         )
-        steps = log.count()
-        log.orderBy("epoch", "iteration").show(steps, truncate=False)
-        progress = fit_progress(
-            log,
-            nodes=args.num_nodes,
-            total_batch_size=args.total_batch_size,
-            total_rows=train.count(),
-        )
-        progress.orderBy("epoch", "iteration").show(steps, truncate=False)
         result.show()
     spark.stop()
 

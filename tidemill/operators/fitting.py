@@ -2,7 +2,8 @@
 
 Each step is one Spark job over the rows of one batch. A task adds up the
 gradient of its rows, Spark averages over rows and then over ranks, and the
-driver sees ``classes * width`` numbers, whatever the size of the batch.
+driver sees ``classes * width`` numbers, whatever the size of the batch. Numbers travel
+in blocks, so that a wide model is added up by many tasks and never a row a number.
 """
 
 from __future__ import annotations
@@ -16,14 +17,19 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.batches import class_labels, equal_rows
 from tidemill.session import new_folder
-from tidemill.sources.snapshots import drop_frozen, freeze
+from tidemill.sources.layout import BatchLayout, write_layout
+from tidemill.sources.runlog import segment_from
+from tidemill.sources.snapshots import drop_frozen
 from tidemill.sources.state import State, load_state, save_state
 
 LEARNING_RATE = 0.1
 MOMENTUM = 0.9
 WEIGHT_DECAY = 1e-4
 STOP_ITER = 40
-PARTIAL = "rank int, n long, loss double, gradient array<double>"
+BLOCK = 4096  # numbers in a block
+FAN_IN = 64  # tasks whose blocks are added up at once
+PARTIAL = "rank int, block int, part int, n long, numbers array<double>"
+MEANS = "rank int, block int, numbers array<double>"
 FIT_LOG = "epoch int, iteration long, elapsed_time double, loss double"
 
 
@@ -58,14 +64,16 @@ def score(
 def partial_gradients(rows: DataFrame, weights: np.ndarray, *, bias: bool = False) -> DataFrame:
     """Summed loss and gradient of the rows each task holds, per rank.
 
-    ``rows`` has ``rank``, ``features`` and ``label``; a task returns one row per
-    rank it holds rows of.
+    ``rows`` has ``rank``, ``features`` and ``label``; a task returns the blocks of each
+    rank it holds rows of: the loss, then the gradient row by row, ``BLOCK`` numbers each.
+    ``part`` is the same for ``FAN_IN`` tasks in a row.
     """
     matrix = np.asarray(weights, dtype=np.float64)
 
     def add_up(batches):
         import numpy as np
         import pyarrow as pa
+        from pyspark import TaskContext
 
         width = matrix.shape[1]
         dim = width - bias
@@ -98,40 +106,107 @@ def partial_gradients(rows: DataFrame, weights: np.ndarray, *, bias: bool = Fals
                 old = sums.get(r, (0, 0.0, 0.0))
                 gradient = error[start:end].T @ x[start:end]
                 sums[r] = (old[0] + int(end - start), old[1] + float(summed), old[2] + gradient)
-        if sums:
+        part = TaskContext.get().partitionId() // FAN_IN
+        for r, (n, loss, gradient) in sums.items():
+            numbers = np.concatenate(([loss], gradient.ravel()))
+            ends = [*range(0, len(numbers), BLOCK), len(numbers)]
+            blocks = len(ends) - 1
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(list(sums), pa.int32()),
-                    pa.array([s[0] for s in sums.values()], pa.int64()),
-                    pa.array([s[1] for s in sums.values()], pa.float64()),
-                    pa.array([s[2].ravel() for s in sums.values()], pa.list_(pa.float64())),
+                    pa.array([r] * blocks, pa.int32()),
+                    pa.array(range(blocks), pa.int32()),
+                    pa.array([part] * blocks, pa.int32()),
+                    pa.array([n] * blocks, pa.int64()),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(numbers)),
                 ],
-                names=["rank", "n", "loss", "gradient"],
+                names=["rank", "block", "part", "n", "numbers"],
             )
 
     columns = rows.select(F.col("rank").cast("int"), "features", F.col("label").cast("int"))
     return columns.mapInArrow(add_up, PARTIAL)
 
 
-def rank_means(partials: DataFrame) -> DataFrame:
-    """Each rank's own batch mean, one number a row: ``(rank, pos, value)``.
-    Position 0 is the loss, the gradient follows row by row."""
-    numbers = F.concat(F.array("loss"), F.col("gradient"))
-    return (
-        partials.select("rank", "n", F.posexplode(numbers).alias("pos", "value"))
-        .groupBy("rank", "pos")
-        .agg((F.sum("value") / F.sum("n")).alias("value"))
-    )
+def _summed(rows):
+    """The blocks of one group, number by number, whatever order they came in."""
+    import numpy as np
+
+    values = rows["numbers"].combine_chunks()
+    width = len(values[0].values)
+    return np.sort(values.flatten().to_numpy().reshape(-1, width), axis=0).sum(axis=0)
+
+
+def _block_row(types: str, *values):
+    """A table of one row; the last value is the block's numbers."""
+    import pyarrow as pa
+
+    kinds = {"int": pa.int32(), "long": pa.int64(), "array<double>": pa.list_(pa.float64())}
+    fields = [field.split() for field in types.split(", ")]
+    return pa.table({n: pa.array([v], kinds[k]) for (n, k), v in zip(fields, values, strict=True)})
+
+
+def _fewer(partials: DataFrame, tasks: int | None) -> DataFrame:
+    """First level of adding up: one row for ``FAN_IN`` tasks. None if so few take part."""
+    if tasks is not None and tasks <= FAN_IN:
+        return partials
+
+    def add(key, rows):
+        n = sum(rows["n"].to_pylist())
+        return _block_row(PARTIAL, *(k.as_py() for k in key), n, _summed(rows))
+
+    return partials.groupBy("rank", "block", "part").applyInArrow(add, PARTIAL)
+
+
+def rank_means(partials: DataFrame, *, tasks: int | None = None) -> DataFrame:
+    """Each rank's own batch mean in blocks, ``(rank, block, numbers)``: the loss, then the
+    gradient row by row. ``tasks`` is how many gave partials, if that is known."""
+
+    def mean(key, rows):
+        n = sum(rows["n"].to_pylist())
+        return _block_row(MEANS, *(k.as_py() for k in key), _summed(rows) / n)
+
+    return _fewer(partials, tasks).groupBy("rank", "block").applyInArrow(mean, MEANS)
+
+
+def _numbers(blocks: DataFrame) -> DataFrame:
+    """One number a row, ``(pos, value)``, of blocks."""
+    start = F.col("block").cast("long") * BLOCK
+    exploded = blocks.select(start.alias("start"), F.posexplode("numbers").alias("at", "value"))
+    return exploded.select((F.col("start") + F.col("at")).alias("pos"), "value")
 
 
 def gather_mean(means: DataFrame) -> DataFrame:
-    """Mean over ranks, as when one rank gathers, adds up, divides and scatters."""
-    return means.groupBy("pos").agg(F.avg("value").alias("value"))
+    """Mean over ranks, as when one rank gathers, adds up, divides and scatters: ``(pos,
+    value)``, position 0 being the loss."""
+
+    def mean(key, rows):
+        return _block_row(MEANS, 0, key[0].as_py(), _summed(rows) / rows.num_rows)
+
+    return _numbers(means.groupBy("block").applyInArrow(mean, MEANS))
 
 
 def allreduce_mean(means: DataFrame, world: int) -> DataFrame:
     """Mean over ranks, as when every rank divides by their number and all add up."""
-    return means.groupBy("pos").agg(F.sum(F.col("value") / world).alias("value"))
+
+    def add(key, rows):
+        return _block_row(MEANS, 0, key[0].as_py(), _summed(rows))
+
+    divided = means.withColumn("numbers", F.transform("numbers", lambda x: x / world))
+    return _numbers(divided.groupBy("block").applyInArrow(add, MEANS))
+
+
+def step_mean(partials: DataFrame, *, tasks: int | None = None) -> DataFrame:
+    """The mean over ranks of their batch means, in blocks: ``rank_means`` and
+    ``gather_mean`` in one exchange."""
+
+    def mean(key, rows):
+        ranks = rows["rank"].to_numpy()
+        total = 0.0
+        for rank in sorted(set(ranks.tolist())):
+            own = rows.filter(ranks == rank)
+            total = total + _summed(own) / sum(own["n"].to_pylist())
+        return _block_row(MEANS, 0, key[0].as_py(), total / len(set(ranks.tolist())))
+
+    return _fewer(partials, tasks).groupBy("block").applyInArrow(mean, MEANS)
 
 
 def sgd_update(
@@ -143,7 +218,7 @@ def sgd_update(
     weight_decay: float = WEIGHT_DECAY,
 ) -> State:
     velocity = momentum * state.momentum + gradient + weight_decay * state.weights
-    return State(state.step + 1, state.weights - lr * velocity, velocity)
+    return State(state.step + 1, state.weights - lr * velocity, velocity, state.segments)
 
 
 def sgd_fit(
@@ -162,6 +237,7 @@ def sgd_fit(
     save_every: int | None = None,
     should_stop: Callable[[int], bool] | None = None,
     on_log: Callable[[DataFrame, bool], None] | None = None,
+    write_segment: Callable[[DataFrame, str, bool], None] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Fits ``shards`` (``rank, batch_idx, features, label``) from zero weights.
 
@@ -174,6 +250,8 @@ def sgd_fit(
     its own under the first root: every ``save_every`` steps, when it is told to stop
     and at the end. Before each saving ``on_log(rows, anew)`` gets the log of the
     steps since the last; ``anew`` says that they begin with the first step of all.
+    ``write_segment(rows, name, anew)`` gets them under a name that depends on their first
+    step alone; the state that is saved next names it, which commits both at once.
     ``should_stop(step)`` is asked after the gradient of step 0, 1, ... and before
     its update; on yes that step is dropped.
     """
@@ -181,13 +259,19 @@ def sgd_fit(
     spark = shards.sparkSession if one_layout else SparkSession.active()
     state = load_state(spark, checkpoint_roots, classes) or State.zero(classes, dim + bias)
     log, logged, saved = [], 0, state.step
-    rows, batches, laid_out, path = None, None, None, None
+    layout, laid_out, path = None, None, None
 
     def save() -> None:
         nonlocal logged, saved
-        if on_log is not None and (logged < len(log) or not log):
+        if logged < len(log) or not log:
             anew = logged == 0 and state.step == len(log)
-            on_log(spark.createDataFrame(log[logged:], FIT_LOG), anew)
+            new = spark.createDataFrame(log[logged:], FIT_LOG)
+            if write_segment is not None and (log or anew):
+                name = segment_from(state.step - len(log) + logged)
+                write_segment(new, name, anew)
+                state.segments = [*(s for s in state.segments if s < name), name]
+            if on_log is not None:
+                on_log(new, anew)
         logged = len(log)
         if checkpoint_roots and state.step > saved:
             save_state(spark, checkpoint_roots[0], state)
@@ -195,27 +279,30 @@ def sgd_fit(
 
     try:
         while True:
+            batches = 0 if layout is None else layout.batches
             epoch = 0 if not batches else state.step // batches
-            if batches is not None and state.step >= epochs * batches:
+            if layout is not None and state.step >= epochs * batches:
                 break
-            if rows is None or (laid_out != epoch and not one_layout):
+            if layout is None or (laid_out != epoch and not one_layout):
                 if path is not None:
                     drop_frozen(spark, path)
-                path, laid_out = new_folder(spark, "shards"), epoch
-                rows = _lay_out(shards if one_layout else shards(epoch), stop_iter, path)
-                if batches is None:
-                    last = rows.agg(F.max("batch_idx")).first()[0]
-                    batches = 0 if last is None else last + 1
+                path, first = new_folder(spark, "shards"), layout is None
+                laid_out = epoch
+                layout = _lay_out(shards if one_layout else shards(epoch), stop_iter, path, dim)
+                if first:
                     continue
             started = time.perf_counter()
             batch_idx = state.step % batches
-            batch = rows.where(F.col("batch_idx") == batch_idx)
+            batch = layout.batch(batch_idx)
             if prepare is not None:
                 batch = prepare(batch, epoch)
-            means = gather_mean(rank_means(partial_gradients(batch, state.weights, bias=bias)))
-            numbers = np.zeros(1 + state.weights.size)
-            for pos, value in means.collect():  # classes * width numbers and the loss
-                numbers[pos] = value
+            held = layout.range_of(batch_idx)
+            partials = partial_gradients(batch, state.weights, bias=bias)
+            means = step_mean(partials, tasks=None if held is None else held.parts).toArrow()
+            numbers = np.zeros(1 + state.weights.size)  # as many numbers as the model has, and the loss
+            for block, values in zip(means["block"].to_pylist(), means["numbers"], strict=True):
+                found = values.values.to_numpy()
+                numbers[block * BLOCK : block * BLOCK + len(found)] = found
             if should_stop is not None and should_stop(state.step):
                 break
             gradient = numbers[1:].reshape(state.weights.shape)
@@ -231,12 +318,7 @@ def sgd_fit(
     return state.table(spark), spark.createDataFrame(log, FIT_LOG)
 
 
-def _lay_out(shards: DataFrame, stop_iter: int | None, path: str) -> DataFrame:
-    """Writes the shards in the order of their batches, so that a step reads its own.
-
-    Files hold ranges of batches and are sorted inside, so the filter of a step reaches
-    the scan and leaves out files and row groups by what their footers say.
-    """
+def _lay_out(shards: DataFrame, stop_iter: int | None, path: str, dim: int) -> BatchLayout:
+    """Writes the shards in the order of their batches, so that a step reads its own."""
     used = shards if stop_iter is None else shards.where(F.col("batch_idx") < stop_iter)
-    ordered = used.repartitionByRange("batch_idx", "rank").sortWithinPartitions("batch_idx", "rank")
-    return freeze(ordered, "shards", path)
+    return write_layout(used, path, row_bytes=8 * dim + 64)

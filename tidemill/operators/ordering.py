@@ -94,7 +94,8 @@ def hash_position(
     Digests spread evenly over their leading digits, so the digits make buckets
     whose sizes are counted first (a narrow scan) and whose rows are numbered
     side by side: one exchange, nothing written. Where copies of one id make a
-    bucket too big for a task, the general way above is taken instead.
+    bucket too big for a task, the general way above is taken instead, to the same
+    positions: ties go by ``tie``, then by a hash over all columns.
 
     ``first`` keeps only that many positions; buckets beyond them are left out
     before the exchange. The count returned is always that of all rows.
@@ -105,15 +106,16 @@ def hash_position(
     buckets = _running_totals(sizes)
     total, largest = buckets.total, buckets.largest
     wanted = F.lit(True) if first is None else F.col(position) < first
+    # rows that agree in all this are the same to any reader of the positions
+    same = F.xxhash64(*(f.name for f in df.schema if not isinstance(f.dataType, T.MapType)))
     if largest > max(hot_rows, 4 * total // 16**HASH_DIGITS):
-        placed, _ = global_position(keyed, ["_digest", tie], position=position)
-        return placed.where(wanted).drop("_digest"), total
+        keyed = keyed.withColumn("_same", same)
+        placed, _ = global_position(keyed, ["_digest", tie, "_same"], position=position)
+        return placed.where(wanted).drop("_digest", "_same"), total
     if first is not None:
         # buckets are in digest order: those that start in time are a prefix
         needed = [part for part, start in buckets.starts if start < first]
         keyed = keyed.where(bucket <= needed[-1] if needed else F.lit(False))
-    # rows that agree in all this are the same to any reader of the positions
-    same = F.xxhash64(*(f.name for f in df.schema if not isinstance(f.dataType, T.MapType)))
     within = Window.partitionBy("_part").orderBy("_digest", tie, same)
     placed = (
         keyed.withColumn("_part", bucket)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.hashing import keyed_md5
+from tidemill.functions.permute import permute
 from tidemill.functions.whole import div
 from tidemill.operators.ordering import HOT_ROWS, hash_position
 
@@ -48,6 +49,37 @@ def shard_assign(
     )
 
 
+def number_rows(
+    df: DataFrame, id_col: str, seed: int, *, number: str = "row_number", hot_rows: int = HOT_ROWS
+) -> tuple[DataFrame, int]:
+    """Adds a number from 0 to each row, in the order of a keyed hash, and counts the rows.
+
+    Done once; ``epoch_order`` has an order of the numbers for every epoch.
+    """
+    digest = keyed_md5(seed, F.col(id_col))
+    return hash_position(df, digest, id_col, position=number, hot_rows=hot_rows)
+
+
+def epoch_order(
+    numbered: DataFrame,
+    total: int,
+    seed: int,
+    epoch: int,
+    *,
+    number: str = "row_number",
+    rows: int | None = None,
+) -> DataFrame:
+    """The numbered rows as one rank's shard in a new order: ``rank`` 0 and ``pos_in_rank``.
+
+    The order is arithmetic on the numbers, so an epoch costs no hashing, counting or
+    sorting. ``rows`` keeps only that many from its beginning.
+    """
+    placed = numbered.withColumn("rank", F.lit(0)).withColumn(
+        "pos_in_rank", permute(F.col(number), total, seed, epoch)
+    )
+    return placed if rows is None else placed.where(F.col("pos_in_rank") < rows)
+
+
 def rank_batch_size(total_batch_size: int, world: int) -> int:
     return total_batch_size // world
 

@@ -16,10 +16,16 @@ from tidemill.operators.fitting import STOP_ITER, score, sgd_fit
 from tidemill.operators.ordering import global_position, sort_csv
 from tidemill.operators.progress import interval_rollup
 from tidemill.operators.ranking import ITERATIONS, pagerank
-from tidemill.operators.sampling import minibatch, rank_batch_size, shard_assign
+from tidemill.operators.sampling import (
+    epoch_order,
+    minibatch,
+    number_rows,
+    rank_batch_size,
+    shard_assign,
+)
 from tidemill.sources.files import write_csv
 from tidemill.sources.links import read_edges
-from tidemill.sources.runlog import append_log, start_log
+from tidemill.sources.runlog import start_log, write_segment
 from tidemill.session import new_folder
 from tidemill.sources.snapshots import drop_frozen, freeze
 from tidemill.sources.state import State
@@ -27,6 +33,7 @@ from tidemill.sources.state import State
 PHASES = "phase string, seconds double"
 SORT_KEYS = ("cca2", "timestamp")
 SEED = 2021
+SAVE_EVERY = 20  # steps from one saved state and log segment to the next
 TOTAL_BATCH_SIZE = 256
 
 
@@ -111,24 +118,34 @@ def fit_job(
     image_shape: Shape | None = None,
     log_root: str | None = None,
     checkpoint_roots: Sequence[str] = (),
-    save_every: int | None = None,
+    save_every: int | None = SAVE_EVERY,
     should_stop: Callable[[int], bool] | None = None,
     model_out: str | None = None,
+    on_log: Callable[[DataFrame, bool], None] | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Shards ``train``, fits it and scores ``test`` (both ``id, features, label``).
 
     Returns the state, the iteration log of this call and one row ``loss, batches,
     correct, total, percent``. A fit that was told to stop is scored as far as it got.
-    One node takes its rows in a new order each epoch. With ``image_shape`` features
+    One node takes its rows in a new order each epoch; they are numbered once. With ``image_shape`` features
     are images: cropped and flipped anew each epoch to fit, standardised to score.
-    The state is also written to ``model_out``, in place of what is there.
+    The state is also written to ``model_out``, in place of what is there. The log grows by a
+    segment at each saving, and ``on_log`` is told of the same rows.
     """
     spark = train.sparkSession
     batch_size = rank_batch_size(total_batch_size, nodes)
     used = None if stop_iter is None else batch_size * stop_iter
 
+    numbered_at = new_folder(spark, "numbered")
+    if nodes == 1:
+        numbered, total = number_rows(train, "id", seed)
+        numbered = freeze(numbered, "numbered", numbered_at)
+
     def batches(epoch: int) -> DataFrame:
-        shards = shard_assign(train, "id", nodes, seed, epoch=epoch, rows_per_rank=used)
+        if nodes == 1:
+            shards = epoch_order(numbered, total, seed, epoch, rows=used)
+        else:
+            shards = shard_assign(train, "id", nodes, seed, epoch=epoch, rows_per_rank=used)
         return minibatch(shards, batch_size, stop_iter=stop_iter)
 
     def augmented(rows: DataFrame, epoch: int) -> DataFrame:
@@ -137,10 +154,10 @@ def fit_job(
 
     run = {"epochs": epochs, "stop_iter": stop_iter, "nodes": nodes, "batch_size": batch_size}
 
-    def write_log(rows: DataFrame, anew: bool) -> None:
+    def write_log(rows: DataFrame, segment: str, anew: bool) -> None:
         if anew:
             start_log(spark, log_root, **run)
-        append_log(rows, log_root, **run)
+        write_segment(rows, log_root, segment, **run)
 
     state, log = sgd_fit(
         batches if nodes == 1 else batches(0),
@@ -152,8 +169,10 @@ def fit_job(
         checkpoint_roots=checkpoint_roots,
         save_every=save_every,
         should_stop=should_stop,
-        on_log=None if log_root is None else write_log,
+        on_log=on_log,
+        write_segment=None if log_root is None else write_log,
     )
+    drop_frozen(spark, numbered_at)
     if model_out is not None:
         state.coalesce(1).write.mode("overwrite").parquet(model_out)
     if image_shape is not None:

@@ -70,6 +70,38 @@ def _order(seed_and_epoch: str) -> str:
   FROM embeddings"""
 
 
+def _polynomial(epoch: int, k: int, x: str) -> str:
+    """Round ``k`` of the keyed order of an epoch, at ``x``: four coefficients, one prime."""
+    digits = f"md5('{SEED}:{epoch}:{k}')"
+    c = [f"('0x' || substr({digits}, {7 * i + 1}, 7))::BIGINT" for i in range(4)]
+    return f"(((({c[0]} * {x} + {c[1]}) % 2147483647) * {x} + {c[2]}) % 2147483647 * {x} + {c[3]}) % 2147483647"
+
+
+def _permuted(epoch: int) -> str:
+    """Where the rows, numbered by one keyed hash, go: twice three rounds on two halves,
+    and again for those that come out too high."""
+    rounds = "SELECT vec_id, step, n, a, b, y // b AS h, y % b AS l FROM walk WHERE step = 0 OR y >= n"
+    for k in range(6):
+        if k % 2:
+            halves = f"h, (l + {_polynomial(epoch, k, 'h')}) % b AS l"
+        else:
+            halves = f"(h + {_polynomial(epoch, k, 'l')}) % a AS h, l"
+        rounds = f"SELECT vec_id, step, n, a, b, {halves} FROM ({rounds})"
+    return f"""
+  SELECT {epoch} AS epoch, vec_id, y AS pos FROM (
+    WITH RECURSIVE numbered AS (
+      SELECT vec_id, row_number() OVER (ORDER BY md5('{SEED}:' || vec_id), vec_id) - 1 AS y,
+             count(*) OVER () AS n FROM embeddings),
+    sized AS (
+      SELECT *, ceil(sqrt(n))::BIGINT AS a,
+             ((n + ceil(sqrt(n))::BIGINT - 1) // ceil(sqrt(n))::BIGINT) AS b FROM numbered),
+    walk AS (
+      SELECT vec_id, 0 AS step, n, a, b, y FROM sized
+      UNION ALL
+      SELECT vec_id, step + 1, n, a, b, h * b + l AS y FROM ({rounds}))
+    SELECT vec_id, y FROM walk WHERE step > 0 AND y < n)"""
+
+
 def _shards(world: int) -> str:
     return f"""
   SELECT vec_id, embedding, label, slot % {world} AS rank, slot // {world} AS pos_in_rank
@@ -258,7 +290,11 @@ SELECT 4, vec_id, rank::INTEGER, pos_in_rank FROM ({_shards(4)})""",
 SELECT 0 AS epoch, vec_id, pos FROM ({_order(f'{SEED}:0')})
 UNION ALL
 SELECT 1, vec_id, pos FROM ({_order(f'{SEED}:1')})""",
+    "epoch_permutation": f"{_permuted(0)} UNION ALL {_permuted(1)}",
     "minibatch": _batches(),
+    "batch_layout": f"""
+SELECT vec_id, rank::INTEGER AS rank, pos_in_rank // 8 AS batch_idx, pos_in_rank % 8 AS pos_in_batch
+FROM ({_shards(WORLD)}) QUALIFY batch_idx = 0 OR batch_idx = max(batch_idx) OVER ()""",
     "batch_cutoff": _batches(f"WHERE pos_in_rank // {TOTAL_BATCH_SIZE // WORLD} < 1"),
     "channel_standardize": _pixels(_STANDARD.format("embedding[i + 1]::DOUBLE")),
     "random_crop": _pixels(_cell("down", "rightward")),

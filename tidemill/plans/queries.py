@@ -38,11 +38,25 @@ from tidemill.operators.fitting import (
 from tidemill.operators.ordering import close_gaps, global_position, sort_csv
 from tidemill.operators.progress import interval_rollup, phase_rollup
 from tidemill.operators.ranking import init_ranks, lay_out, out_degree, pagerank, rank_step
-from tidemill.operators.sampling import minibatch, rank_batch_size, shard_assign
+from tidemill.operators.sampling import (
+    epoch_order,
+    minibatch,
+    number_rows,
+    rank_batch_size,
+    shard_assign,
+)
 from tidemill.session import new_folder
 from tidemill.sources.files import read_csv, read_labelled, split_train_test, write_csv
 from tidemill.sources.links import read_edges
-from tidemill.sources.runlog import RUN_FIELDS, append_log, read_log, start_log
+from tidemill.sources.layout import open_layout, write_layout
+from tidemill.sources.runlog import (
+    RUN_FIELDS,
+    append_log,
+    read_log,
+    segment_from,
+    start_log,
+    write_segment,
+)
 from tidemill.sources.snapshots import freeze
 from tidemill.sources.state import load_state
 
@@ -235,6 +249,30 @@ def epoch_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("epoch", "vec_id", F.col("pos_in_rank").alias("pos"))
 
 
+def epoch_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two epochs' orders of rows that are numbered once."""
+    ids = table(spark, sf_dir, "embeddings").select("vec_id")
+    numbered, total = number_rows(ids, "vec_id", SEED)
+    numbered = freeze(numbered, "numbered")
+    epochs = [
+        freeze(epoch_order(numbered, total, SEED, e).withColumn("epoch", F.lit(e)), "epoch")
+        for e in (0, 1)
+    ]
+    both = epochs[0].unionAll(epochs[1])
+    return both.select("epoch", "vec_id", F.col("pos_in_rank").alias("pos"))
+
+
+def batch_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches laid out in ranges of a few; what two of them hold, read by the manifest."""
+    path, size = new_folder(spark, "layout"), rank_batch_size(TOTAL_BATCH_SIZE, WORLD) // 8
+    ids = table(spark, sf_dir, "embeddings").select("vec_id")
+    shards = minibatch(shard_assign(ids, "vec_id", WORLD, SEED), size)
+    rows = shards.select("vec_id", "rank", "batch_idx", "pos_in_batch")
+    write_layout(rows, path, row_bytes=8, range_bytes=5 * WORLD * size * 8)
+    layout = open_layout(spark, path, rows.schema)
+    return layout.batch(0).unionAll(layout.batch(layout.batches - 1))
+
+
 def _batches(spark: SparkSession, sf_dir: str, stop_iter: int | None = None) -> DataFrame:
     size = rank_batch_size(TOTAL_BATCH_SIZE, WORLD)
     ids = table(spark, sf_dir, "embeddings").select("vec_id")
@@ -389,20 +427,41 @@ def fit_augmented(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fitted(_fit(spark, sf_dir, epochs=2, prepare=prepare)[0])
 
 
+class _Died(Exception):
+    pass
+
+
 def fit_log_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The log of a fit that was told to stop and went on later, with its losses."""
+    """The log of a fit that died between writing its log and saving its state, and went
+    on later, with its losses."""
     root, runs = new_folder(spark, "state"), new_folder(spark, "runs")
+    told: list[DataFrame] = []
 
-    def write_log(rows: DataFrame, anew: bool) -> None:
+    def write(rows: DataFrame, segment: str, anew: bool) -> None:
         if anew:
             start_log(spark, runs, **RUN)
-        append_log(rows, runs, **RUN)
-
-    options = {"checkpoint_roots": [root], "save_every": 1, "on_log": write_log}
-    _, first = _fit(spark, sf_dir, should_stop=lambda step: step == 2, **options)
-    _, second = _fit(spark, sf_dir, **options)
-    losses = first.unionAll(second).select("epoch", "iteration", rounded("loss", 9).alias("loss"))
-    return read_log(spark, runs).select("epoch", "iteration").join(losses, ["epoch", "iteration"])
+        write_segment(rows, runs, segment, **RUN)
+
+    def die(rows: DataFrame, segment: str, anew: bool) -> None:
+        write(rows, segment, anew)
+        if segment == segment_from(1):
+            raise _Died
+
+    options = {
+        "checkpoint_roots": [root],
+        "save_every": 1,
+        "on_log": lambda rows, anew: told.append(rows),
+    }
+    try:
+        _fit(spark, sf_dir, write_segment=die, **options)
+    except _Died:
+        _fit(spark, sf_dir, write_segment=write, **options)
+    losses = told[0]
+    for rows in told[1:]:
+        losses = losses.unionAll(rows)
+    losses = losses.select("epoch", "iteration", rounded("loss", 9).alias("loss"))
+    log = read_log(spark, runs, segments=load_state(spark, [root], CLASSES).segments)
+    return log.select("epoch", "iteration").join(losses, ["epoch", "iteration"])
 
 
 def checkpoint_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -509,8 +568,10 @@ QUERIES: dict[str, Query] = {
     "train_test_split": train_test_split,
     "shard_assign": shards_of_three_and_four,
     "epoch_shuffle": epoch_shuffle,
+    "epoch_permutation": epoch_permutation,
     "minibatch": batch_numbers,
     "batch_cutoff": batch_cutoff,
+    "batch_layout": batch_layout,
     "channel_standardize": channel_standardize,
     "random_crop": crop,
     "random_flip": mirror,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemill.session import new_folder
 
-PUBLISHED = "step long, parts array<string>"
+PUBLISHED = "step long, parts array<string>, segments array<string>"
 
 
 def freeze(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
@@ -31,17 +31,20 @@ def drop_frozen(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def publish(df: DataFrame, root: str, step: int, parts: Iterable[str] = ()) -> DataFrame:
+def publish(
+    df: DataFrame, root: str, step: int, parts: Iterable[str] = (), segments: Iterable[str] = ()
+) -> DataFrame:
     """Writes ``df`` as snapshot ``step`` of ``root`` and then announces it.
 
     The announcement is written only after all data files are committed, so a
-    run that dies halfway leaves nothing that ``latest_step`` would pick up.
+    run that dies halfway leaves nothing that ``latest_step`` would pick up. It also
+    names the ``segments`` of a log that belong to the snapshot: one commit for both.
     """
     spark = df.sparkSession
     path = f"{root}/data/step={step}"
     df.write.mode("overwrite").parquet(path)
     (
-        spark.createDataFrame([(step, list(parts))], PUBLISHED)
+        spark.createDataFrame([(step, list(parts), list(segments))], PUBLISHED)
         .coalesce(1)
         .write.mode("append")
         .parquet(f"{root}/published")
@@ -69,3 +72,10 @@ def latest_step(
     for part in parts:
         steps = steps.where(F.array_contains("parts", part))
     return steps.agg(F.max("step")).first()[0]
+
+
+def named_segments(spark: SparkSession, root: str, step: int) -> list[str]:
+    """The log segments that the announcement of a step names."""
+    steps = spark.read.schema(PUBLISHED).parquet(f"{root}/published").where(F.col("step") == step)
+    rows = steps.orderBy(F.size("segments").desc()).select("segments").take(1)
+    return list(rows[0]["segments"] or []) if rows else []
