@@ -8,12 +8,13 @@ from conftest import DATA
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
-from tidemill.operators.fitting import _lay_out, partial_gradients
+from tidemill.operators.fitting import partial_gradients
 from tidemill.operators.ordering import global_sort
 from tidemill.operators.ranking import _next_ranks, lay_out, shuffling_into
 from tidemill.operators.sampling import minibatch, shard_assign
 from tidemill.plans.queries import activity_graph, supply_graph
 from tidemill.session import new_folder
+from tidemill.sources.layout import write_layout
 from tidemill.sources.snapshots import freeze
 
 SF_DIR = f"{DATA}/sf0.001"
@@ -116,12 +117,9 @@ def test_a_step_reads_its_batch_from_the_files(spark):
         F.lit(0).alias("label"),
     )
     path = new_folder(spark, "test-shards")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        laid = _lay_out(rows, None, path)
-    finally:
-        spark.conf.unset("spark.sql.adaptive.enabled")
-    text = plan(partial_gradients(laid.where("batch_idx = 3"), np.zeros((2, 1))))
+    layout = write_layout(rows, path, row_bytes=8, range_bytes=2 * 400 * 8)
+    text = plan(partial_gradients(layout.batch(3), np.zeros((2, 1))))
+    laid = spark.read.parquet(f"{path}/rows")
     assert "EqualTo(batch_idx,3)" in text[text.index("PushedFilters") :]
     # files hold ranges of batches: most have none of a step's rows
     files = laid.withColumn("file", F.input_file_name()).groupBy("file").agg(

@@ -298,6 +298,8 @@ def sgd_fit(
                 batch = prepare(batch, epoch)
             held = layout.range_of(batch_idx)
             partials = partial_gradients(batch, state.weights, bias=bias)
+            if held is not None and held.parts == 1:
+                partials = partials.coalesce(1)  # one file, one task: nothing to exchange
             means = step_mean(partials, tasks=None if held is None else held.parts).toArrow()
             numbers = np.zeros(1 + state.weights.size)  # as many numbers as the model has, and the loss
             for block, values in zip(means["block"].to_pylist(), means["numbers"], strict=True):
@@ -321,4 +323,4 @@ def sgd_fit(
 def _lay_out(shards: DataFrame, stop_iter: int | None, path: str, dim: int) -> BatchLayout:
     """Writes the shards in the order of their batches, so that a step reads its own."""
     used = shards if stop_iter is None else shards.where(F.col("batch_idx") < stop_iter)
-    return write_layout(used, path, row_bytes=8 * dim + 64)
+    return write_layout(used, path, row_bytes=8 * dim + 64, keep=False)

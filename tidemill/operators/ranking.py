@@ -15,11 +15,13 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemill.session import new_folder, shuffle_partitions
+from tidemill.sources.buckets import bucketed, write_bucketed
 from tidemill.sources.snapshots import drop_frozen, freeze, latest_step, publish, read_step
 
 DAMPING = 0.85
@@ -28,6 +30,9 @@ CUT_EVERY = 5
 HEAVY_ROWS = 1_000_000  # a source with fewer links is never spread
 PARTITION_ROWS = 10_000_000  # links in a partition, unless the caller says how many
 _PROFILE_BUCKETS = 4096
+#: Exact ranks are decimals of this many digits behind the point and sixteen before it.
+EXACT_DIGITS = 12
+EXACT_RANK = f"decimal(28,{EXACT_DIGITS})"
 _SHUFFLE = "spark.sql.shuffle.partitions"
 
 
@@ -65,6 +70,47 @@ class Links:
             drop_frozen(self.cold.sparkSession, path)
 
 
+LINK = "source string, target string, share double"
+EXACT_LINK = "source string, target string, n long, degree long"
+_LAID_OUT = "partitions int, heavy boolean"
+
+
+def save_layout(links: Links, folder: str) -> Links:
+    """Keeps a layout under ``folder`` and returns it as read from there.
+
+    The cold links go to buckets by source, so that whoever opens them again joins them
+    in place. What is announced last is all there; without it nothing is.
+    """
+    spark = links.cold.sparkSession
+    write_bucketed(links.cold, f"{folder}/cold", links.partitions, "source")
+    if links.spread is not None:
+        links.spread.write.mode("overwrite").parquet(f"{folder}/spread")
+        links.heavy.write.mode("overwrite").parquet(f"{folder}/heavy")
+    said = [(links.partitions, links.spread is not None)]
+    spark.createDataFrame(said, _LAID_OUT).coalesce(1).write.mode("overwrite").parquet(f"{folder}/laid-out")
+    links.drop()
+    return open_layout(spark, folder, links.cold.schema)
+
+
+def open_layout(spark: SparkSession, folder: str, schema) -> Links | None:
+    """The layout under ``folder``, if a whole one is there."""
+    try:
+        said = spark.read.schema(_LAID_OUT).parquet(f"{folder}/laid-out").first()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    if said is None:
+        return None
+    cold = bucketed(spark, f"{folder}/cold", schema, said["partitions"], "source")
+    cold = cold.sortWithinPartitions("source")
+    if not said["heavy"]:
+        return Links(cold, said["partitions"])
+    spread = spark.read.schema(schema).parquet(f"{folder}/spread")
+    heavy = spark.read.schema("source string").parquet(f"{folder}/heavy")
+    return Links(cold, said["partitions"], spread, heavy)
+
+
 @dataclass
 class Profile:
     """What one pass over the links tells: how many, where, and which graph it is."""
@@ -84,6 +130,7 @@ def lay_out(
     num_partitions: int | None = None,
     heavy_rows: int = HEAVY_ROWS,
     profile: Profile | None = None,
+    exact: bool = False,
 ) -> Links:
     """Adds up equal links and brings each source's links together.
 
@@ -104,11 +151,10 @@ def lay_out(
         near = links.where(F.col("source").isNotNull()).join(named, "source", "left_anti")
     cold = _count_links(near.repartition(partitions, "source"))
     if weight == "raw":
-        cold = cold.withColumn("share", F.col("n").cast("double")).sortWithinPartitions("source")
+        cold = cold.withColumn("degree", F.lit(1).cast("long")).sortWithinPartitions("source")
     else:
-        degree = F.sum("n").over(Window.partitionBy("source"))
-        cold = cold.withColumn("share", F.col("n") / degree)
-    cold = cold.select("source", "target", "share")
+        cold = cold.withColumn("degree", F.sum("n").over(Window.partitionBy("source")))
+    cold = _shares(cold, exact)
     if heavy is None:
         return Links(cold, partitions)
 
@@ -120,15 +166,22 @@ def lay_out(
     counts = _count_links(apart.repartition(partitions, "source", "target"))
     spread = freeze(counts, "spread", tables[-1])
     if weight == "raw":
-        spread = spread.withColumn("share", F.col("n").cast("double"))
+        spread = spread.withColumn("degree", F.lit(1).cast("long"))
     else:
         # one row per heavy source
         degrees = spread.where(F.col("source").isNotNull()).groupBy("source").agg(
             F.sum("n").alias("degree")
         )
         spread = spread.join(F.broadcast(degrees), "source", "left")
-        spread = spread.withColumn("share", F.col("n") / F.col("degree"))
-    return Links(cold, partitions, spread.select("source", "target", "share"), heavy, tables)
+    return Links(cold, partitions, _shares(spread, exact), heavy, tables)
+
+
+def _shares(counts: DataFrame, exact: bool) -> DataFrame:
+    """Exact sums need the two numbers that a share is the quotient of."""
+    if exact:
+        return counts.select("source", "target", "n", "degree")
+    share = F.col("n").cast("double") / F.col("degree")
+    return counts.select("source", "target", share.alias("share"))
 
 
 def _count_links(links: DataFrame) -> DataFrame:
@@ -206,11 +259,12 @@ def shuffling_into(spark: SparkSession, partitions: int):
 
 
 def _next_ranks(
-    links: Links, ranks: DataFrame | None, damping: float, missing: str
+    links: Links, ranks: DataFrame | None, damping: float, missing: str, exact: bool = False
 ) -> DataFrame:
     """One iteration. ``ranks=None`` stands for the start, rank 1 everywhere."""
     if ranks is None:
-        rank = F.when(F.col("source").isNotNull(), F.lit(1.0))
+        one = F.lit(1).cast(EXACT_RANK) if exact else F.lit(1.0)
+        rank = F.when(F.col("source").isNotNull(), one)
         shared = [part.withColumn("rank", rank) for part in links.parts()]
     else:
         shared = [links.cold.join(ranks, "source", "left")]
@@ -218,10 +272,19 @@ def _next_ranks(
             # ranks hold a page once, so this is one row per heavy source
             few = F.broadcast(ranks.join(F.broadcast(links.heavy), "source", "left_semi"))
             shared.append(links.spread.join(few, "source", "left"))
-    columns: list[Column | str] = ["target", _rank_column(damping, missing), "share"]
+    columns: list[Column | str] = ["target", _rank_column(damping, missing, exact)]
+    columns += ["n", "degree"] if exact else ["share"]
     passed = shared[0].select(*columns)
     for part in shared[1:]:
         passed = passed.unionAll(part.select(*columns))
+    if exact:
+        # decimals add up to the same whatever the order, and no step of this loses a digit
+        # but the two casts, each of which rounds one number by itself
+        times = F.col("rank") * F.col("n").cast("decimal(9,0)")
+        each = (times / F.col("degree").cast("decimal(10,0)")).cast(f"decimal(38,{EXACT_DIGITS})")
+        damped = F.sum(each).cast(f"decimal(34,{EXACT_DIGITS})") * _two_digits(damping)
+        rank = (damped + _two_digits(_floor(damping))).cast(EXACT_RANK)
+        return passed.groupBy("target").agg(rank.alias("rank")).withColumnRenamed("target", "source")
     return (
         passed.groupBy("target")
         .agg(F.sum(F.col("rank") * F.col("share")).alias("contrib"))
@@ -232,16 +295,23 @@ def _next_ranks(
     )
 
 
+def _two_digits(number: float) -> Column:
+    if round(number, 2) != number:
+        raise ValueError("exact sums need a damping of two digits")
+    return F.lit(f"{number:.2f}").cast("decimal(2,2)")
+
+
 def _floor(damping: float) -> float:
     """The rank of a page nobody links to."""
     return round(1 - damping, 12)
 
 
-def _rank_column(damping: float, missing: str) -> Column:
+def _rank_column(damping: float, missing: str, exact: bool) -> Column:
     if missing == "null":
         return F.col("rank")
     if missing == "teleport":
-        unranked = F.when(F.col("source").isNotNull(), F.lit(_floor(damping)))
+        floor = F.lit(f"{_floor(damping):.2f}").cast(EXACT_RANK) if exact else F.lit(_floor(damping))
+        unranked = F.when(F.col("source").isNotNull(), floor)
         return F.coalesce(F.col("rank"), unranked).alias("rank")
     raise ValueError(f"missing must be 'null' or 'teleport', not {missing!r}")
 
@@ -271,6 +341,7 @@ def pagerank(
     missing: str = "null",
     heavy_rows: int = HEAVY_ROWS,
     result_path: str | None = None,
+    exact: bool = False,
 ) -> DataFrame:
     """``iters`` rank steps from rank 1 everywhere, as ``(source, rank)``.
 
@@ -280,23 +351,38 @@ def pagerank(
     With ``snapshot_dir`` they are published there, along with the last ones, and
     a later call over the same edges goes on from the newest it finds. Other edges have
     snapshots of their own in the same folder. ``cache`` keeps the laid-out links for
-    the run; without it they are laid out anew after every cut.
+    the run; without it they are laid out anew after every cut. With ``snapshot_dir``
+    the layout is kept there too, and a later call exchanges no links.
+
+    With ``exact`` ranks are decimals and equal to the last digit whatever the
+    partitions, the order or the restarts; a rank of 17 digits before the point is an
+    error, and steps take longer.
     """
     spark = edges.sparkSession
     if iters == 0:
-        return init_ranks(edges)
+        start = init_ranks(edges)
+        return start.withColumn("rank", F.col("rank").cast(EXACT_RANK)) if exact else start
     profile = profile_links(edges)
     saved = None
     if snapshot_dir is not None:
-        saved = f"{snapshot_dir}/{weight}-{damping}-{missing}-{profile.fingerprint}"
+        kind = f"{weight}-{damping}-{missing}" + "-exact" * exact
+        saved = f"{snapshot_dir}/{kind}-{profile.fingerprint}"
     done = (latest_step(spark, saved, at_most=iters) if saved else None) or 0
     ranks = read_step(spark, saved, done) if done else None
     if done == iters:
         return ranks
 
-    links = lay_out(
-        edges, weight=weight, num_partitions=num_partitions, heavy_rows=heavy_rows, profile=profile
-    )
+    options = {"weight": weight, "num_partitions": num_partitions, "heavy_rows": heavy_rows}
+    links = None
+    if saved:
+        # of the same links, whatever the damping
+        shape = f"{weight}-{num_partitions or 'auto'}-{heavy_rows}" + "-exact" * exact
+        kept = f"{snapshot_dir}/links/{profile.fingerprint}-{shape}"
+        links = open_layout(spark, kept, EXACT_LINK if exact else LINK)
+    if links is None:
+        links = lay_out(edges, profile=profile, exact=exact, **options)
+        if saved:
+            links = save_layout(links, kept)
     if cache:
         for part in links.parts():
             part.persist(StorageLevel.MEMORY_AND_DISK)
@@ -304,7 +390,7 @@ def pagerank(
     try:
         with shuffling_into(spark, links.partitions):
             for step in range(done + 1, iters + 1):
-                ranks = _next_ranks(links, ranks, damping, missing)
+                ranks = _next_ranks(links, ranks, damping, missing, exact)
                 due = step % cut_every == 0 or step == iters
                 before = cut
                 if saved and due:

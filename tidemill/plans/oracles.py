@@ -252,6 +252,24 @@ _SAMPLE_SCORES = f"""{_cells('SELECT vec_id AS id, embedding, label FROM embeddi
       SELECT loss, (row_number() OVER (ORDER BY id) - 1) // {TOTAL_BATCH_SIZE} AS batch FROM own)
     GROUP BY batch)"""
 _RAW3 = _ranks(SUPPLY, 3, 6)
+
+
+def _exact_ranks(iters: int) -> str:
+    """Raw ranks in decimals, of which no digit is rounded away in so few iterations."""
+    ctes = [
+        f"edges AS ({SUPPLY})",
+        "r0 AS (SELECT DISTINCT source, 1::DECIMAL(28, 12) AS rank FROM edges)",
+    ]
+    for k in range(1, iters + 1):
+        ctes.append(
+            f"""r{k} AS (
+    SELECT target AS source,
+           (sum(rank)::DECIMAL(34, 12) * 0.85::DECIMAL(2, 2) + 0.15::DECIMAL(2, 2))::DECIMAL(28, 12) AS rank
+    FROM edges LEFT JOIN r{k - 1} USING (source) GROUP BY target)"""
+        )
+    return f"WITH {', '.join(ctes)} SELECT source, rank::VARCHAR AS rank FROM r{iters}"
+
+
 _EVENT_LOG = "SELECT event_id + 1 AS iteration, value FROM events"
 
 ORACLES: dict[str, str] = {
@@ -270,6 +288,7 @@ SELECT 2, source, {_round('rank', 6)} FROM r2""",
     "pagerank_partitioned": _RAW3,
     "pagerank_cached": _RAW3,
     "pagerank_restart": _RAW3,
+    "pagerank_exact": _exact_ranks(3),
     "pagerank_skewed": _ranks(ACTIVITY, 3, 9, weight="out_degree"),
     "rank_csv_roundtrip": _ranks(f"{SUPPLY} UNION ALL {PAGES}", 2, 6),
     "csv_sort": """

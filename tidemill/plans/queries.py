@@ -204,6 +204,15 @@ def pagerank_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded_ranks(pagerank(edges, weight="raw", iters=3, snapshot_dir=snapshots), 6)
 
 
+def pagerank_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every digit of the ranks, from a run that is picked up by one with other partitions."""
+    edges, snapshots = supply_graph(spark, sf_dir), new_folder(spark, "snapshots")
+    options = {"weight": "raw", "exact": True, "snapshot_dir": snapshots}
+    pagerank(edges, iters=1, num_partitions=5, **options)
+    ranks = pagerank(edges.repartition(7), iters=3, num_partitions=3, **options)
+    return ranks.select("source", F.col("rank").cast("string").alias("rank"))
+
+
 def rank_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both graphs at once, so that there are ranks and nulls to write."""
     edges = supply_graph(spark, sf_dir).unionAll(page_graph(spark, sf_dir))
@@ -563,6 +572,7 @@ QUERIES: dict[str, Query] = {
     "pagerank_cached": pagerank_cached,
     "pagerank_restart": pagerank_restart,
     "pagerank_skewed": pagerank_skewed,
+    "pagerank_exact": pagerank_exact,
     "rank_csv_roundtrip": rank_csv_roundtrip,
     "csv_sort": csv_sort,
     "train_test_split": train_test_split,

@@ -91,22 +91,17 @@ def write_layout(
     row_bytes: int,
     range_bytes: int = RANGE_BYTES,
     part_bytes: int = PART_BYTES,
+    keep: bool = True,
 ) -> BatchLayout:
     """Lays out rows that have ``rank`` and ``batch_idx`` under ``path``.
 
-    The profile is a row for each batch; each of them will be a job of the
+    Writes the manifest as well, unless nobody will open the layout again. The profile is a row for each batch; each of them will be a job of the
     driver's, so it can hold them. Rows without a batch are left out.
     """
     spark = shards.sparkSession
     counted = shards.where(F.col("batch_idx").isNotNull()).groupBy("batch_idx").count()
     sizes = [(row["batch_idx"], row["count"]) for row in counted.collect()]
     ranges = plan_ranges(sizes, row_bytes, range_bytes=range_bytes, part_bytes=part_bytes)
-    manifest = pa.table(
-        {
-            name: pa.array([getattr(r, name) for r in ranges], pa.int32() if name == "parts" else pa.int64())
-            for name in (field.split()[0] for field in MANIFEST.split(", "))
-        }
-    )
     layout = BatchLayout(spark, path, shards.schema, ranges)
     if not ranges:
         return layout
@@ -139,7 +134,11 @@ def write_layout(
         .write.partitionBy(RANGE)
         .parquet(f"{path}/rows")
     )
-    spark.createDataFrame(manifest).coalesce(1).write.parquet(f"{path}/manifest")
+    if keep:
+        fields = [field.split() for field in MANIFEST.split(", ")]
+        kinds = {"int": pa.int32(), "long": pa.int64()}
+        manifest = {n: pa.array([getattr(r, n) for r in ranges], kinds[k]) for n, k in fields}
+        spark.createDataFrame(pa.table(manifest)).coalesce(1).write.parquet(f"{path}/manifest")
     return layout
 
 
