@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import chain
 
 from tidemill.llm.common import worker_table
 
@@ -48,6 +49,56 @@ def _only_single_spaces(text: str) -> bool:
     return text.isascii() or not _OTHER_SPACES.search(text)
 
 
+class _Stretches(dict):
+    """Numbers stretches as they come, and keeps their ids: those of number k are
+    ``pool[start[k] : start[k] + length[k]]``. What came last and has no ids yet is ``new``."""
+
+    def __init__(self, numpy) -> None:
+        super().__init__()
+        self.new: list[str] = []
+        self._numpy = numpy
+        self.start, self.length = numpy.zeros(1 << 16, "i8"), numpy.zeros(1 << 16, "i8")
+        self.pool = numpy.zeros(1 << 18, "<u4")
+        self._held, self._used = 0, 0  # stretches with ids, ids
+
+    def __missing__(self, stretch: str) -> int:
+        self[stretch] = number = len(self)
+        self.new.append(stretch)
+        return number
+
+    def _room(self, array, size: int):
+        if size <= len(array):
+            return array
+        larger = self._numpy.zeros(max(size, 2 * len(array)), array.dtype)
+        larger[: len(array)] = array
+        return larger
+
+    def keep(self, found: dict[str, bytes]) -> None:
+        """Takes the ids of all that is new."""
+        numpy, n = self._numpy, len(self.new)
+        ids = list(map(found.__getitem__, self.new))
+        length = numpy.fromiter(map(len, ids), "i8", n) // ID_BYTES
+        total = int(length.sum())
+        self.start, self.length = (self._room(a, self._held + n) for a in (self.start, self.length))
+        self.pool = self._room(self.pool, self._used + total)
+        own = slice(self._held, self._held + n)
+        self.length[own] = length
+        self.start[own] = self._used + numpy.cumsum(length) - length
+        self.pool[self._used : self._used + total] = numpy.frombuffer(b"".join(ids), "<u4")
+        self._held, self._used, self.new = self._held + n, self._used + total, []
+
+    def ids(self, stretch: str) -> bytes:
+        k = self[stretch]
+        return self.pool[self.start[k] : self.start[k] + self.length[k]].tobytes()
+
+    def gather(self, numbers):
+        """The ids of stretches one behind the other, and where those of each end."""
+        numpy, length = self._numpy, self.length[numbers]
+        ends = numpy.cumsum(length)
+        shift = numpy.repeat(self.start[numbers] - (ends - length), length)
+        return self.pool[shift + numpy.arange(len(shift))], ends
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit integers, no special tokens added."""
 
@@ -62,8 +113,8 @@ class Encoder:
         self._added = tuple(token.content for token in added)
         #: Strings with line feeds between them could hold such a token that none holds.
         self._apart = any("\n" in content for content in self._added)
-        self._behind_space: dict[str, bytes] = {}  # by what stands behind a space
-        self._before: dict[str, bytes] = {}  # the same, of longer ago
+        self._behind_space = _Stretches(numpy)  # by what stands behind a space
+        self._before = _Stretches(numpy)  # the same, of longer ago
         self._known: dict[str, bytes] = {}  # by the string itself
         self._kept = kept
         self._feed = self._library(["\n"])[0]
@@ -75,14 +126,19 @@ class Encoder:
     def _by_stretches(self, text: str) -> bool:
         return _only_single_spaces(text) and not any(map(text.__contains__, self._added))
 
-    def _learn(self, new: set[str]) -> None:
-        """Encodes stretches behind a space, the parts of composed ones once each."""
-        known, plain = self._behind_space, self._known
+    def _learn(self) -> None:
+        """Encodes the new stretches behind a space, the parts of composed ones once each."""
+        known, before, plain = self._behind_space, self._before, self._known
         if len(plain) > self._kept // 4:
             plain.clear()
-        words = [s for s in new if s.isalpha()]
-        heads, tails, odd, composed = set(), set(), [], []
-        for s in new.difference(words):
+        found = {s: before.ids(s) for s in known.new if s in before}
+        words, heads, tails, odd, composed = [], {}, set(), [], []
+        for s in known.new:
+            if s in found:
+                continue
+            if s.isalpha():
+                words.append(s)
+                continue
             stem = s.rstrip(_END_SIGNS)
             if stem.isalpha() and stem.isascii() and stem != s:
                 head, rest = stem, (s[len(stem) :],)
@@ -92,14 +148,24 @@ class Encoder:
                 odd.append(s)
                 continue
             composed.append((s, head, rest))
-            heads.add(head)
+            heads[head] = None
             tails.update(rest)
-        self._together([*words, *heads.difference(known, words)], " ", known)
-        known.update(zip(odd, self._library([" " + s for s in odd]), strict=True))
+        newly, waiting = set(words), set(known.new)
+        for head in heads:
+            if head in found or head in newly:
+                continue
+            if head in known and head not in waiting:
+                found[head] = known.ids(head)
+            else:
+                words.append(head)
+                known[head]  # gets a number of its own
+        self._together(words, " ", found)
+        found.update(zip(odd, self._library([" " + s for s in odd]), strict=True))
         self._together([t for t in tails.difference(plain) if t != "\n"], "", plain)
         plain["\n"] = self._feed
         for s, head, rest in composed:
-            known[s] = known[head] + b"".join(map(plain.__getitem__, rest))
+            found[s] = found[head] + b"".join(map(plain.__getitem__, rest))
+        known.keep(found)
 
     def _together(self, strings: list[str], front: str, into: dict[str, bytes]) -> None:
         """Encodes many strings without line feeds as one, with one behind each.
@@ -127,21 +193,23 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """One value per text; of a null or empty text an empty one."""
+        numpy = self._numpy
         texts = [text or "" for text in texts]
         cuts = [text.split(" ") if self._by_stretches(text) else [text] for text in texts]
         fronts = self._library([cut[0] for cut in cuts])
-        # each distinct stretch once from the large tables, then from one that caches hold
-        here = set().union(*(cut[1:] for cut in cuts))
-        new = here.difference(self._behind_space)
-        old = new.intersection(self._before) if self._before else ()
-        self._behind_space.update((s, self._before[s]) for s in old)
-        self._learn(new.difference(old))
+        if len(self._behind_space) > self._kept // 2:
+            self._before, self._behind_space = self._behind_space, _Stretches(numpy)
         known = self._behind_space
-        get = dict(zip(here, map(known.__getitem__, here), strict=True)).__getitem__
-        if len(known) > self._kept // 2:
-            self._before, self._behind_space = known, {}
+        counts = numpy.fromiter((len(cut) - 1 for cut in cuts), "i8", len(cuts))
+        behind = chain.from_iterable(cut[1:] for cut in cuts)
+        numbers = numpy.fromiter(map(known.__getitem__, behind), "i8", int(counts.sum()))
+        if known.new:
+            self._learn()
+        ids, ends = known.gather(numbers)
+        last = numpy.concatenate(([0], ends))[numpy.cumsum(counts)].tolist()
+        first = [0, *last][: len(last)]
         return [
-            front + b"".join(map(get, cut[1:])) for front, cut in zip(fronts, cuts, strict=True)
+            front + ids[a:b].tobytes() for front, a, b in zip(fronts, first, last, strict=True)
         ]
 
 
