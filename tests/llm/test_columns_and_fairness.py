@@ -1,0 +1,105 @@
+"""Stages keep every column whatever it is called; toxicity is fitted with its swaps."""
+
+import numpy as np
+import pytest
+from conftest import DATA
+from corpus import docs_of  # noqa: F401
+from pyspark.sql import functions as F
+
+from tidemill.llm.exact_dedup import drop_exact_copies
+from tidemill.llm.mixing import mixed_documents
+from tidemill.llm.near_dedup import drop_near_copies
+from tidemill.llm.toxicity import (
+    IDENTITY_TERMS,
+    counterfactual_pairs,
+    features_of,
+    fit,
+    mention,
+    sampled_rows,
+    score_toxicity,
+    telling_features,
+    train_toxicity,
+    training_labels,
+)
+
+NAMES = (
+    "w_id", "w_sha256", "winner_id", "winner_sha256", "text_sha256", "place", "number", "row", "first",
+    "r_id", "r_source", "r_key", "read_id", "read_source", "read_key", "text_key", "readings", "once",
+)
+
+
+@pytest.fixture
+def crowded(docs_of):  # noqa: F811
+    pairs = [(i, f"the text of number {i // 2} " * 8) for i in range(12)] + [(None, None), (12, "")]
+    docs = docs_of(pairs).withColumns({name: F.lit(name) for name in NAMES})
+    tags = F.create_map(F.lit("k"), F.col("doc_id"))
+    return docs.withColumns({"tags": tags, "nested": F.array(F.struct(tags.alias("m")))})
+
+
+@pytest.mark.parametrize("stage", [drop_exact_copies, mixed_documents, drop_near_copies])
+def test_columns_of_any_name_and_kind_stay(crowded, stage):
+    kept = stage(crowded)
+    assert kept.columns == crowded.columns
+    for row in kept.collect():
+        assert all(row[name] == name for name in NAMES)
+        assert row["tags"] == {"k": row["doc_id"]}
+
+
+def test_copies_of_one_id_keep_one_row(docs_of):  # noqa: F811
+    docs = docs_of([(1, "a  b"), (1, "a b"), (1, "a b")]).withColumn("tags", F.create_map(F.lit("k"), F.rand()))
+    assert drop_exact_copies(docs).count() == 1
+
+
+def trained(spark):
+    docs = spark.read.parquet(f"{DATA}/sf0.1/documents.parquet").select("doc_id", "text")
+    return docs, spark.read.parquet(f"{DATA}/sf0.1/labels.parquet")
+
+
+def test_swaps_exist_on_the_corpus_and_change_the_weights(spark):
+    docs, labels = trained(spark)
+    train = training_labels(labels)
+    vocabulary = telling_features(docs, train)
+    named = {f for t in IDENTITY_TERMS for f in features_of(t)}
+    index = {f: i for i, f in enumerate(vocabulary + sorted(named.difference(vocabulary)))}
+    rows = sampled_rows(docs, train, index)
+    again = sampled_rows(docs.repartition(5), train.repartition(3), index)
+    assert rows == again  # so scores do not depend on partitions
+    pairs = [p for _, _, ps in rows for p in ps]
+    assert len(pairs) > len(rows)
+    found, marks = [r[0] for r in rows], np.array([r[1] for r in rows], float)
+    free, fair = (fit(found, marks, pairs, len(index), f) for f in (0.0, 1.0))
+    assert not np.allclose(free, fair)
+
+    def spread(w):
+        """How far scores move when one name stands for another."""
+        return np.mean([(sum(-w[-1 - i] if i < 0 else w[i] for i in p)) ** 2 for p in pairs])
+
+    assert spread(fair) < spread(free) / 2
+
+
+def test_a_mention_changes_one_word_of_one_sentence():
+    text = "Nobody came. It rained all day! Over"
+    changed, swaps = mention(text)
+    old, new = text.lower().replace("!", "."), changed.replace("!", ".")
+    differing = [(a, b) for a, b in zip(old.split("."), new.split("."), strict=True) if a.split() != b.split()]
+    assert len(differing) == 1 and len(swaps) == 3
+    words = [(a, b) for a, b in zip(*(x.split() for x in differing[0]), strict=True) if a != b]
+    assert len(words) == 1 and words[0][1] in IDENTITY_TERMS
+    assert mention(text) == mention(text)
+    assert mention("") is None and mention(None) is None and mention("12 .") is None and mention("a", ()) is None
+
+
+def test_names_and_their_languages_are_parameters():
+    terms = ("gente", "leute", "gens", "folk", "people", "lude", "nep")  # as many as the usual stride
+    pairs = counterfactual_pairs("die leute kamen", terms)
+    assert len(pairs) == 3 and all("leute" in lost and won for lost, won in pairs)
+    assert counterfactual_pairs("die leute kamen") == []
+
+
+def test_training_takes_its_parameters(spark, docs_of):  # noqa: F811
+    docs = docs_of([(i, f"{'vile' if i % 2 else 'kind'} words w{i % 5}") for i in range(200)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+    few, _ = train_toxicity(docs, labels, vocabulary=1, terms=("xx", "yy"))
+    assert len(few) == 3 and {"xx", "yy"} <= set(few)
+    scores = {r["doc_id"]: r["score"] for r in score_toxicity(docs, labels, terms=()).collect()}
+    assert all((scores[i] > 0.7) == bool(i % 2) for i in range(200))

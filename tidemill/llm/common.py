@@ -7,6 +7,7 @@ from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -28,6 +29,15 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def orderable(kind: T.DataType) -> bool:
+    """Whether rows can be sorted by a column of this type."""
+    if isinstance(kind, T.ArrayType):
+        return orderable(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(orderable(field.dataType) for field in kind)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
 def fold(doc_id: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; a null id counts as empty text."""
     text = F.coalesce(doc_id.cast("string"), F.lit(""))

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemill.llm.common import fresh, whole_text
+from tidemill.llm.common import fresh, orderable, whole_text
 from tidemill.sources.snapshots import freeze
 
 COUNTERS = 1024  # of the summary; bounds what is broadcast
@@ -83,19 +83,27 @@ def drop_exact_copies(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
     Copies of frequent texts go where they are read; the rest is shuffled once, by digest.
     """
     digest, place = fresh(docs, "text_sha256"), fresh(docs, "place")
+    w_digest, w_id = fresh(docs, "winner_sha256"), fresh(docs, "winner_id")
     _, winners = _digests_and_winners(docs, counters)
     first = winners.select(
-        F.col("text_sha256").alias("w_sha256"), F.col("first.doc_id").alias("w_id")
+        F.col("text_sha256").alias(w_digest), F.col("first.doc_id").alias(w_id)
     )
-    marked = docs.withColumn(digest, text_digest(whole_text()))
-    known = marked.join(F.broadcast(first), marked[digest] == first["w_sha256"], "left")
-    may_stay = first["w_sha256"].isNull() | marked["doc_id"].eqNullSafe(first["w_id"])
-    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
-    copies = Window.partitionBy(digest).orderBy(F.asc_nulls_last("doc_id"), *others)
+    marked = docs.withColumns(
+        {digest: text_digest(whole_text()), place: F.monotonically_increasing_id()}
+    )
+    known = marked.join(F.broadcast(first), F.col(digest) == F.col(w_digest), "left")
+    may_stay = F.col(w_digest).isNull() | F.col("doc_id").eqNullSafe(F.col(w_id))
+    # copies of one id go by their other columns, where those have an order, then by place
+    others = [
+        F.col(f"`{f.name}`")
+        for f in docs.schema
+        if f.name not in ("doc_id", "text") and orderable(f.dataType)
+    ]
+    copies = Window.partitionBy(digest).orderBy(F.asc_nulls_last("doc_id"), *others, place)
+    number = fresh(docs, "number")
     return (
         known.where(may_stay)
-        .drop("w_sha256", "w_id")
-        .withColumn(place, F.row_number().over(copies))
-        .where(F.col(place) == 1)
-        .drop(place, digest)
+        .withColumn(number, F.row_number().over(copies))
+        .where(F.col(number) == 1)
+        .select(*(F.col(f"`{c}`") for c in docs.columns))
     )

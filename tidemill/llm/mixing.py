@@ -227,22 +227,26 @@ def mix(
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     """The documents, all columns, each as often as the mixture reads it."""
     key, n, once = fresh(docs, "text_key"), fresh(docs, "readings"), fresh(docs, "once")
+    r_id, r_source, r_key = (fresh(docs, f"read_{c}") for c in ("id", "source", "key"))
     again = (
         mix(docs, **how)
         .groupBy(
-            F.col("doc_id").alias("r_id"),
-            F.col("source").alias("r_source"),
-            F.col("text_key").alias("r_key"),
+            F.col("doc_id").alias(r_id),
+            F.col("source").alias(r_source),
+            F.col("text_key").alias(r_key),
         )
         .agg(F.count(F.lit(1)).cast("int").alias(n))
         .where(F.col(n) > 1)
     )
     marked = docs.withColumn(key, text_key(whole_text()))
     same = (
-        marked["doc_id"].eqNullSafe(again["r_id"])
-        & marked["source"].eqNullSafe(again["r_source"])
-        & (marked[key] == again["r_key"])
+        F.col("doc_id").eqNullSafe(F.col(r_id))
+        & F.col("source").eqNullSafe(F.col(r_source))
+        & (F.col(key) == F.col(r_key))
     )
-    matched = marked.join(again, same, "left").drop("r_id", "r_source", "r_key", key)
     copies = F.array_repeat(F.lit(True), F.coalesce(F.col(n), F.lit(1)))
-    return matched.select("*", F.explode(copies).alias(once)).drop(n, once)
+    return (
+        marked.join(again, same, "left")
+        .withColumn(once, F.explode(copies))
+        .select(*(F.col(f"`{c}`") for c in docs.columns))
+    )

@@ -7,18 +7,26 @@ regression is fitted on at most ``SAMPLE_ROWS`` labelled rows. In every sentence
 names a group of people, the name is swapped for others, and the squared change of the
 sentence's score is part of the loss: what is said decides, not about whom.
 
+A corpus may name no group at all, and its classifier would then never be asked. So each
+of these rows also counts a second time with a group's name put in the place of one word of one of
+its sentences, under the same label, and that name is swapped as well. Names are
+a parameter, by default in four languages; place and name are picked by a hash of the text.
+
 Scores are computed where the text is read. Labels of held-out rows are never read.
 
 Defined cases: a null text is empty and scored by the intercept; without any training label
 of one of the two kinds every score is the share of toxic labels (one half without
-labels); repeated rows are scored each on its own; of contradictory labels of an id each counts.
+labels); repeated rows are scored each on its own; of contradictory labels of an id each counts;
+an empty table has no rows; a very long text is read whole, as any other; rows reach the fit
+in an order of their own, so scores do not depend on partitions.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+import zlib
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -42,11 +50,14 @@ THRESHOLD = 0.7
 FOLDS, HELD_OUT = 3, 1
 TEXTS_AT_ONCE = 256
 
-# fixed values: neutral names of groups of people
+# fixed values: neutral names of groups of people, in English, German, Spanish and French
 IDENTITY_TERMS = (
     "women men girls boys muslims christians jews hindus buddhists atheists gays lesbians "
     "transgender straight black white asian african american european mexican chinese "
-    "immigrants refugees disabled deaf blind elderly young poor rich"
+    "immigrants refugees disabled deaf blind elderly young poor rich "
+    "frauen männer juden christen muslime afrikaner asiaten ausländer flüchtlinge behinderte "
+    "mujeres hombres judíos cristianos musulmanes africanos asiáticos inmigrantes refugiados ancianos "
+    "femmes hommes juifs chrétiens musulmans africains asiatiques immigrés réfugiés handicapés"
 ).split()
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -59,21 +70,47 @@ def features_of(text: str | None) -> set[str]:
     return words | {"^" + w[:PREFIX] for w in words if len(w) > PREFIX}
 
 
-def counterfactual_pairs(text: str | None) -> list[tuple[set[str], set[str]]]:
+def _swaps(words: list[str], term: str, terms: Sequence[str]) -> list[tuple[set[str], set[str]]]:
+    """What the words lose and win when ``term`` makes room for others."""
+    at, before, pairs = terms.index(term), features_of(" ".join(words)), []
+    stride = 7 if len(terms) % 7 else 1
+    for step in range(1, min(SWAPS, len(terms) - 1) + 1):
+        other = terms[(at + step * stride) % len(terms)]
+        after = features_of(" ".join(other if w == term else w for w in words))
+        pairs.append((before - after, after - before))
+    return pairs
+
+
+def counterfactual_pairs(
+    text: str | None, terms: Sequence[str] = IDENTITY_TERMS
+) -> list[tuple[set[str], set[str]]]:
     """Features lost and won when a group named in a sentence is swapped for another."""
     pairs = []
     for sentence in _SENTENCE.findall((text or "").lower()):
         words = _WORD.findall(sentence)
-        for term in sorted(set(words).intersection(IDENTITY_TERMS)):
-            at = IDENTITY_TERMS.index(term)
-            before = features_of(sentence)
-            for step in range(1, SWAPS + 1):
-                other = IDENTITY_TERMS[(at + step * 7) % len(IDENTITY_TERMS)]
-                after = features_of(" ".join(other if w == term else w for w in words))
-                pairs.append((before - after, after - before))
+        for term in sorted(set(words).intersection(terms)):
+            pairs += _swaps(words, term, terms)
     return pairs
 
 
+def mention(text: str | None, terms: Sequence[str] = IDENTITY_TERMS) -> tuple[str, list] | None:
+    """The text with a group's name in one place of one sentence, and the swaps of that name.
+
+    None if the text has no word or there is no name.
+    """
+    sentences = [m for m in _SENTENCE.finditer((text or "").lower()) if _WORD.search(m[0])]
+    if not sentences or not terms:
+        return None
+    draw = zlib.crc32(text.encode())
+    sentence = sentences[draw % len(sentences)]
+    words = _WORD.findall(sentence[0])
+    term = terms[draw // 7 % len(terms)]
+    words[draw // 11 % len(words)] = term
+    lower = text.lower()
+    changed = lower[: sentence.start()] + " ".join(words) + lower[sentence.end() :]
+    return changed, _swaps(words, term, terms)
+
+
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
@@ -115,17 +152,26 @@ def telling_features(texts: DataFrame, train: DataFrame, size: int = VOCABULARY)
     return [r["feature"] for r in best.collect()]
 
 
-def _sampling(index: dict[str, int]):
+def _signed(pairs: list[tuple[set[str], set[str]]], index: dict[str, int]) -> list[list[int]]:
+    """Numbers of the features won, and minus one minus those of the lost."""
+    signed = [
+        [*(-1 - index[f] for f in sorted(lost) if f in index), *(index[f] for f in sorted(won) if f in index)]
+        for lost, won in pairs
+    ]
+    return [p for p in signed if p]
+
+
+def _sampling(index: dict[str, int], terms: Sequence[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _slices(batches):
             rows = []
             for text, label in zip(*(c.to_pylist() for c in part.columns), strict=True):
                 found = sorted(index[f] for f in features_of(text) if f in index)
-                pairs = [
-                    [*(-1 - index[f] for f in sorted(lost) if f in index), *(index[f] for f in sorted(won) if f in index)]
-                    for lost, won in counterfactual_pairs(text)
-                ]
-                rows.append((found, label, [p for p in pairs if p]))
+                rows.append((found, label, _signed(counterfactual_pairs(text, terms), index)))
+                made = mention(text, terms)
+                if made is not None:
+                    found = sorted(index[f] for f in features_of(made[0]) if f in index)
+                    rows.append((found, label, _signed(made[1], index)))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([r[0] for r in rows], pa.list_(pa.int32())),
@@ -196,29 +242,51 @@ def fit(
     return scale * v
 
 
-def train_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[dict[str, float], float]:
-    """Weights by feature, and the intercept. ``sample_rows`` bounds what is fitted on."""
+def sampled_rows(
+    docs: DataFrame,
+    train: DataFrame,
+    index: dict[str, int],
+    *,
+    sample_rows: int = SAMPLE_ROWS,
+    terms: Sequence[str] = IDENTITY_TERMS,
+) -> list[tuple[list[int], int, list[list[int]]]]:
+    """Features, label and swaps of what is fitted on, in an order of their own."""
+    sample = train.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample_rows)  # bounded
+    sampled = (
+        docs.select("doc_id", whole_text().alias("text"))
+        .join(F.broadcast(sample), "doc_id")
+        .select("text", "label")
+        .mapInArrow(_sampling(index, terms), "found array<int>, label int, pairs array<array<int>>")
+        .toArrow()
+    )
+    return sorted(zip(*(sampled.column(i).to_pylist() for i in range(3)), strict=True))
+
+
+def train_toxicity(
+    docs: DataFrame,
+    labels: DataFrame,
+    sample_rows: int = SAMPLE_ROWS,
+    *,
+    terms: Sequence[str] = IDENTITY_TERMS,
+    fairness: float = FAIRNESS,
+    vocabulary: int = VOCABULARY,
+) -> tuple[dict[str, float], float]:
+    """Weights by feature, and the intercept. ``sample_rows`` bounds what is fitted on,
+    ``vocabulary`` the features; ``terms`` are the names of groups that get swapped."""
     texts = docs.select("doc_id", whole_text().alias("text"))
     train = freeze(training_labels(labels), "labelled")
-    vocabulary = telling_features(texts, train)
-    if not vocabulary:
+    telling = telling_features(texts, train, vocabulary)
+    if not telling:
         share = train.agg(F.avg("label")).first()[0]
         share = min(max(0.5 if share is None else share, 1e-6), 1 - 1e-6)
         return {}, math.log(share / (1 - share))
-    terms = {f for t in IDENTITY_TERMS for f in features_of(t)}
-    vocabulary += sorted(terms.difference(vocabulary))
-    index = {f: i for i, f in enumerate(vocabulary)}
-    sample = train.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)  # bounded
-    sampled = (
-        texts.join(F.broadcast(sample), "doc_id")
-        .select("text", "label")
-        .mapInArrow(_sampling(index), "found array<int>, label int, pairs array<array<int>>")
-        .toArrow()
-    )
-    rows, marks, pairs = (sampled.column(i).to_pylist() for i in range(3))
+    named = {f for t in terms for f in features_of(t)}
+    index = {f: i for i, f in enumerate(telling + sorted(named.difference(telling)))}
+    rows = sampled_rows(docs, train, index, sample_rows=sample_rows, terms=terms)
     if not rows:
         return {}, 0.0
-    w = fit(rows, np.array(marks, float), [p for ps in pairs for p in ps], len(vocabulary))
+    pairs = [p for _, _, ps in rows for p in ps]
+    w = fit([r[0] for r in rows], np.array([r[1] for r in rows], float), pairs, len(index), fairness)
     return {f: float(w[i]) for f, i in index.items()}, float(w[-1])
 
 
@@ -237,9 +305,9 @@ def _scoring(weights: dict[str, float], intercept: float):
     return run
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score and predicted of every document."""
-    weights, intercept = train_toxicity(docs, labels)
+def score_toxicity(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
+    """doc_id, held_out, score and predicted of every document; ``how`` goes to the training."""
+    weights, intercept = train_toxicity(docs, labels, **how)
     texts = docs.select("doc_id", whole_text().alias("text"))
     run = _scoring(weights, intercept)
 
@@ -255,9 +323,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def drop_toxic(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
     """The documents, all columns, whose score is below the threshold."""
-    weights, intercept = train_toxicity(docs, labels)
+    weights, intercept = train_toxicity(docs, labels, **how)
     score = _scoring(weights, intercept)
     text = docs.columns.index("text")
 
