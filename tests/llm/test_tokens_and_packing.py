@@ -21,7 +21,7 @@ from tidemill.llm.packing import (
     piece_lengths,
     plan_fillings,
 )
-from tidemill.llm.token_files import Codes, encode, read_documents, token_at, write_token_files
+from tidemill.llm.token_files import Codes, codes_of, encode, find_segment, read_documents, read_segments, token_at, write_token_files
 from tidemill.llm.tokens import Encoder, default_vocabulary
 from tidemill.session import new_folder
 
@@ -240,3 +240,21 @@ def test_packing_nothing_and_one_length(spark, docs_of):
     )
     packed = pack(same).groupBy("sequence_id").count().collect()
     assert len(packed) == 500 and all(r["count"] == 2 for r in packed)
+
+
+def test_a_token_is_found_without_reading_other_codes(spark, docs_of, tmp_path):  # noqa: F811
+    path = str(tmp_path / "tokens")
+    write_token_files(docs_of([(i, f"some words of {i}") for i in range(40)]), path, segment_tokens=30)
+    segments = read_segments(spark, path)
+    assert segments.count() > 5
+    for position in (0, 29, 100, 150):
+        part, segment, start = find_segment(spark, path, position)
+        own = segments.where(f"part = {part} AND segment = {segment}").first()
+        assert own["start"] == start <= position < start + own["n_tokens"]
+        assert token_at(spark, path, position) == Codes(bytes(own["codes"]))[position - start]
+    assert find_segment(spark, path, 10**9) is None
+    plan = codes_of(spark, path, 1, 2)._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters") :]
+    assert "EqualTo(part,1)" in pushed and "EqualTo(segment,2)" in pushed
+    schemas = [x._jdf.queryExecution().executedPlan().toString() for x in (segments.select("part", "segment", "start"),)]
+    assert "codes" not in schemas[0]

@@ -207,12 +207,25 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return rows.mapInArrow(_documents, types)
 
 
-def token_at(spark: SparkSession, path: str, position: int) -> int:
-    """The id at one position of the corpus; reads the one segment that has it."""
+def find_segment(spark: SparkSession, path: str, position: int) -> tuple[int, int, int] | None:
+    """Part and segment that hold a position, and where the segment starts. Reads no codes."""
     here = read_segments(spark, path).where(
         (F.col("start") <= position) & (F.col("start") + F.col("n_tokens") > position)
     )
-    row = here.select("start", "codes").first()
-    if row is None:
+    row = here.select("part", "segment", "start").first()
+    return None if row is None else tuple(row)
+
+
+def codes_of(spark: SparkSession, path: str, part: int, segment: int) -> DataFrame:
+    """The codes of one segment; its numbers reach the scan, which leaves the others out."""
+    rows = spark.read.schema(SEGMENTS).parquet(path)
+    return rows.where((F.col("part") == part) & (F.col("segment") == segment)).select("codes")
+
+
+def token_at(spark: SparkSession, path: str, position: int) -> int:
+    """The id at one position of the corpus; reads the codes of the one segment that has it."""
+    found = find_segment(spark, path, position)
+    if found is None:
         raise IndexError(position)
-    return Codes(bytes(row["codes"]))[position - row["start"]]
+    part, segment, start = found
+    return Codes(bytes(codes_of(spark, path, part, segment).first()["codes"]))[position - start]
