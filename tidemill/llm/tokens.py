@@ -19,7 +19,7 @@ from itertools import chain
 from tidemill.llm.common import worker_table
 
 ID_BYTES = 4
-KEPT = 1_200_000  # stretches a worker remembers, half of them from longer ago
+KEPT = 800_000  # stretches a worker remembers, half of them from longer ago
 TOGETHER = 256  # new stretches the library gets in one string
 #: What could take part in a run of white space, here or in the library.
 _SPACES = re.compile("[ \t\n\x0b\x0c\r\x1c-\x1f][ \t\x0b\x0c\r\x1c-\x1f]| \n")
@@ -57,7 +57,7 @@ class _Stretches(dict):
         super().__init__()
         self.new: list[str] = []
         self._numpy = numpy
-        self.start, self.length = numpy.zeros(1 << 16, "i8"), numpy.zeros(1 << 16, "i8")
+        self.start, self.length = numpy.zeros(1 << 16, "i8"), numpy.zeros(1 << 16, "i4")
         self.pool = numpy.zeros(1 << 18, "<u4")
         self._held, self._used = 0, 0  # stretches with ids, ids
 
@@ -69,7 +69,7 @@ class _Stretches(dict):
     def _room(self, array, size: int):
         if size <= len(array):
             return array
-        larger = self._numpy.zeros(max(size, 2 * len(array)), array.dtype)
+        larger = self._numpy.zeros(max(size, len(array) * 3 // 2), array.dtype)
         larger[: len(array)] = array
         return larger
 
