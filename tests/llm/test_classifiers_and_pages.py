@@ -1,6 +1,7 @@
 """Classifiers by what they get right on held-out rows; main text of pages by example."""
 
 import random
+import time
 import zlib
 
 import numpy as np
@@ -226,3 +227,80 @@ def test_every_page_has_a_row(spark):
         ("1", "x", 1), ("1", "x", 1), ("2", "", 0), ("3", "y y", 199999), ("None", "", 0)
     ]
     assert extract_main_text(pages.limit(0)).count() == 0
+
+
+LEAD = "The river rises in the hills and runs past the mill for many miles before it meets the sea. " * 4
+NOTE = "A short last word on the tides."
+
+
+def words(*parts: str) -> str:
+    return " ".join(" ".join(parts).split())
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (
+            f"<main><section><h2>Mills</h2><p>{LEAD}</p><p>{LEAD}</p></section>"
+            f"<section><h2>Tides</h2><p>{NOTE}</p></section></main>",
+            words("Mills", LEAD, LEAD, "Tides", NOTE),
+        ),
+        (
+            f"<div><h1>Mills</h1><div class=meta><p>{NOTE}</p></div>"
+            f"<div class=body><p>{LEAD}</p><p>{LEAD}</p></div></div>",
+            words("Mills", NOTE, LEAD, LEAD),
+        ),
+        (
+            f"<article><h1><a href=/m>Mills</a></h1><p>{LEAD}</p><ul><li><a href=/a>Upper mill</a>"
+            f"<li><a href=/b>Lower mill</a></ul><p><a href=/c>All mills of the river</a></p></article>",
+            words("Mills", LEAD, "Upper mill Lower mill All mills of the river"),
+        ),
+        (
+            f"<article><p>{LEAD}</p></article><article><p>{NOTE}</p></article>",
+            words(LEAD, NOTE),
+        ),
+        (
+            f"<article><p>{LEAD}</p><section class=comments><article><p>{LEAD} I like it.</p></article>"
+            f"<article><p>{NOTE}</p></article></section></article>",
+            words(LEAD),
+        ),
+        (
+            f"<div class=story><p>{NOTE}</p><p>{LEAD}</p></div>"
+            f"<section id=comments><article><p>I like it. {NOTE}</p></article></section>",
+            words(NOTE, LEAD),
+        ),
+        (
+            f"<article><p>{LEAD}</p><div class=comment-list><p>I like it.</p></div><div class=adSlot>Buy"
+            f"</div><div class='x cookie-notice'><p>We use them.</p></div><p>{NOTE}</p></article>",
+            words(LEAD, NOTE),
+        ),
+        (f"<body><header><p>{LEAD}</p></header><article><p>{NOTE}</p></article>", words(NOTE)),
+        (f"<article><header><h1>Mills</h1><p>{NOTE}</p></header><p>{LEAD}</p></article>", words("Mills", NOTE, LEAD)),
+        (
+            f"<article><section id=ad-hoc><p>{NOTE}</p></section><section class=related-work><p>{LEAD}</p>"
+            "</section></article>",
+            words(NOTE, LEAD),
+        ),
+    ],
+)
+def test_nothing_of_an_article_is_lost_and_nothing_else_stays(page, text):
+    assert main_text(page) == text
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<font>" * 30_000 + "<p>x " * 30_000,
+        "<" + "a" * 200_000 + '"',
+        "<b><div>" + "<font>" * 30_000 + "</b></i>" * 30_000,
+        "<svg>" + "<g>" * 30_000 + "</x>" * 30_000,
+        '<a ">"' * 30_000 + "'",
+        "<table>" + "<tr><td>x" * 30_000,
+        "<dl><dt>" * 30_000 + "<li>" * 30_000,
+    ],
+)
+def test_time_grows_with_the_length_of_a_page(page):
+    """A quadratic walk over these takes minutes."""
+    started = time.perf_counter()
+    main_text(page)
+    assert time.perf_counter() - started < 10
