@@ -4,7 +4,7 @@ from conftest import DATA
 from pyspark.sql import functions as F
 
 from tidemill.functions.vectors import cross_entropy
-from tidemill.operators.evaluation import accuracy, batch_mean_loss, evaluate
+from tidemill.operators.evaluation import accuracy, batch_mean_loss, evaluate, evaluate_in_order
 from tidemill.operators.fitting import (
     allreduce_mean,
     gather_mean,
@@ -13,6 +13,7 @@ from tidemill.operators.fitting import (
     score,
     sgd_fit,
 )
+from tidemill.operators.ordering import stored_position
 from tidemill.operators.sampling import minibatch, shard_assign
 from tidemill.session import new_folder
 from tidemill.sources.snapshots import latest_step, publish
@@ -186,6 +187,44 @@ def test_short_last_batch_weighs_as_much(table, data):
     assert accuracy(scored).first().asDict() == {k: both[k] for k in ("correct", "total", "percent")}
 
 
+@pytest.mark.parametrize("layout", ["in order", "inside batches", "out of order", "ties", "null"])
+def test_batches_of_stored_rows_need_no_sort(spark, table, data, tmp_path, layout, monkeypatch):
+    """Many files; a batch lies across two of them, rows out of order are sorted."""
+    x, y = data
+    w = np.random.default_rng(1).normal(size=(CLASSES, DIM))
+    ids = {
+        "in order": F.col("id"),
+        "inside batches": F.expr("id - id % 40 + 39 - id % 40"),
+        "out of order": 89 - F.col("id"),
+        "ties": F.expr("id div 3"),
+        "null": F.expr("if(id = 0, null, id)"),
+    }[layout]
+    rows = table.repartitionByRange(7, "id").sortWithinPartitions("id").withColumn("key", ids)
+    rows.write.parquet(str(tmp_path / "rows"))
+    stored = spark.read.parquet(str(tmp_path / "rows"))
+    if layout.startswith("in"):
+        monkeypatch.setattr("tidemill.operators.evaluation.global_position", None)
+    found = evaluate_in_order(stored, "key", 40, lambda df: score(df, w)).first()
+    order = np.arange(90)[::-1] if layout == "out of order" else np.arange(90)
+    losses = [batch_gradient(x[order[i : i + 40]], y[order[i : i + 40]], w)[0] for i in (0, 40, 80)]
+    assert found["batches"] == 3 and found["total"] == 90
+    assert found["correct"] == int(((x @ w.T).argmax(axis=1) == y).sum())
+    if layout != "ties":  # whose order is any
+        assert found["loss"] == pytest.approx(np.mean(losses))
+
+
+def test_stored_positions_are_read_off_the_scan(spark, table, tmp_path):
+    rows = table.select("id").repartitionByRange(5, "id").sortWithinPartitions("id")
+    rows.write.parquet(str(tmp_path / "rows"))
+    placed = stored_position(spark.read.parquet(str(tmp_path / "rows")))
+    assert placed.where("pos != id").isEmpty() and placed.count() == 90
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "hashpartitioning" not in plan and "rangepartitioning" not in plan
+    empty = spark.createDataFrame([], "id long")
+    empty.write.parquet(str(tmp_path / "none"))
+    assert stored_position(spark.read.parquet(str(tmp_path / "none"))).count() == 0
+
+
 def test_golden_evaluation(spark):
     scored = spark.read.parquet(f"{DATA}/sf0.01/embeddings.parquet").select(
         F.slice("embedding", 1, 10).cast("array<double>").alias("scores"),

@@ -2,6 +2,7 @@ import math
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemill.operators import ranking
 from tidemill.operators.ranking import (
@@ -10,6 +11,7 @@ from tidemill.operators.ranking import (
     out_degree,
     pagerank,
     profile_links,
+    rank_edges,
     rank_step,
 )
 from tidemill.session import new_folder
@@ -251,3 +253,17 @@ def test_steps_are_published_when_the_caller_says(spark, edges, heavy_rows):
     root = f"{folder}/raw-0.85-null-{profile_links(edges).fingerprint}"
     steps = spark.read.parquet(f"{root}/published").select("step").collect()
     assert sorted(r["step"] for r in steps) == [2, 4, 5]
+
+
+@pytest.mark.parametrize("missing", ["null", "teleport"])
+@pytest.mark.parametrize("weight", ["raw", "out_degree"])
+def test_one_step_over_links_as_they_are(spark, weight, missing):
+    """Links that come twice, a page without a rank, a link without a source and a hot source."""
+    rows = [("a", "b"), ("a", "b"), ("a", "c"), ("b", "c"), ("c", "a"), ("d", "a"), (None, "b"), ("e", None)]
+    edges = spark.createDataFrame(rows + [("hot", str(i % 7)) for i in range(500)], "source string, target string")
+    ranks = init_ranks(edges).where("source != 'd'").withColumn("rank", F.length("source") * 0.5)
+    laid = rank_step(lay_out(edges, weight=weight, heavy_rows=50), ranks, missing=missing)
+    found = {r["source"]: r["rank"] for r in rank_edges(edges, ranks, weight=weight, missing=missing).collect()}
+    assert found == pytest.approx({r["source"]: r["rank"] for r in laid.collect()})
+    with pytest.raises(ValueError):
+        rank_edges(edges, ranks, weight="other")

@@ -61,6 +61,33 @@ def close_gaps(df: DataFrame, order_id: str = "order_id", position: str = "pos")
     return placed, parts.total
 
 
+def stored_position(stored: DataFrame, position: str = "pos") -> DataFrame:
+    """Adds each row's place in the files of a Parquet scan: files by name, rows as they lie.
+
+    No row moves: a scan knows the place of a row in its file, so only one count per file is
+    added up, which is what reaches the driver and is broadcast. ``stored`` is a scan, before
+    any exchange. Files that Spark wrote have names in the order of its partitions.
+    """
+    spark = stored.sparkSession
+    files = stored.groupBy(F.col("_metadata.file_path").alias("_file")).count().collect()
+    starts, total = [], 0
+    for file in sorted(files, key=lambda row: row["_file"]):
+        starts.append((file["_file"], total))
+        total += file["count"]
+    numbered = stored.select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")
+    )
+    names, firsts = [name for name, _ in starts], [first for _, first in starts]
+    table = spark.createDataFrame(
+        pa.table({"_file": pa.array(names, pa.string()), "_start": pa.array(firsts, pa.int64())})
+    )
+    return (
+        numbered.join(F.broadcast(table), "_file")
+        .withColumn(position, F.col("_start") + F.col("_row"))
+        .drop("_file", "_row", "_start")
+    )
+
+
 def global_position(
     df: DataFrame,
     keys: Sequence[str],

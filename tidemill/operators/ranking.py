@@ -316,6 +316,26 @@ def _rank_column(damping: float, missing: str, exact: bool) -> Column:
     raise ValueError(f"missing must be 'null' or 'teleport', not {missing!r}")
 
 
+def rank_edges(
+    edges: DataFrame, ranks: DataFrame, *, weight: str, damping: float = DAMPING, missing: str = "null"
+) -> DataFrame:
+    """``rank_step`` over links as they are, for a single step: nothing is laid out.
+
+    Links go to the ranks by source once and partial sums go to the targets. Spark splits
+    a partition that a hot source fills while the join runs.
+    """
+    if weight == "out_degree":
+        # of sources alone: adding up the degrees costs a row per source and task
+        degrees = edges.groupBy("source").agg(F.count(F.lit(1)).alias("degree"))
+        links = edges.join(degrees, "source", "left")
+        links = links.select("source", "target", (F.lit(1.0) / F.col("degree")).alias("share"))
+    elif weight == "raw":
+        links = edges.select("source", "target", F.lit(1.0).alias("share"))
+    else:
+        raise ValueError(f"weight must be 'raw' or 'out_degree', not {weight!r}")
+    return _next_ranks(Links(links, shuffle_partitions(edges.sparkSession)), ranks, damping, missing)
+
+
 def rank_step(
     links: Links, ranks: DataFrame, *, damping: float = DAMPING, missing: str = "null"
 ) -> DataFrame:

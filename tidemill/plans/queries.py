@@ -26,7 +26,7 @@ from tidemill.functions.pixels import (
 )
 from tidemill.functions.vectors import cross_entropy
 from tidemill.functions.whole import div
-from tidemill.operators.evaluation import accuracy, batch_mean_loss, evaluate, predict
+from tidemill.operators.evaluation import accuracy, evaluate_in_order, predict
 from tidemill.operators.fitting import (
     allreduce_mean,
     gather_mean,
@@ -37,7 +37,7 @@ from tidemill.operators.fitting import (
 )
 from tidemill.operators.ordering import close_gaps, global_position, sort_csv
 from tidemill.operators.progress import interval_rollup, phase_rollup
-from tidemill.operators.ranking import init_ranks, lay_out, out_degree, pagerank, rank_step
+from tidemill.operators.ranking import init_ranks, out_degree, pagerank, rank_edges
 from tidemill.operators.sampling import (
     epoch_order,
     minibatch,
@@ -140,7 +140,7 @@ def _rounded_ranks(ranks: DataFrame, digits: int) -> DataFrame:
 
 def pagerank_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges = supply_graph(spark, sf_dir)
-    return _rounded_ranks(rank_step(lay_out(edges, weight="raw"), init_ranks(edges)), 6)
+    return _rounded_ranks(rank_edges(edges, init_ranks(edges), weight="raw"), 6)
 
 
 def pagerank_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -496,10 +496,17 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(_features(spark, sf_dir), sample_weights()).select("vec_id", "scores", "label")
 
 
+def _evaluated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def scoring(rows: DataFrame) -> DataFrame:
+        return score(rows, sample_weights(), features="embedding")
+
+    stored = table(spark, sf_dir, "embeddings")
+    return evaluate_in_order(stored, "vec_id", TOTAL_BATCH_SIZE, scoring)
+
+
 def evaluated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loss and accuracy in one pass."""
-    placed, _ = global_position(freeze(_scored(spark, sf_dir), "scored"), ["vec_id"])
-    return _rounded_columns(evaluate(placed, TOTAL_BATCH_SIZE), ["loss", "percent"], 6)
+    return _rounded_columns(_evaluated(spark, sf_dir), ["loss", "percent"], 6)
 
 
 def eval_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -508,11 +515,7 @@ def eval_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def eval_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # sorting reads its input twice
-    placed, _ = global_position(freeze(_scored(spark, sf_dir), "scored"), ["vec_id"])
-    return batch_mean_loss(placed, TOTAL_BATCH_SIZE).select(
-        rounded("loss", 9).alias("loss"), "batches"
-    )
+    return _evaluated(spark, sf_dir).select(rounded("loss", 9).alias("loss"), "batches")
 
 
 # ---- run logs
