@@ -1,13 +1,14 @@
 """Mixing and license scans against brute force."""
 
 import math
+import random
 import re
 
 import pytest
 from corpus import docs_of  # noqa: F401
 from pyspark.sql import functions as F
 
-from tidemill.llm.license_scan import NOTICES, PHRASES, license_spans, scan_licenses
+from tidemill.llm.license_scan import BLOCK, NOTICES, PHRASES, edits, license_spans, scan_licenses
 from tidemill.llm.mixing import (
     exponent_for_entropy,
     exponent_for_repeats,
@@ -135,7 +136,7 @@ def test_a_notice_is_found_whole_and_with_words_put_in(docs_of):
     rows = scan_licenses(docs_of([(0, "x y " + notice + " z"), (1, LICENSED[13]), (2, notice[:40])]))
     rows = {r["doc_id"]: r for r in rows.collect()}
     assert (rows[0]["labels"], rows[0]["score"]) == ("mit", 1.0)
-    assert rows[1]["labels"] == "" or rows[1]["score"] >= 0.7
+    assert rows[1]["labels"] == "mit" and rows[1]["score"] == 1 - 2 / len(notice.split(" "))
     assert 0.0 < rows[2]["score"] < 0.7 and rows[2]["labels"] == ""
     spans = license_spans(docs_of([(0, LICENSED[13])])).where("template >= 4000").collect()
     best = max(spans, key=lambda r: r["votes"])
@@ -146,3 +147,61 @@ def test_repeated_rows_and_empty_tables_are_scanned(docs_of):
     assert scan_licenses(docs_of([])).count() == 0
     rows = scan_licenses(docs_of([(1, "mit license"), (1, "mit license"), (None, "mit license")])).collect()
     assert [r["n_base"] for r in rows] == [1, 1, 1]
+
+
+def fewest_edits(words, window):
+    """The plain table of edit distances, free at both ends of the window."""
+    column = list(range(len(words) + 1))
+    best = column[-1]
+    for seen in window:
+        new = [0]
+        for j, word in enumerate(words):
+            new.append(min(column[j + 1] + 1, new[j] + 1, column[j] + (word != seen)))
+        column = new
+        best = min(best, column[-1])
+    return best
+
+
+def test_alignments_are_those_of_brute_force(spark):
+    draw = random.Random(5)
+    rows = []
+    for m in [1, 2, 4, 6, 20, 47, 48] * 20:
+        letters = "abcdefgh"[: draw.choice([2, 4, 8])]
+        rows.append(([draw.choice(letters) for _ in range(m)], [draw.choice(letters) for _ in range(draw.randint(0, 128))]))
+    table = spark.createDataFrame(rows, "words array<string>, around array<string>")
+    for r in table.select("*", edits(F.col("words"), F.col("around")).alias("edits")).collect():
+        assert r["edits"] == fewest_edits(r["words"], r["around"])
+
+
+def test_a_notice_of_twenty_words_with_four_put_in_has_its_label(docs_of):
+    notice = next(iter(NOTICES)).split(" ")
+    assert len(notice) == 20
+    for at in (17, 12, 8, 3):
+        notice.insert(at, "really")
+    row = scan_licenses(docs_of([(0, " ".join(notice))])).first()
+    assert (row["labels"], row["score"]) == ("mit", 0.8)
+
+
+def test_spans_are_found_wherever_blocks_end(docs_of):
+    notice, phrase = next(iter(NOTICES)), "general public license"
+    pairs = [(n, "x " * n + text) for n in range(BLOCK - 30, BLOCK + 3, 3) for text in (notice + " y", phrase + " " + phrase)]
+    for r in scan_licenses(docs_of(pairs).repartition(4)).collect():
+        assert r["score"] == 1.0
+        if r["n_base"]:
+            assert (r["n_base"], r["first_word"], r["last_word"], r["labels"]) == (2, r["doc_id"], r["doc_id"] + 3, "gpl")
+            assert r["n_words"] == r["doc_id"] + 6
+        else:
+            assert (r["labels"], r["n_words"]) == ("mit", r["doc_id"] + 26)
+    many = scan_licenses(docs_of([(0, (notice + " z ") * 1500)])).first()
+    assert (many["labels"], many["n_words"]) == ("mit", 1500 * 26)
+
+
+def test_notices_are_a_table(spark, docs_of):
+    long = " ".join(f"w{i}" for i in range(130))
+    rows = [(long, "long"), ("too short it", "never"), (None, "x"), ("a Notice, without label here", None), (long, "long"), (long, "twin")]
+    notices = spark.createDataFrame(rows, "text string, label string")
+    docs = docs_of([(0, "so: " + long.upper()), (1, long[200:400]), (2, "too short it is"), (3, "a notice without label here"), (4, "released under the mit license")])
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in scan_licenses(docs, notices).collect()}
+    assert got[0] == ("long,twin", 1.0) and got[3] == ("", 1.0) and got[2] == ("", 0.0)
+    assert got[4] == ("mit", 1.0)  # the phrase, for the notices are others
+    assert scan_licenses(docs, notices.limit(0)).where("labels <> ''").count() == 1

@@ -14,7 +14,7 @@ from tidemill.llm.fill_in_middle import fill_in_middle, restored
 from tidemill.llm.fingerprints import edit_fingerprints
 from tidemill.llm.html_text import extract_main_text
 from tidemill.llm.language_id import identify_language
-from tidemill.llm.license_scan import scan_licenses
+from tidemill.llm.license_scan import COVERED, NOTICES, PHRASES, scan_licenses
 from tidemill.llm.mixing import mix
 from tidemill.llm.near_dedup import near_groups
 from tidemill.llm.packing import pack_documents
@@ -96,7 +96,98 @@ QUERIES: dict[str, Query] = {
     name: query for name, query in list(globals().items()) if name.startswith("op")
 }
 
+
+def _values(templates: dict[str, str]) -> str:
+    return ", ".join(f"('{words}', '{label}')" for words, label in templates.items())
+
+
+_LICENSES = rf"""
+    WITH RECURSIVE phrases AS (
+        SELECT string_split(p, ' ') AS p, label FROM (VALUES {_values(PHRASES)}) v(p, label)),
+    notices AS (
+        SELECT row_number() OVER () AS notice, string_split(p, ' ') AS p, label
+        FROM (VALUES {_values(NOTICES)}) v(p, label)),
+    d AS (
+        SELECT row_number() OVER () AS id, doc_id,
+               regexp_extract_all(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                             'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM documents),
+    places AS (
+        SELECT id, i, w[i + 1 : i + 2] AS two, w[i + 1 : i + 3] AS three, w[i + 1 : i + 4] AS four
+        FROM (SELECT id, w, unnest(range(len(w))) AS i FROM d)),
+    base AS (SELECT id, i, label FROM places JOIN phrases ON p = CASE len(p) WHEN 2 THEN two ELSE three END),
+    grams AS (
+        SELECT notice, j, p[j + 1 : j + 4] AS four
+        FROM (SELECT notice, p, unnest(range(len(p) - 3)) AS j FROM notices)),
+    hits AS (
+        SELECT id, notice, min(i) AS first
+        FROM (SELECT id, i, notice, i - j AS diagonal FROM places JOIN grams USING (four))
+        GROUP BY id, notice, diagonal),
+    around AS (
+        SELECT DISTINCT id, notice, first, p AS t, w[greatest(first - 64, 0) + 1 : first + 64] AS w
+        FROM hits JOIN d USING (id) JOIN notices USING (notice)),
+    aligned AS (
+        SELECT id, notice, first, t, w, 0 AS k, range(len(t) + 1) AS row, len(t) AS best FROM around
+        UNION ALL
+        SELECT id, notice, first, t, w, k, row, least(best, row[len(row)])
+        FROM (
+            SELECT id, notice, first, t, w, k + 1 AS k, best,
+                   list_transform(range(len(t) + 1), lambda j: j + list_min(c[1 : j + 1])) AS row
+            FROM (
+                SELECT *, list_prepend(0, list_transform(range(1, len(t) + 1), lambda j:
+                    least(row[j + 1] + 1,
+                          row[j] + CASE WHEN t[j] = w[k + 1] THEN 0 ELSE 1 END) - j)) AS c
+                FROM aligned WHERE k < len(w)))),
+    shares AS (
+        SELECT id, notice, first, 1 - min(best) / len(any_value(t)) AS share
+        FROM aligned GROUP BY id, notice, first),
+    won AS (
+        SELECT id, label FROM (
+            SELECT *, max(share) OVER (PARTITION BY id, first) AS most FROM shares)
+        JOIN notices USING (notice) WHERE share = most AND round(share * 100, 6) >= {COVERED}),
+    every AS (SELECT id, label FROM base UNION SELECT id, label FROM won),
+    b AS (
+        SELECT id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word,
+               string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
+        FROM base GROUP BY id),
+    l AS (SELECT id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM every GROUP BY id),
+    s AS (SELECT id, max(share) AS share FROM shares GROUP BY id)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+           coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+           CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0.0)::DOUBLE END AS score
+    FROM d LEFT JOIN b USING (id) LEFT JOIN l USING (id) LEFT JOIN s USING (id)
+"""
+
 ORACLES: dict[str, str] = {
+    "op8_license_scan": _LICENSES,
+    "op9_minhash_near_dedup": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id,
+                   regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        sets AS (
+            SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                   ELSE list_distinct(list_transform(range(1, len(w) - 1),
+                        lambda i: array_to_string(w[i : i + 2], ' '))) END AS s
+            FROM d),
+        grams AS (SELECT doc_id, len(s) AS n, unnest(s) AS gram FROM sets),
+        links AS (
+            SELECT a.doc_id AS x, b.doc_id AS y
+            FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n
+            HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+        reached AS (
+            SELECT doc_id AS x, doc_id AS y FROM d
+            UNION
+            SELECT reached.x, links.y FROM reached JOIN links ON reached.y = links.x),
+        least_of AS (SELECT x AS doc_id, min(y) AS component_id FROM reached GROUP BY x)
+        SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM sets JOIN least_of USING (doc_id)
+    """,
     "op3_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id,
