@@ -138,7 +138,7 @@ def test_a_notice_is_found_whole_and_with_words_put_in(docs_of):
     assert (rows[0]["labels"], rows[0]["score"]) == ("mit", 1.0)
     assert rows[1]["labels"] == "mit" and rows[1]["score"] == 1 - 2 / len(notice.split(" "))
     assert 0.0 < rows[2]["score"] < 0.7 and rows[2]["labels"] == ""
-    spans = license_spans(docs_of([(0, LICENSED[13])])).where("template >= 4000").collect()
+    spans = license_spans(docs_of([(0, LICENSED[13])])).where("template is not null").collect()
     best = max(spans, key=lambda r: r["votes"])
     assert best["label"] == "mit" and best["last"] - best["first"] >= 10  # over several diagonals
 
@@ -191,9 +191,9 @@ def test_spans_are_found_wherever_blocks_end(docs_of):
             assert (r["n_base"], r["first_word"], r["last_word"], r["labels"]) == (2, r["doc_id"], r["doc_id"] + 3, "gpl")
             assert r["n_words"] == r["doc_id"] + 6
         else:
-            assert (r["labels"], r["n_words"]) == ("mit", r["doc_id"] + 26)
+            assert (r["labels"], r["n_words"]) == ("mit", r["doc_id"] + len(notice.split(" ")) + 1)
     many = scan_licenses(docs_of([(0, (notice + " z ") * 1500)])).first()
-    assert (many["labels"], many["n_words"]) == ("mit", 1500 * 26)
+    assert (many["labels"], many["n_words"]) == ("mit", 1500 * (len(notice.split(" ")) + 1))
 
 
 def test_notices_are_a_table(spark, docs_of):
