@@ -8,11 +8,12 @@ from fractions import Fraction
 from pathlib import Path
 
 import pytest
-from conftest import ROOT
+from conftest import DATA, ROOT
 from pyspark.sql import functions as F
 
 from tidemill.operators import ranking
 from tidemill.operators.ranking import LINK, lay_out, open_layout, pagerank, rank_step, save_layout
+from tidemill.plans.queries import QUERIES, supply_graph
 from tidemill.session import new_folder
 
 
@@ -180,3 +181,29 @@ def test_ranks_are_equal_when_executors_are_lost(tmp_path):
     )
     result = [line for line in run.stdout.splitlines() if line.startswith("RESULT")]
     assert result == ["RESULT True 89 ['lost-2', 'lost-6']"], run.stdout[-2000:] + run.stderr[-3000:]
+
+
+def test_the_exact_query_uses_as_many_tasks_as_its_links_need(spark, monkeypatch):
+    laid, profiled, lay, profile = [], [], ranking.lay_out, ranking.profile_links
+    monkeypatch.setattr(ranking, "PARTITION_ROWS", 1000)
+    monkeypatch.setattr(ranking, "lay_out", lambda *a, **k: laid.append(lay(*a, **k)) or laid[-1])
+    monkeypatch.setattr(ranking, "profile_links", lambda e: profiled.append(plan_of(e)) or profile(e))
+    folder = f"{DATA}/sf0.001"
+    ranks = exact(QUERIES["pagerank_exact"](spark, folder))
+    total = supply_graph(spark, folder).count()
+    assert [links.partitions % n for links, n in zip(laid, (5, 3), strict=True)] == [0, 0]
+    assert all(total / links.partitions <= 1000 for links in laid)
+    # neither a fixed number of tasks nor a sort of all that a task sends
+    assert not any("RoundRobin" in text for text in profiled)
+    assert {s: float(r) for s, r in ranks.items()} == pytest.approx(
+        {r["source"]: r["rank"] for r in pagerank(supply_graph(spark, folder), weight="raw", iters=3).collect()}
+    )
+
+
+def test_exact_links_that_come_often_or_share_are_still_divided(spark):
+    pairs = [("a", "b")] * 3 + [("a", "c"), ("b", "a"), ("c", "a"), ("c", "b")]
+    edges = spark.createDataFrame(pairs, "source string, target string")
+    for weight, allowed in (("raw", 0), ("out_degree", Fraction(1, 10**8))):
+        found = exact(pagerank(edges, weight=weight, iters=3, exact=True))
+        expected = by_fractions(pairs, weight, 3)
+        assert all(abs(Fraction(found[s]) - r) <= allowed for s, r in expected.items())

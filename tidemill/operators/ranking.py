@@ -28,7 +28,9 @@ DAMPING = 0.85
 ITERATIONS = 10
 CUT_EVERY = 5
 HEAVY_ROWS = 1_000_000  # a source with fewer links is never spread
-PARTITION_ROWS = 10_000_000  # links in a partition, unless the caller says how many
+#: Links in a partition, whatever the caller's number of them: a task that counts, sorts and
+#: joins its links at once holds some 500 bytes of each, up to 800 if they are not cached.
+PARTITION_ROWS = 1_000_000
 _PROFILE_BUCKETS = 4096
 #: Exact ranks are decimals of this many digits behind the point and sixteen before it.
 EXACT_DIGITS = 12
@@ -134,6 +136,9 @@ def lay_out(
 ) -> Links:
     """Adds up equal links and brings each source's links together.
 
+    ``num_partitions`` is how many are made of few links. Where one would hold more than
+    ``PARTITION_ROWS``, all are cut into as many equal parts as it takes.
+
     Runs a counting job, and where sources are heavy writes their links; call it once for
     any number of steps.
     """
@@ -142,7 +147,7 @@ def lay_out(
     spark = edges.sparkSession
     links = edges.select("source", "target")
     profile = profile or profile_links(links)
-    partitions = num_partitions or _partitions_for(links, profile)
+    partitions = _partitions_for(links, profile, num_partitions)
     heavy, tables = _heavy_sources(links, profile, partitions, heavy_rows)
     near = links
     if heavy is not None:
@@ -213,11 +218,16 @@ def profile_links(links: DataFrame) -> Profile:
     return Profile({row["bucket"]: row["n"] for row in rows}, fingerprint)
 
 
-def _partitions_for(links: DataFrame, profile: Profile) -> int:
+def _partitions_for(links: DataFrame, profile: Profile, asked: int | None = None) -> int:
     """Enough for the links and the cores. If the session shuffles into about
-    that many, exactly as many, so that ranks come out where they are needed."""
+    that many, exactly as many, so that ranks come out where they are needed.
+
+    Of what the caller asked for, a multiple that is enough for the links."""
     spark = links.sparkSession
-    wanted = max(spark.sparkContext.defaultParallelism, -(-profile.total // PARTITION_ROWS))
+    least = -(-profile.total // PARTITION_ROWS)
+    if asked:
+        return asked * max(1, -(-least // asked))
+    wanted = max(spark.sparkContext.defaultParallelism, least)
     usual = shuffle_partitions(spark)
     return usual if wanted <= usual <= 4 * wanted else wanted
 
@@ -280,8 +290,12 @@ def _next_ranks(
     if exact:
         # decimals add up to the same whatever the order, and no step of this loses a digit
         # but the two casts, each of which rounds one number by itself
+        wide = f"decimal(38,{EXACT_DIGITS})"
         times = F.col("rank") * F.col("n").cast("decimal(9,0)")
-        each = (times / F.col("degree").cast("decimal(10,0)")).cast(f"decimal(38,{EXACT_DIGITS})")
+        divided = (times / F.col("degree").cast("decimal(10,0)")).cast(wide)
+        # most links are there once and raw ones are shares of nothing: the rank as it is
+        whole = (F.col("n") == 1) & (F.col("degree") == 1)
+        each = F.when(whole, F.col("rank").cast(wide)).otherwise(divided)
         damped = F.sum(each).cast(f"decimal(34,{EXACT_DIGITS})") * _two_digits(damping)
         rank = (damped + _two_digits(_floor(damping))).cast(EXACT_RANK)
         return passed.groupBy("target").agg(rank.alias("rank")).withColumnRenamed("target", "source")
@@ -403,6 +417,7 @@ def pagerank(
         links = lay_out(edges, profile=profile, exact=exact, **options)
         if saved:
             links = save_layout(links, kept)
+    cache = cache and iters - done > 1  # a single step reads the links once
     if cache:
         for part in links.parts():
             part.persist(StorageLevel.MEMORY_AND_DISK)

@@ -209,7 +209,8 @@ def pagerank_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges, snapshots = supply_graph(spark, sf_dir), new_folder(spark, "snapshots")
     options = {"weight": "raw", "exact": True, "snapshot_dir": snapshots}
     pagerank(edges, iters=1, num_partitions=5, **options)
-    ranks = pagerank(edges.repartition(7), iters=3, num_partitions=3, **options)
+    # by a column: as many partitions as the session has, and no task sorts what it sends
+    ranks = pagerank(edges.repartition("target"), iters=3, num_partitions=3, **options)
     return ranks.select("source", F.col("rank").cast("string").alias("rank"))
 
 
