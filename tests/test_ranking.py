@@ -267,3 +267,19 @@ def test_one_step_over_links_as_they_are(spark, weight, missing):
     assert found == pytest.approx({r["source"]: r["rank"] for r in laid.collect()})
     with pytest.raises(ValueError):
         rank_edges(edges, ranks, weight="other")
+
+
+def some_links(spark):
+    links = [(f"p{i % 50}", f"p{i * 7 % 50}") for i in range(500)]
+    return links, spark.createDataFrame(links, "source string, target string")
+
+
+@pytest.mark.parametrize("asked", [1, 3, 60])
+def test_partitions_that_were_asked_for_are_cut_when_they_are_too_large(spark, monkeypatch, asked):
+    links, edges = some_links(spark)
+    assert lay_out(edges, weight="raw", num_partitions=asked).partitions == asked
+    monkeypatch.setattr(ranking, "PARTITION_ROWS", 10)
+    laid = lay_out(edges, weight="raw", num_partitions=asked)
+    assert laid.partitions == {1: 50, 3: 51, 60: 60}[asked] == laid.cold.rdd.getNumPartitions()
+    ranks = pagerank(edges, weight="raw", iters=3, num_partitions=asked, cache=False)
+    assert_ranks(ranks, brute_force(links, "raw", 3))
