@@ -283,3 +283,21 @@ def test_partitions_that_were_asked_for_are_cut_when_they_are_too_large(spark, m
     assert laid.partitions == {1: 50, 3: 51, 60: 60}[asked] == laid.cold.rdd.getNumPartitions()
     ranks = pagerank(edges, weight="raw", iters=3, num_partitions=asked, cache=False)
     assert_ranks(ranks, brute_force(links, "raw", 3))
+
+
+def test_a_task_holds_a_million_links(spark):
+    """Some 500 bytes each are held at once: 10 million were more than a task may take."""
+    _, edges = some_links(spark)
+    for total in (72_000_000, 432_000_000):
+        many = ranking.Profile({0: total}, "")
+        assert total / ranking._partitions_for(edges, many) <= 1_000_000
+
+
+def test_a_single_step_keeps_no_links_in_memory(spark, monkeypatch):
+    links, edges = some_links(spark)
+    kept, persist = [], type(edges).persist
+    monkeypatch.setattr(type(edges), "persist", lambda df, level: kept.append(1) or persist(df, level))
+    assert_ranks(pagerank(edges, weight="raw", iters=1), brute_force(links, "raw", 1))
+    assert not kept
+    pagerank(edges, weight="raw", iters=2)
+    assert kept
