@@ -258,3 +258,34 @@ def test_a_token_is_found_without_reading_other_codes(spark, docs_of, tmp_path):
     assert "EqualTo(part,1)" in pushed and "EqualTo(segment,2)" in pushed
     schemas = [x._jdf.queryExecution().executedPlan().toString() for x in (segments.select("part", "segment", "start"),)]
     assert "codes" not in schemas[0]
+
+
+def test_what_was_known_longer_ago_is_not_encoded_again(monkeypatch):
+    """Words that move, and new stretches made of a word that is known, only need new signs."""
+    plain = Tokenizer.from_file(default_vocabulary())
+    words = [f"word{chr(97 + i)}{chr(97 + j)}".replace("word", "w") for i in range(26) for j in range(26)]
+    encoder = Encoder(default_vocabulary(), kept=900)
+    encoder.encode(["x " + " ".join(words)])
+    given, library = [], encoder._tokenizer
+
+    class Watched:
+        def encode_batch_fast(self, texts, **options):
+            given.extend(texts)
+            return library.encode_batch_fast(texts, **options)
+
+    monkeypatch.setattr(encoder, "_tokenizer", Watched())
+    text = "x " + " ".join(words[::2]) + " " + " ".join(f"{w}," for w in words[1::2])
+    (ids,) = encoder.encode([text])
+    assert encoder._before and set(words[::2]) <= set(encoder._behind_space)  # moved
+    assert sum(map(len, given)) < 10
+    assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_stretches_stay_right_when_they_move_and_change_places():
+    plain, rng = Tokenizer.from_file(default_vocabulary()), random.Random(3)
+    encoder = Encoder(default_vocabulary(), kept=40)
+    stems = ["a", "cat", "Dogs", "é", "x1", "don't", "(see", "it", "the", "zebra", "\u4f60", "m.\nN"]
+    for _ in range(60):
+        texts = [" ".join(rng.choice(stems) + rng.choice(["", ",", ".", "!?", "s"]) for _ in range(12)) for _ in range(3)]
+        found = [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts)]
+        assert found == [plain.encode(t, add_special_tokens=False).ids for t in texts]

@@ -14,7 +14,8 @@ from __future__ import annotations
 
 import os
 import re
-from itertools import chain
+from collections import defaultdict
+from itertools import chain, compress, count, islice, repeat
 
 from tidemill.llm.common import worker_table
 
@@ -49,22 +50,20 @@ def _only_single_spaces(text: str) -> bool:
     return text.isascii() or not _OTHER_SPACES.search(text)
 
 
-class _Stretches(dict):
+class _Stretches(defaultdict):
     """Numbers stretches as they come, and keeps their ids: those of number k are
     ``pool[start[k] : start[k] + length[k]]``. What came last and has no ids yet is ``new``."""
 
     def __init__(self, numpy) -> None:
-        super().__init__()
-        self.new: list[str] = []
+        super().__init__(count().__next__)
         self._numpy = numpy
         self.start, self.length = numpy.zeros(1 << 16, "i8"), numpy.zeros(1 << 16, "i4")
         self.pool = numpy.zeros(1 << 18, "<u4")
-        self._held, self._used = 0, 0  # stretches with ids, ids
+        self.held, self._used = 0, 0  # stretches with ids, ids
 
-    def __missing__(self, stretch: str) -> int:
-        self[stretch] = number = len(self)
-        self.new.append(stretch)
-        return number
+    @property
+    def new(self) -> list[str]:
+        return list(islice(reversed(self), len(self) - self.held))[::-1]
 
     def _room(self, array, size: int):
         if size <= len(array):
@@ -73,19 +72,31 @@ class _Stretches(dict):
         larger[: len(array)] = array
         return larger
 
-    def keep(self, found: dict[str, bytes]) -> None:
-        """Takes the ids of all that is new."""
-        numpy, n = self._numpy, len(self.new)
-        ids = list(map(found.__getitem__, self.new))
-        length = numpy.fromiter(map(len, ids), "i8", n) // ID_BYTES
-        total = int(length.sum())
-        self.start, self.length = (self._room(a, self._held + n) for a in (self.start, self.length))
-        self.pool = self._room(self.pool, self._used + total)
-        own = slice(self._held, self._held + n)
-        self.length[own] = length
-        self.start[own] = self._used + numpy.cumsum(length) - length
-        self.pool[self._used : self._used + total] = numpy.frombuffer(b"".join(ids), "<u4")
-        self._held, self._used, self.new = self._held + n, self._used + total, []
+    def keep(self, found: dict[str, bytes], before: _Stretches, numbers) -> None:
+        """Takes the ids of all that is new, by its numbers in ``before`` or, where these are
+        -1, as found."""
+        numpy, new = self._numpy, self.new
+        n = len(new)
+        numbers = numpy.concatenate((numbers, numpy.full(n - len(numbers), -1)))
+        other = numbers < 0
+        ids = list(map(found.__getitem__, compress(new, other.tolist())))
+        self.start, self.length = (self._room(a, self.held + n) for a in (self.start, self.length))
+        length = numpy.fromiter(map(len, ids), "i8", len(ids)) // ID_BYTES
+        self._append(self.held + numpy.flatnonzero(other), numpy.frombuffer(b"".join(ids), "<u4"), length)
+        taken = numbers[~other]
+        self._append(self.held + numpy.flatnonzero(~other), before.gather(taken)[0], before.length[taken])
+        self.held += n
+
+    def _append(self, numbers, ids, length) -> None:
+        """Puts ids of stretches, which stand one behind the other, into the pool."""
+        self.pool = self._room(self.pool, self._used + len(ids))
+        self.pool[self._used : self._used + len(ids)] = ids
+        self.length[numbers] = length
+        self.start[numbers] = self._used + self._numpy.cumsum(length, dtype="i8") - length
+        self._used += len(ids)
+
+    def has_ids(self, stretch: str) -> bool:
+        return self.get(stretch, self.held) < self.held
 
     def ids(self, stretch: str) -> bytes:
         k = self[stretch]
@@ -131,11 +142,10 @@ class Encoder:
         known, before, plain = self._behind_space, self._before, self._known
         if len(plain) > self._kept // 4:
             plain.clear()
-        found = {s: before.ids(s) for s in known.new if s in before}
-        words, heads, tails, odd, composed = [], {}, set(), [], []
-        for s in known.new:
-            if s in found:
-                continue
+        new = known.new
+        numbers = self._numpy.fromiter(map(before.get, new, repeat(-1)), "i8", len(new))
+        found, words, heads, tails, odd, composed = {}, [], {}, set(), [], []
+        for s in compress(new, (numbers < 0).tolist()):
             if s.isalpha():
                 words.append(s)
                 continue
@@ -150,13 +160,12 @@ class Encoder:
             composed.append((s, head, rest))
             heads[head] = None
             tails.update(rest)
-        newly, waiting = set(words), set(known.new)
         for head in heads:
-            if head in found or head in newly:
-                continue
-            if head in known and head not in waiting:
+            if head in before:
+                found[head] = before.ids(head)
+            elif known.has_ids(head):
                 found[head] = known.ids(head)
-            else:
+            elif head not in known:  # else it is among the words
                 words.append(head)
                 known[head]  # gets a number of its own
         self._together(words, " ", found)
@@ -165,7 +174,7 @@ class Encoder:
         plain["\n"] = self._feed
         for s, head, rest in composed:
             found[s] = found[head] + b"".join(map(plain.__getitem__, rest))
-        known.keep(found)
+        known.keep(found, before, numbers)
 
     def _together(self, strings: list[str], front: str, into: dict[str, bytes]) -> None:
         """Encodes many strings without line feeds as one, with one behind each.
@@ -203,7 +212,7 @@ class Encoder:
         counts = numpy.fromiter((len(cut) - 1 for cut in cuts), "i8", len(cuts))
         behind = chain.from_iterable(cut[1:] for cut in cuts)
         numbers = numpy.fromiter(map(known.__getitem__, behind), "i8", int(counts.sum()))
-        if known.new:
+        if len(known) > known.held:
             self._learn()
         ids, ends = known.gather(numbers)
         last = numpy.concatenate(([0], ends))[numpy.cumsum(counts)].tolist()
