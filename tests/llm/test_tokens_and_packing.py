@@ -289,3 +289,29 @@ def test_stretches_stay_right_when_they_move_and_change_places():
         texts = [" ".join(rng.choice(stems) + rng.choice(["", ",", ".", "!?", "s"]) for _ in range(12)) for _ in range(3)]
         found = [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts)]
         assert found == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_lines_are_cut_and_words_go_to_the_library_once():
+    """Ends and beginnings of lines are remembered each, not every pair of them."""
+    plain = Tokenizer.from_file(default_vocabulary())
+    words = [f"w{chr(97 + i)}" for i in range(26)]
+    text = "x " + " ".join(f"{w}.\n{v.title()}" for w in words for v in words)
+    encoder = Encoder(default_vocabulary())
+    (ids,) = encoder.encode([text])
+    assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert len(encoder._behind_space) <= 3 * len(words)  # words, with their stops, and lines
+
+
+@pytest.mark.parametrize("content", [None, "r q", "q\nr", "Z\n", "\nqq"])
+def test_ids_around_line_feeds_and_between_words_that_were_not_together(tmp_path, content):
+    library = Tokenizer.from_file(default_vocabulary())
+    if content:
+        library.add_special_tokens([content])
+    library.save(str(tmp_path / "vocabulary.json"))
+    texts = [
+        "x q, r s", "\nA b\nC", "a.\n", "a\n b\n", "a b\n\nC d\nE", "a b\n\n", "x q\nr,\nq Z, Z", "a\t\nb c\nD",
+        "x Été.\nÉté, r'\n's q\n...\nq-r İ\n你好", "x b\n\t", "a'\nll b's\n12 c\n", "w u.qq",
+    ]
+    found = Encoder(str(tmp_path / "vocabulary.json")).encode(texts)
+    expected = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in found] == expected

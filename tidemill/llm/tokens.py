@@ -2,7 +2,8 @@
 
 The vocabulary cuts a text into pieces before it merges bytes, and every white-space
 run that ends in a space gives that space to the word behind it. A text may therefore be
-cut in front of any single space that a word follows without changing its ids. The
+cut in front of any single space that a word follows without changing its ids, and in
+front of single line feeds. The
 tokenizers library encodes each distinct stretch between such cuts once and its ids
 are kept, in bounded number, for the next time. Texts with runs of white space, with
 other than ASCII white space or with the content of an added token of the vocabulary
@@ -31,9 +32,10 @@ _OTHER_SPACES = re.compile(
 #: it) and single line feeds: neighbours of these kinds are never in one piece.
 _LETTERS, _SIGNS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff", "!-&(-/:-@\\[-`{-~"
 _KINDS = re.compile(f"[{_LETTERS}]+|[{_SIGNS}]+|\n")
-_ONLY_KINDS = re.compile(f"[{_LETTERS}]+(?:[{_LETTERS}{_SIGNS}]|\n(?!\n|$))+", re.ASCII)
+_ONLY_KINDS = re.compile(f"\n?[{_LETTERS}]+(?:[{_LETTERS}{_SIGNS}]|\n(?!\n|$))+", re.ASCII)
 _END_SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _CONTROLS = tuple("\t\x0b\x0c\r\x1c\x1d\x1e\x1f")
+_IN_TOKENS = {" ": "\u0120", "\n": "\u010a"}  # how the vocabulary writes them
 
 
 def default_vocabulary() -> str:
@@ -72,36 +74,15 @@ class _Stretches(defaultdict):
         larger[: len(array)] = array
         return larger
 
-    def keep(self, found: dict[str, bytes], before: _Stretches, numbers) -> None:
-        """Takes the ids of all that is new, by its numbers in ``before`` or, where these are
-        -1, as found."""
-        numpy, new = self._numpy, self.new
-        n = len(new)
-        numbers = numpy.concatenate((numbers, numpy.full(n - len(numbers), -1)))
-        other = numbers < 0
-        ids = list(map(found.__getitem__, compress(new, other.tolist())))
-        self.start, self.length = (self._room(a, self.held + n) for a in (self.start, self.length))
-        length = numpy.fromiter(map(len, ids), "i8", len(ids)) // ID_BYTES
-        self._append(self.held + numpy.flatnonzero(other), numpy.frombuffer(b"".join(ids), "<u4"), length)
-        taken = numbers[~other]
-        self._append(self.held + numpy.flatnonzero(~other), before.gather(taken)[0], before.length[taken])
-        self.held += n
-
-    def _append(self, numbers, ids, length) -> None:
+    def put(self, numbers, ids, length) -> None:
         """Puts ids of stretches, which stand one behind the other, into the pool."""
+        self.start, self.length = (self._room(a, len(self)) for a in (self.start, self.length))
         self.pool = self._room(self.pool, self._used + len(ids))
         self.pool[self._used : self._used + len(ids)] = ids
         self.length[numbers] = length
         self.start[numbers] = self._used + self._numpy.cumsum(length, dtype="i8") - length
         self._used += len(ids)
 
-    def has_ids(self, stretch: str) -> bool:
-        return self.get(stretch, self.held) < self.held
-
-    def ids(self, stretch: str) -> bytes:
-        k = self[stretch]
-        return self.pool[self.start[k] : self.start[k] + self.length[k]].tobytes()
-
     def gather(self, numbers):
         """The ids of stretches one behind the other, and where those of each end."""
         numpy, length = self._numpy, self.length[numbers]
@@ -122,9 +103,15 @@ class Encoder:
         self._tokenizer = Tokenizer.from_file(vocabulary)
         added = self._tokenizer.get_added_tokens_decoder().values()
         self._added = tuple(token.content for token in added)
-        #: Strings with line feeds between them could hold such a token that none holds.
-        self._apart = any("\n" in content for content in self._added)
-        self._behind_space = _Stretches(numpy)  # by what stands behind a space
+        #: Strings with these between them could hold an added token that none holds.
+        self._apart = {front: any(front in content for content in self._added) for front in _IN_TOKENS}
+        vocabulary = self._tokenizer.get_vocab()
+        #: By what stands in front of strings: whether a token, by its id, begins with it.
+        self._begins = {front: numpy.zeros(max(vocabulary.values()) + 1, bool) for front in _IN_TOKENS}
+        for token, k in vocabulary.items():
+            for front, written in _IN_TOKENS.items():
+                self._begins[front][k] = token.startswith(written)
+        self._behind_space = _Stretches(numpy)  # by what stands behind a space, or from a line feed on
         self._before = _Stretches(numpy)  # the same, of longer ago
         self._known: dict[str, bytes] = {}  # by the string itself
         self._kept = kept
@@ -137,74 +124,114 @@ class Encoder:
     def _by_stretches(self, text: str) -> bool:
         return _only_single_spaces(text) and not any(map(text.__contains__, self._added))
 
+    def _cut(self, text: str) -> list[str]:
+        """What stands in front of the first cut, and the stretches. Those that begin with
+        a line feed have no space in front."""
+        if not self._by_stretches(text):
+            return [text]
+        if "\n" in text and "\n\n" not in text and not any(map(text.__contains__, _CONTROLS)):
+            text = text.replace("\n", " \n")
+        return text.split(" ")
+
     def _learn(self) -> None:
-        """Encodes the new stretches behind a space, the parts of composed ones once each."""
+        """Encodes the new stretches, the parts of composed ones once each."""
+        numpy = self._numpy
         known, before, plain = self._behind_space, self._before, self._known
         if len(plain) > self._kept // 4:
             plain.clear()
         new = known.new
-        numbers = self._numpy.fromiter(map(before.get, new, repeat(-1)), "i8", len(new))
-        found, words, heads, tails, odd, composed = {}, [], {}, set(), [], []
-        for s in compress(new, (numbers < 0).tolist()):
+        old = numpy.fromiter(map(before.get, new, repeat(-1)), "i8", len(new))
+        moved = known.held + numpy.flatnonzero(old >= 0)
+        unknown = (old < 0).tolist()
+        words, lines, odd, composed = {}, {}, {}, {}  # by number
+        for k, s in compress(enumerate(new, known.held), unknown):
             if s.isalpha():
-                words.append(s)
+                words[k] = s
                 continue
             stem = s.rstrip(_END_SIGNS)
-            if stem.isalpha() and stem.isascii() and stem != s:
-                head, rest = stem, (s[len(stem) :],)
-            elif _ONLY_KINDS.fullmatch(s):
-                head, *rest = _KINDS.findall(s)
+            word = stem.removeprefix("\n")
+            if not word.isalpha() or not word.isascii() and stem != s:
+                if not _ONLY_KINDS.fullmatch(s):
+                    odd[k] = s
+                    continue
+                word, *rest = _KINDS.findall(s.removeprefix("\n"))
+                head = "\n" + word if s[0] == "\n" else word
+                composed[k] = head, rest
+            elif stem == s:
+                lines[k] = s
             else:
-                odd.append(s)
-                continue
-            composed.append((s, head, rest))
-            heads[head] = None
-            tails.update(rest)
+                composed[k] = stem, (s[len(stem) :],)
+        heads, again = dict.fromkeys(head for head, _ in composed.values()), {}
         for head in heads:
-            if head in before:
-                found[head] = before.ids(head)
-            elif known.has_ids(head):
-                found[head] = known.ids(head)
-            elif head not in known:  # else it is among the words
-                words.append(head)
-                known[head]  # gets a number of its own
-        self._together(words, " ", found)
-        found.update(zip(odd, self._library([" " + s for s in odd]), strict=True))
-        self._together([t for t in tails.difference(plain) if t != "\n"], "", plain)
+            if head not in known:  # gets a number of its own
+                k = known[head]
+                if head in before:
+                    again[k] = before[head]
+                else:
+                    (words if head.isalpha() else lines)[k] = head
+        moved = numpy.concatenate((moved, numpy.fromiter(again, "i8", len(again))))
+        old = numpy.concatenate((old[old >= 0], numpy.fromiter(again.values(), "i8", len(again))))
+        known.put(moved, before.gather(old)[0], before.length[old])
+        for front, found in ((" ", words), ("\n", lines)):
+            strings = [s.removeprefix("\n") for s in found.values()]
+            known.put(numpy.fromiter(found, "i8", len(found)), *self._together(strings, front))
+        self._put(odd, self._library([s if s[:1] == "\n" else " " + s for s in odd.values()]))
         plain["\n"] = self._feed
-        for s, head, rest in composed:
-            found[s] = found[head] + b"".join(map(plain.__getitem__, rest))
-        known.keep(found, before, numbers)
+        tails = list(set(chain.from_iterable(rest for _, rest in composed.values())).difference(plain))
+        if self._apart["\n"]:
+            plain.update(zip(tails, self._library(tails), strict=True))
+        else:
+            ids, length = self._together(tails, "\n")
+            ends = numpy.cumsum(length).tolist()
+            for tail, a, b in zip(tails, [0, *ends], ends, strict=False):
+                plain[tail] = ids[a:b].tobytes()[len(self._feed) :]
+        numbers = [known[head] for head, _ in composed.values()]
+        ids, ends = known.gather(numpy.array(numbers, "i8"))
+        raw, ends = ids.tobytes(), (ID_BYTES * ends).tolist()
+        self._put(
+            composed,
+            [
+                raw[a:b] + b"".join(map(plain.__getitem__, rest))
+                for a, b, (_, rest) in zip([0, *ends], ends, composed.values(), strict=False)
+            ],
+        )
+        known.held = len(known)
+
+    def _put(self, numbers: dict[int, object], found: list[bytes]) -> None:
+        numpy = self._numpy
+        length = numpy.fromiter(map(len, found), "i8", len(found)) // ID_BYTES
+        ids = numpy.frombuffer(b"".join(found), "<u4")
+        self._behind_space.put(numpy.fromiter(numbers, "i8", len(found)), ids, length)
 
-    def _together(self, strings: list[str], front: str, into: dict[str, bytes]) -> None:
-        """Encodes many strings without line feeds as one, with one behind each.
+    def _together(self, strings: list[str], front: str):
+        """Encodes many strings at once, ``front`` before each: all ids and how many each has.
 
-        A line feed between these strings is a piece of its own, so the ids of
-        the whole, cut at its id, are those of the strings.
+        Behind any piece a space or a line feed begins a new one, and the strings hold neither,
+        so each begins with a token that begins with it, and no other token does.
         """
-        numpy, apart = self._numpy, strings if self._apart else []
-        strings = [] if self._apart else strings
-        feed = numpy.frombuffer(self._feed, "<u4")
+        numpy, begins = self._numpy, self._begins[front]
         groups = [strings[i : i + TOGETHER] for i in range(0, len(strings), TOGETHER)]
-        joined = [front + f"\n{front}".join(group) + "\n" for group in groups]
+        joined = [] if self._apart[front] else [front + front.join(group) for group in groups]
         encoded = self._tokenizer.encode_batch_fast(joined, add_special_tokens=False)
-        for group, found in zip(groups, encoded, strict=True):
-            ids = numpy.array(found.ids, "<u4")
-            ends = numpy.flatnonzero(ids == feed[0]).tolist()
-            if len(feed) != 1 or len(ends) != len(group):
-                apart += group
-                continue
-            raw, start = ids.tobytes(), 0
-            for string, end in zip(group, ends, strict=True):
-                into[string] = raw[ID_BYTES * start : ID_BYTES * end]
-                start = end + 1
-        into.update(zip(apart, self._library([front + s for s in apart]), strict=True))
+        ids, lengths = [numpy.zeros(0, "<u4")], [numpy.zeros(0, "i8")]
+        for group, found in zip(groups, encoded or repeat(None)):
+            own = numpy.array(found.ids, "<u4") if found else ids[0]
+            starts = numpy.flatnonzero(begins[own])
+            if len(starts) == len(group):
+                length = numpy.diff(starts, append=len(own))
+            else:
+                each = self._library([front + s for s in group])
+                own = numpy.frombuffer(b"".join(each), "<u4")
+                length = numpy.fromiter(map(len, each), "i8", len(each)) // ID_BYTES
+            ids.append(own)
+            lengths.append(length)
+        return numpy.concatenate(ids), numpy.concatenate(lengths)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """One value per text; of a null or empty text an empty one."""
         numpy = self._numpy
         texts = [text or "" for text in texts]
-        cuts = [text.split(" ") if self._by_stretches(text) else [text] for text in texts]
+        cuts = [self._cut(text) for text in texts]
         fronts = self._library([cut[0] for cut in cuts])
         if len(self._behind_space) > self._kept // 2:
             self._before, self._behind_space = self._behind_space, _Stretches(numpy)
