@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from corpus import docs_of  # noqa: F401
 from hypothesis import given, settings
@@ -15,6 +16,7 @@ from tokenizers import Tokenizer
 from tidemill.llm.packing import (
     _exact_fillings,
     _maximal_fillings,
+    _pieces,
     best_fit_decreasing,
     pack,
     pack_documents,
@@ -22,7 +24,7 @@ from tidemill.llm.packing import (
     plan_fillings,
 )
 from tidemill.llm.token_files import Codes, codes_of, encode, find_segment, read_documents, read_segments, token_at, write_token_files
-from tidemill.llm.tokens import Encoder, default_vocabulary
+from tidemill.llm.tokens import Encoder, default_vocabulary, shared_encoder
 from tidemill.session import new_folder
 
 HARD = [
@@ -315,3 +317,17 @@ def test_ids_around_line_feeds_and_between_words_that_were_not_together(tmp_path
     found = Encoder(str(tmp_path / "vocabulary.json")).encode(texts)
     expected = [library.encode(t, add_special_tokens=False).ids for t in texts]
     assert [np.frombuffer(x, "<u4").tolist() for x in found] == expected
+
+
+def test_pieces_of_lines_are_made_of_few_stretches():
+    """What packing reads is cut at line feeds: pieces are whole, and no pair of lines is kept."""
+    plain = Tokenizer.from_file(default_vocabulary())
+    words = [f"p{chr(97 + i)}" for i in range(26)]
+    texts = ["x " + " ".join(f"{w},\n{v.title()}" for v in words) for w in words]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(26)), "text": texts})
+    rows = [r for b in _pieces(default_vocabulary(), 0, 64, True)(iter([batch])) for r in b.to_pylist()]
+    for i, text in enumerate(texts):
+        ids = b"".join(r["ids"] for r in rows if r["doc_id"] == i)
+        assert np.frombuffer(ids, "<u4").tolist() == [*plain.encode(text, add_special_tokens=False).ids, 0]
+    kept = shared_encoder(default_vocabulary())._behind_space
+    assert sum(w.lower().strip("\n,")[:1] == "p" for w in kept) <= 3 * len(words)
