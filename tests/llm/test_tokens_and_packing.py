@@ -24,7 +24,7 @@ from tidemill.llm.packing import (
     plan_fillings,
 )
 from tidemill.llm.token_files import Codes, codes_of, encode, find_segment, read_documents, read_segments, token_at, write_token_files
-from tidemill.llm.tokens import Encoder, default_vocabulary, shared_encoder
+from tidemill.llm.tokens import Encoder, default_vocabulary, parts_of, shared_encoder
 from tidemill.session import new_folder
 
 HARD = [
@@ -331,3 +331,44 @@ def test_pieces_of_lines_are_made_of_few_stretches():
         assert np.frombuffer(ids, "<u4").tolist() == [*plain.encode(text, add_special_tokens=False).ids, 0]
     kept = shared_encoder(default_vocabulary())._behind_space
     assert sum(w.lower().strip("\n,")[:1] == "p" for w in kept) <= 3 * len(words)
+
+
+def test_signs_at_ends_are_remembered_once():
+    """Words and the signs behind them are remembered each, not every pair of them."""
+    plain = Tokenizer.from_file(default_vocabulary())
+    words = [f"{a}{chr(97 + i)}" for i in range(26) for a in ("é", "Q", "x-", "7")]
+    signs = [*",.;:!?)]}'\"", "...", "?!", "'.", "_", "--", ".)"]
+    text = "x " + " ".join(f"{w}{s}" for w in words for s in signs)
+    encoder = Encoder(default_vocabulary())
+    (ids,) = encoder.encode([text])
+    assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert len(encoder._behind_space) <= len(words) + len(signs) + 1
+
+
+def test_signs_stay_where_no_letter_stands_before_them(encoder):
+    texts = [
+        "a ", "a . b", "x — ., ×, ÷; a×, ²! y", "i\u0307. e\u0301, 你好, да. ½.", "q \x1c, \x00. _a_. __.", "a\nb,\n.\n'\nc'.",
+        "x 's, 'S. don't'. '", "w. \U0001f600, \U0001f600a. Ⅷ, ª! º? µ.", "x .. ...a, ,a, a,b, a,b",
+    ]
+    expected = library_ids(encoder, texts)
+    assert encoder.encode(texts) == expected
+    assert [encoder.encode([text])[0] for text in texts] == expected
+
+
+def test_parts_follow_the_bytes_of_texts(monkeypatch):
+    monkeypatch.setattr("tidemill.llm.tokens.BYTES_AT_ONCE", 10)
+    texts = ["a" * n for n in (4, 6, 1, 30, 0, 10, 11)] + [None, "é" * 5, "b"]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(10)), "text": texts})
+    for whole, own in ((batch, texts), (batch.slice(1), texts[1:]), (batch.slice(10), [])):
+        parts = [part.column(1).to_pylist() for part in parts_of(whole, 1)]
+        assert [text for part in parts for text in part] == own
+        assert all(len(part) == 1 or sum(len((text or "").encode()) for text in part) <= 10 for part in parts)
+
+
+def test_ids_are_read_on_demand(spark, docs_of):
+    path = new_folder(spark, "test-tokens")
+    write_token_files(docs_of([(i, t) for i, t in enumerate(HARD[:9])]), path)
+    whole = read_documents(spark, path)
+    without = read_documents(spark, path, with_ids=False)
+    assert without.columns == whole.columns[:-1] and whole.columns[-1] == "ids"
+    assert without.orderBy("doc_id").collect() == whole.drop("ids").orderBy("doc_id").collect()

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemill.llm.common import whole_text
-from tidemill.llm.tokens import ID_BYTES, default_vocabulary, shared_encoder
+from tidemill.llm.tokens import ID_BYTES, default_vocabulary, parts_of, shared_encoder
 from tidemill.session import shuffle_partitions
 from tidemill.sources.snapshots import freeze
 
@@ -45,7 +45,6 @@ END_ID = 0
 NODES = 20_000
 ENUMERATED = 400  # fillings put in order at a time beside one largest piece
 FEW = 64  # pieces left, from which on all fillings are put in order
-TEXTS_AT_ONCE = 32  # so few that their words stay in a processor's caches
 
 Filling = tuple[tuple[int, int], ...]  # (length, times), longest first
 Plan = list[tuple[Filling, int]]
@@ -284,8 +283,7 @@ def _pieces(vocabulary: str, end_id: int, capacity: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = shared_encoder(vocabulary)
         for batch in batches:
-            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
-                part = batch.slice(at, TEXTS_AT_ONCE)
+            for part in parts_of(batch, 1):
                 rows: list[tuple] = []
                 for doc_id, body in zip(
                     part.column(0).to_pylist(), encoder.encode(part.column(1).to_pylist()), strict=True

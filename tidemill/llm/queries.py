@@ -33,7 +33,7 @@ def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "tokens")
     write_token_files(table(spark, sf_dir, "documents"), path)
-    return read_documents(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return read_documents(spark, path, with_ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

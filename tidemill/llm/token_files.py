@@ -21,6 +21,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -30,12 +31,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemill.llm.common import whole_text
-from tidemill.llm.tokens import ID_BYTES, default_vocabulary, shared_encoder
+from tidemill.llm.tokens import ID_BYTES, default_vocabulary, parts_of, shared_encoder
 
 SEGMENT_TOKENS = 1 << 20
 BLOCK_BITS = 512
 MAGIC = b"DAC1"
-TEXTS_AT_ONCE = 32  # so few that their words stay in a processor's caches
 END_ID = 2
 SEGMENTS = (
     "part int, segment int, first_token long, n_tokens long, "
@@ -134,8 +134,7 @@ def _segments(vocabulary: str, end_id: int, segment_tokens: int):
             return pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in SEGMENTS.split(", ")])
 
         for batch in batches:
-            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
-                slice_ = batch.slice(at, TEXTS_AT_ONCE)
+            for slice_ in parts_of(batch, 1):
                 doc_ids = slice_.column(0).to_pylist()
                 for doc_id, body in zip(doc_ids, encoder.encode(slice_.column(1).to_pylist()), strict=True):
                     parts += (body, end)
@@ -179,7 +178,7 @@ def read_segments(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _documents(batches: Iterator[pa.RecordBatch], with_ids: bool = True) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
             codes = Codes(row["codes"])
@@ -195,16 +194,18 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(row["start"] + starts),
                 pa.array(ends - starts),
                 pa.array([zlib.crc32(b) for b in bodies], pa.int64()),
-                pa.array(bodies, pa.binary()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "n_tokens", "ids_crc32", "ids"])
+            if with_ids:
+                columns.append(pa.array(bodies, pa.binary()))
+            names = ["doc_id", "start", "n_tokens", "ids_crc32", "ids"][: len(columns)]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 and ids (4 bytes each) of every document."""
+def read_documents(spark: SparkSession, path: str, *, with_ids: bool = True) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 and on demand ids (4 bytes each) of every document."""
     rows = read_segments(spark, path).select("start", "doc_ids", "doc_ends", "codes")
-    types = "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary"
-    return rows.mapInArrow(_documents, types)
+    types = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids
+    return rows.mapInArrow(partial(_documents, with_ids=with_ids), types)
 
 
 def find_segment(spark: SparkSession, path: str, position: int) -> tuple[int, int, int] | None:

@@ -3,7 +3,9 @@
 The vocabulary cuts a text into pieces before it merges bytes, and every white-space
 run that ends in a space gives that space to the word behind it. A text may therefore be
 cut in front of any single space that a word follows without changing its ids, and in
-front of single line feeds. The
+front of single line feeds, and between a letter or digit and signs. The distinct
+stretches of many texts are found by Arrow, so that each is looked up once for all its
+places, and the signs at their ends are parted from them. The
 tokenizers library encodes each distinct stretch between such cuts once and its ids
 are kept, in bounded number, for the next time. Texts with runs of white space, with
 other than ASCII white space or with the content of an added token of the vocabulary
@@ -16,24 +18,27 @@ from __future__ import annotations
 import os
 import re
 from collections import defaultdict
-from itertools import chain, compress, count, islice, repeat
+from collections.abc import Iterator
+from itertools import compress, count, islice, repeat
+from typing import TYPE_CHECKING
 
 from tidemill.llm.common import worker_table
 
+if TYPE_CHECKING:
+    import pyarrow as pa
+
 ID_BYTES = 4
-KEPT = 800_000  # stretches a worker remembers, half of them from longer ago
-TOGETHER = 256  # new stretches the library gets in one string
+KEPT = 600_000  # stretches a worker remembers, half of them from longer ago
+TOGETHER = 64  # new stretches the library gets in one string, or whole texts at a time
+BYTES_AT_ONCE = 1 << 21  # of texts whose distinct stretches are looked up together
 #: What could take part in a run of white space, here or in the library.
 _SPACES = re.compile("[ \t\n\x0b\x0c\r\x1c-\x1f][ \t\x0b\x0c\r\x1c-\x1f]| \n")
 _OTHER_SPACES = re.compile(
     "[\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]"
 )
-#: Latin letters, ASCII signs (no apostrophe, which may begin a piece with letters behind
-#: it) and single line feeds: neighbours of these kinds are never in one piece.
-_LETTERS, _SIGNS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff", "!-&(-/:-@\\[-`{-~"
-_KINDS = re.compile(f"[{_LETTERS}]+|[{_SIGNS}]+|\n")
-_ONLY_KINDS = re.compile(f"\n?[{_LETTERS}]+(?:[{_LETTERS}{_SIGNS}]|\n(?!\n|$))+", re.ASCII)
-_END_SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Behind one of these a sign begins a piece of its own.
+_ENDS_IN_LETTER = "[0-9A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]\\z"
+_END_SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'"
 _CONTROLS = tuple("\t\x0b\x0c\r\x1c\x1d\x1e\x1f")
 _IN_TOKENS = {" ": "\u0120", "\n": "\u010a"}  # how the vocabulary writes them
 
@@ -52,6 +57,43 @@ def _only_single_spaces(text: str) -> bool:
     return text.isascii() or not _OTHER_SPACES.search(text)
 
 
+def parts_of(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Rows in order, so many at a time that their texts have BYTES_AT_ONCE bytes, or one."""
+    import numpy
+    import pyarrow.compute as pc
+
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0)
+    ends, first = numpy.cumsum(sizes.to_numpy(zero_copy_only=False), dtype="i8"), 0
+    while first < batch.num_rows:
+        most = BYTES_AT_ONCE + (ends[first - 1] if first else 0)
+        last = max(first + 1, int(numpy.searchsorted(ends, most, "right")))
+        yield batch.slice(first, last - first)
+        first = last
+
+
+def _places(numpy, start, length):
+    """The places in spans, one span behind the other."""
+    ends = numpy.cumsum(length, dtype="i8")
+    places = numpy.repeat(start - (ends - length), length)
+    places += numpy.arange(len(places))
+    return places
+
+
+def _without_signs(numpy, stretches: pa.LargeStringArray):
+    """Stretches without the signs behind their last letter or digit, and these signs."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    stems = pc.ascii_rtrim(stretches, characters=_END_SIGNS)
+    stems = pc.if_else(pc.match_substring_regex(stems, _ENDS_IN_LETTER), stems, stretches)
+    _, offsets, data = stretches.buffers()
+    ends = numpy.frombuffer(offsets, "i8", len(stretches) + 1)[1:]
+    length = pc.binary_length(stretches).to_numpy() - pc.binary_length(stems).to_numpy()
+    signs = numpy.frombuffer(data or b"", "u1")[_places(numpy, ends - length, length)]
+    own = numpy.concatenate((numpy.zeros(1, "i8"), numpy.cumsum(length, dtype="i8")))
+    return stems, pa.LargeStringArray.from_buffers(len(length), pa.py_buffer(own), pa.py_buffer(signs))
+
+
 class _Stretches(defaultdict):
     """Numbers stretches as they come, and keeps their ids: those of number k are
     ``pool[start[k] : start[k] + length[k]]``. What came last and has no ids yet is ``new``."""
@@ -86,9 +128,7 @@ class _Stretches(defaultdict):
     def gather(self, numbers):
         """The ids of stretches one behind the other, and where those of each end."""
         numpy, length = self._numpy, self.length[numbers]
-        ends = numpy.cumsum(length)
-        shift = numpy.repeat(self.start[numbers] - (ends - length), length)
-        return self.pool[shift + numpy.arange(len(shift))], ends
+        return self.pool[_places(numpy, self.start[numbers], length)], numpy.cumsum(length, dtype="i8")
 
 
 class Encoder:
@@ -111,90 +151,56 @@ class Encoder:
         for token, k in vocabulary.items():
             for front, written in _IN_TOKENS.items():
                 self._begins[front][k] = token.startswith(written)
-        self._behind_space = _Stretches(numpy)  # by what stands behind a space, or from a line feed on
+        #: By what stands behind a space, or from a line feed on; signs at ends with a space behind them.
+        self._behind_space = _Stretches(numpy)
         self._before = _Stretches(numpy)  # the same, of longer ago
-        self._known: dict[str, bytes] = {}  # by the string itself
         self._kept = kept
-        self._feed = self._library(["\n"])[0]
 
     def _library(self, texts: list[str]) -> list[bytes]:
-        encoded = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [self._numpy.array(e.ids, "<u4").tobytes() for e in encoded]
+        found = []
+        for i in range(0, len(texts), TOGETHER):
+            encoded = self._tokenizer.encode_batch_fast(texts[i : i + TOGETHER], add_special_tokens=False)
+            found += [self._numpy.array(e.ids, "<u4").tobytes() for e in encoded]
+        return found
 
     def _by_stretches(self, text: str) -> bool:
         return _only_single_spaces(text) and not any(map(text.__contains__, self._added))
 
-    def _cut(self, text: str) -> list[str]:
-        """What stands in front of the first cut, and the stretches. Those that begin with
-        a line feed have no space in front."""
+    def _cut(self, text: str) -> tuple[str, str | None]:
+        """What stands in front of the first cut, and the stretches with spaces between, if
+        there are any. Those that begin with a line feed have no space in front."""
         if not self._by_stretches(text):
-            return [text]
+            return text, None
         if "\n" in text and "\n\n" not in text and not any(map(text.__contains__, _CONTROLS)):
             text = text.replace("\n", " \n")
-        return text.split(" ")
+        front, space, behind = text.partition(" ")
+        return front, behind if space else None
 
     def _learn(self) -> None:
-        """Encodes the new stretches, the parts of composed ones once each."""
-        numpy = self._numpy
-        known, before, plain = self._behind_space, self._before, self._known
-        if len(plain) > self._kept // 4:
-            plain.clear()
+        """Encodes the new stretches."""
+        numpy, known, before = self._numpy, self._behind_space, self._before
         new = known.new
         old = numpy.fromiter(map(before.get, new, repeat(-1)), "i8", len(new))
-        moved = known.held + numpy.flatnonzero(old >= 0)
-        unknown = (old < 0).tolist()
-        words, lines, odd, composed = {}, {}, {}, {}  # by number
+        moved, unknown = known.held + numpy.flatnonzero(old >= 0), (old < 0).tolist()
+        known.put(moved, before.gather(old[old >= 0])[0], before.length[old[old >= 0]])
+        words, lines, odd = {}, {}, {}  # by number
         for k, s in compress(enumerate(new, known.held), unknown):
-            if s.isalpha():
+            if s[-1:] == " ":
+                odd[k] = s[:-1]
+            elif s and s == s.strip():
                 words[k] = s
-                continue
-            stem = s.rstrip(_END_SIGNS)
-            word = stem.removeprefix("\n")
-            if not word.isalpha() or not word.isascii() and stem != s:
-                if not _ONLY_KINDS.fullmatch(s):
+            elif s[:1] == "\n":
+                line = s[1:]
+                if line and line == line.strip() and "\n" not in line:
+                    lines[k] = line
+                else:
                     odd[k] = s
-                    continue
-                word, *rest = _KINDS.findall(s.removeprefix("\n"))
-                head = "\n" + word if s[0] == "\n" else word
-                composed[k] = head, rest
-            elif stem == s:
-                lines[k] = s
             else:
-                composed[k] = stem, (s[len(stem) :],)
-        heads, again = dict.fromkeys(head for head, _ in composed.values()), {}
-        for head in heads:
-            if head not in known:  # gets a number of its own
-                k = known[head]
-                if head in before:
-                    again[k] = before[head]
-                else:
-                    (words if head.isalpha() else lines)[k] = head
-        moved = numpy.concatenate((moved, numpy.fromiter(again, "i8", len(again))))
-        old = numpy.concatenate((old[old >= 0], numpy.fromiter(again.values(), "i8", len(again))))
-        known.put(moved, before.gather(old)[0], before.length[old])
+                odd[k] = " " + s
         for front, found in ((" ", words), ("\n", lines)):
-            strings = [s.removeprefix("\n") for s in found.values()]
-            known.put(numpy.fromiter(found, "i8", len(found)), *self._together(strings, front))
-        self._put(odd, self._library([s if s[:1] == "\n" else " " + s for s in odd.values()]))
-        plain["\n"] = self._feed
-        tails = list(set(chain.from_iterable(rest for _, rest in composed.values())).difference(plain))
-        if self._apart["\n"]:
-            plain.update(zip(tails, self._library(tails), strict=True))
-        else:
-            ids, length = self._together(tails, "\n")
-            ends = numpy.cumsum(length).tolist()
-            for tail, a, b in zip(tails, [0, *ends], ends, strict=False):
-                plain[tail] = ids[a:b].tobytes()[len(self._feed) :]
-        numbers = [known[head] for head, _ in composed.values()]
-        ids, ends = known.gather(numpy.array(numbers, "i8"))
-        raw, ends = ids.tobytes(), (ID_BYTES * ends).tolist()
-        self._put(
-            composed,
-            [
-                raw[a:b] + b"".join(map(plain.__getitem__, rest))
-                for a, b, (_, rest) in zip([0, *ends], ends, composed.values(), strict=False)
-            ],
-        )
+            numbers = numpy.fromiter(found, "i8", len(found))
+            known.put(numbers, *self._together(list(found.values()), front))
+        self._put(odd, self._library(list(odd.values())))
         known.held = len(known)
 
     def _put(self, numbers: dict[int, object], found: list[bytes]) -> None:
@@ -206,8 +212,8 @@ class Encoder:
     def _together(self, strings: list[str], front: str):
         """Encodes many strings at once, ``front`` before each: all ids and how many each has.
 
-        Behind any piece a space or a line feed begins a new one, and the strings hold neither,
-        so each begins with a token that begins with it, and no other token does.
+        The strings hold no such ``front`` and neither begin nor end with white space, so each
+        ``front`` begins a piece; each string's first token begins with it, and no other token does.
         """
         numpy, begins = self._numpy, self._begins[front]
         groups = [strings[i : i + TOGETHER] for i in range(0, len(strings), TOGETHER)]
@@ -229,24 +235,45 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """One value per text; of a null or empty text an empty one."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        numpy = self._numpy
+        cuts = [self._cut(text or "") for text in texts]
+        fronts = self._library([front for front, _ in cuts])
+        behind = [stretches for _, stretches in cuts if stretches is not None]
+        if not behind:
+            return fronts
+        parted = pc.split_pattern(pa.array(behind, pa.large_string()), " ")
+        ends = iter(parted.offsets.to_numpy()[1:].tolist())
+        found = parted.values.dictionary_encode()
+        ids, start, length = self._ids(found.dictionary)
+        places, out, first = found.indices.to_numpy(), [], 0
+        for front, (_, stretches) in zip(fronts, cuts, strict=True):
+            if stretches is not None:
+                own, first = places[first : (last := next(ends))], last
+                front += ids[_places(numpy, start[own], length[own])].tobytes()
+            out.append(front)
+        return out
+
+    def _ids(self, stretches: pa.LargeStringArray):
+        """Ids of stretches; those of the k-th are ``ids[start[k] : start[k] + length[k]]``."""
         numpy = self._numpy
-        texts = [text or "" for text in texts]
-        cuts = [self._cut(text) for text in texts]
-        fronts = self._library([cut[0] for cut in cuts])
         if len(self._behind_space) > self._kept // 2:
             self._before, self._behind_space = self._behind_space, _Stretches(numpy)
         known = self._behind_space
-        counts = numpy.fromiter((len(cut) - 1 for cut in cuts), "i8", len(cuts))
-        behind = chain.from_iterable(cut[1:] for cut in cuts)
-        numbers = numpy.fromiter(map(known.__getitem__, behind), "i8", int(counts.sum()))
+        stems, signs = (a.dictionary_encode() for a in _without_signs(numpy, stretches))
+        strings = stems.dictionary.to_numpy(zero_copy_only=False).tolist()  # faster than to_pylist
+        strings += [s + " " for s in signs.dictionary.to_pylist()]
+        numbers = numpy.fromiter(map(known.__getitem__, strings), "i8", len(strings))
         if len(known) > known.held:
             self._learn()
-        ids, ends = known.gather(numbers)
-        last = numpy.concatenate(([0], ends))[numpy.cumsum(counts)].tolist()
-        first = [0, *last][: len(last)]
-        return [
-            front + ids[a:b].tobytes() for front, a, b in zip(fronts, first, last, strict=True)
-        ]
+        both = numpy.empty((len(stretches), 2), "i8")
+        both[:, 0] = numbers[stems.indices.to_numpy()]
+        both[:, 1] = numbers[len(stems.dictionary) + signs.indices.to_numpy()]
+        ids, ends = known.gather(both.ravel())
+        length = numpy.diff(ends[1::2], prepend=0)
+        return ids, ends[1::2] - length, length
 
 
 def shared_encoder(vocabulary: str) -> Encoder:
